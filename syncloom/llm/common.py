@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A side with at most so many rows is broadcast; beyond that the join shuffles (adaptive execution splits hot keys).
 BROADCAST_ROWS = 200_000
@@ -38,6 +41,27 @@ def join_checked(left: DataFrame, right: DataFrame, on: Column | list[str] | str
     return left.join(F.broadcast(right) if small else right, on, how)
 
 
+def map_arrow(df: DataFrame, f: Callable, schema) -> DataFrame:
+    """mapInArrow, after the package has been sent to the executors' Python workers (once a context)."""
+    context = df.sparkSession.sparkContext
+    if getattr(context, "_syncloom_sent", None) is None:
+        top = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="syncloom-")) / "syncloom.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(top.rglob("*.py")):
+                out.write(path, path.relative_to(top.parent))
+        context.addPyFile(str(archive))
+        context._syncloom_sent = str(archive)
+    return df.mapInArrow(f, schema)
+
+
+def with_fields(schema: T.StructType, **kinds: str) -> T.StructType:
+    out = T.StructType(list(schema.fields))
+    for name, kind in kinds.items():
+        out = out.add(name, kind)
+    return out
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

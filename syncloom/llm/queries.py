@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, reputation
+from . import chat, cnn, language, mixing, quality, reputation
 from .common import read
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    learnt = docs.join(read(spark, sf_dir, "labels").filter(cnn.fold("doc_id", 4) != 2).select("doc_id", "quality"), "doc_id")
+    scored = quality.scored(docs, quality.fit(docs, learnt))
+    return scored.select("doc_id", (cnn.fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -33,5 +40,23 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels").select("doc_id", bad.alias("bad")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_source_mix, op6_chat_format, op7_url_filter)}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    learnt = docs.join(read(spark, sf_dir, "labels").filter(cnn.fold("doc_id", 5) != 0).select("doc_id", "toxic"), "doc_id")
+    scored = cnn.scored(docs, cnn.fit(learnt))
+    return scored.select("doc_id", (cnn.fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify_documents(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return found.select("doc_id", F.col("lid_lang").alias("language"), F.col("lid_posterior").alias("posterior"), F.col("lid_text_lang").alias("text_language"), F.col("lid_keep").alias("keep"))
+
+
+def lang_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator where all kinds of evidence are: pages with their markup, address and host."""
+    found = language.identify_pages(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents"))
+    return found.select("page_id", F.col("lid_lang").alias("language"), F.col("lid_posterior").alias("posterior"), F.col("lid_text_lang").alias("text_language"), F.col("lid_keep").alias("keep"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op3_source_mix, op6_chat_format, op7_url_filter, op8_toxicity, op9_language_id, lang_pages)}
 SQL: dict[str, str] = {}
