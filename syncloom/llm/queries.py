@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cnn, language, mixing, quality, reputation
+from . import chat, cnn, language, mixing, quality, reputation, tokens, winnow
 from .common import read
 
 
@@ -18,6 +18,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (cnn.fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tokens.counted(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > tokens.LIMIT).alias("over_limit"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -52,11 +57,15 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("lid_lang").alias("language"), F.col("lid_posterior").alias("posterior"), F.col("lid_text_lang").alias("text_language"), F.col("lid_keep").alias("keep"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.compared(read(spark, sf_dir, "documents"))
+
+
 def lang_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same operator where all kinds of evidence are: pages with their markup, address and host."""
     found = language.identify_pages(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents"))
     return found.select("page_id", F.col("lid_lang").alias("language"), F.col("lid_posterior").alias("posterior"), F.col("lid_text_lang").alias("text_language"), F.col("lid_keep").alias("keep"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op3_source_mix, op6_chat_format, op7_url_filter, op8_toxicity, op9_language_id, lang_pages)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_token_counts, op3_source_mix, op6_chat_format, op7_url_filter, op8_toxicity, op9_language_id, op10_fingerprints, lang_pages)}
 SQL: dict[str, str] = {}
