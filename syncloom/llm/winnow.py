@@ -94,7 +94,7 @@ def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at)], names=[*batch.schema.names, "range"])
 
     def ranged(part: DataFrame) -> DataFrame:
-        return map_arrow(part, place, with_fields(part.schema, range="int"))
+        return map_arrow(part, place, with_fields(part.schema, range="integer"))
 
     firsts = ranged(rows.select("doc_id")).groupBy("range").agg(F.min("doc_id").alias("doc_id"))
     before = F.coalesce(F.lag("range").over(Window.orderBy("range")), F.max("range").over(Window.partitionBy()))  # as many rows as ranges
