@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cnn, decontam, language, mixing, quality, reputation, tokens, winnow
+from . import chat, cnn, decontam, jaccard, language, mixing, quality, reputation, tokens, winnow
 from .common import read
 
 
@@ -27,6 +27,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.link_classes(read(spark, sf_dir, "documents"), k=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -71,5 +76,5 @@ def lang_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", F.col("lid_lang").alias("language"), F.col("lid_posterior").alias("posterior"), F.col("lid_text_lang").alias("text_language"), F.col("lid_keep").alias("keep"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_token_counts, op3_source_mix, op5_decontaminate, op6_chat_format, op7_url_filter, op8_toxicity, op9_language_id, op10_fingerprints, lang_pages)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_token_counts, op3_source_mix, op4_jaccard_join, op5_decontaminate, op6_chat_format, op7_url_filter, op8_toxicity, op9_language_id, op10_fingerprints, lang_pages)}
 SQL: dict[str, str] = {}
