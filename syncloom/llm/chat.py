@@ -56,7 +56,8 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
             break
         left = open_
         jump = at.select("tree", F.col("id").alias("up"), F.col("up").alias("next"), F.col("score").alias("more"), F.col("steps").alias("far"))
-        at = at.join(jump, ["tree", "up"], "left").select("tree", "id", F.col("next").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"), (F.col("steps") + F.coalesce("far", F.lit(0))).alias("steps"))
+        further = at.filter("up is not null").join(jump, ["tree", "up"]).select("tree", "id", (F.col("score") + F.col("more")).alias("score"), F.col("next").alias("up"), (F.col("steps") + F.col("far")).alias("steps"))
+        at = at.filter("up is null").unionByName(further)  # what has reached its root isn't joined again
         at = checkpoint(at)
         levels.append(at.filter("up is not null").select("tree", "id", "up"))
     leaves = at.filter("up is null").join(replies.select("tree", F.col("parent").alias("id")).distinct(), ["tree", "id"], "left_anti")
