@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -20,21 +21,30 @@ CHUNK_BYTES = 1 << 20
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the cluster names in spark.checkpoint.dir.
-
-    Only a local session without that setting (tests) gets a temporary folder.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; only a local session without that setting (tests) gets a temporary one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder; Spark removes it when nothing refers to it any more."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written as a Parquet table in the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def join_checked(left: DataFrame, right: DataFrame, on: Column | list[str] | str, how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join that broadcasts the right side only after counting it; a larger one is joined by a shuffle."""
     small = right.limit(rows + 1).count() <= rows

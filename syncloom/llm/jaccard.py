@@ -8,10 +8,13 @@ known. A region whose points all are in one class is done. In the others, points
 leaves it open: |d(x, p) - d(y, p)| <= 1 - s for the region's pivots p. That window brings in the boundary points of a cell. Small
 regions are compared at once; a larger one takes further pivots, PIVOTS at a time, is measured against them, and is joined again without them.
 
-Shingles that stand in more than HEAVY points' prefixes come last in the order, so that a passage or line which many documents share doesn't make a
-region; the order changes nothing in the result. A bounded number of them is broadcast (HEAVY_LIST, 8 bytes each); others just cost more.
+The order puts rare shingles first: those that stand in more than HEAVY prefixes of a first order (by hash), and all frequent shingles of the points
+that hold many such, come after the others, by the logarithm of their count. A passage or line which many documents share thus
+makes no region, and a point with many shingles of its own stands in no region at all. Where two points' first common shingle stands bounds their
+overlap, too, so most pairs of a region are ruled out by number. The order is the same for all points; which shingles are
+counted (HEAVY_LIST at most, 9 bytes each, are broadcast) changes only the cost, never the result.
 
-Scale: per document, sets are made in one pass (a second for documents whose prefix holds a heavy shingle); only prefixes (a share 1 - s of a
+Scale: sets are made in three passes over the texts; only prefixes (a share 1 - s of a
 set) are shuffled, then only the sets of points that share a region with another. A group of k near copies costs about k comparisons
 with its pivot, not k^2, and no group is ever collected in one task. Sets are 64-bit hashes of shingles, points are named by 64-bit set
 hash and size: at 10^10 different sets, a false identity has a chance of under 1 %.
@@ -34,10 +37,12 @@ from .common import checkpoint, join_checked, map_arrow, text_chunks
 from .components import components
 from .textops import mix64, shingles, words
 
-#: Points that may share a prefix shingle before it is put last in the order; how many such shingles are told to the workers.
-HEAVY, HEAVY_LIST = 48, 500_000
+#: Points that may share a prefix shingle before it comes later in the order; how many such shingles are told to the workers.
+HEAVY, HEAVY_LIST = 6, 1_000_000
+#: All shingles are counted of points with this share of heavy ones in their prefix.
+MANY = 1 / 3
 #: Points of a region that are compared at once; pivots that a larger one takes in a round.
-LEAF, PIVOTS = 64, 8
+LEAF, PIVOTS = 4_096, 64
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -74,23 +79,57 @@ def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return map_arrow(docs, run, f"id {id_type}, n long, fp long, prefix array<long>")
 
 
-def lighter_prefixes(docs: DataFrame, k: int, percent: int, heavy: np.ndarray) -> DataFrame:
-    """id, lighter: the prefix with heavy shingles last, for documents whose plain prefix holds one."""
+class _Order:
+    """Heavy shingles, sorted, and the class of each by the logarithm of its count."""
+
+    def __init__(self, counts: DataFrame):
+        found = counts.orderBy(F.desc("count"), "shingle").limit(HEAVY_LIST).toArrow()
+        shingle = np.asarray(found.column("shingle").combine_chunks()).view(np.uint64) if found.num_rows else np.zeros(0, np.uint64)
+        order = np.argsort(shingle)
+        self.shingle = shingle[order]
+        self.kind = (np.log2(np.asarray(found.column("count"))[order].astype(float)) + 1).astype(np.uint8) if found.num_rows else np.zeros(0, np.uint8)
+
+    def kinds(self, s: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.shingle, s), len(self.shingle) - 1)
+        return np.where(self.shingle[at] == s, self.kind[at], 0)
+
+
+def heavy_counts(docs: DataFrame, k: int, percent: int, order: _Order) -> DataFrame:
+    """shingle, count: how many documents with MANY heavy shingles in their prefix hold a shingle. Counted within batches first."""
+    shared = docs.sparkSession.sparkContext.broadcast(order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = shared.value
+        for batch in batches:
+            held = []
+            for _, _, data, offsets in text_chunks(batch, "text"):
+                for s in _sets(data, offsets, k):
+                    size = _prefix_size(len(s), percent)
+                    if size and np.count_nonzero(order.kinds(s[:size])) >= MANY * size:
+                        held.append(s)
+            if held:
+                shingle, count = np.unique(np.concatenate(held), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(count.astype(np.int64))], names=["shingle", "count"])
+
+    return map_arrow(docs.select("text"), run, "shingle long, count long").groupBy("shingle").agg(F.sum("count").alias("count")).filter(F.col("count") > HEAVY)
+
+
+def lighter_prefixes(docs: DataFrame, k: int, percent: int, order: _Order) -> DataFrame:
+    """id, lighter: the prefix in the final order, for documents whose prefix in order of hash holds a heavy shingle."""
     id_type = docs.schema["id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+    shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy = shared.value
+        order = shared.value
         for batch in batches:
             for i, j, data, offsets in text_chunks(batch, "text"):
                 rows, out = [], []
                 for r, s in enumerate(_sets(data, offsets, k)):
                     size = _prefix_size(len(s), percent)
-                    at = np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)
-                    is_heavy = heavy[at] == s
-                    if is_heavy[:size].any():
+                    kinds = order.kinds(s)
+                    if kinds[:size].any():
                         rows.append(i + r)
-                        out.append(np.concatenate([s[~is_heavy], s[is_heavy]])[:size])
+                        out.append(s[np.argsort(kinds, kind="stable")[:size]])
                 if rows:
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), _lists(out)], names=["id", "lighter"])
 
@@ -109,8 +148,9 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     return map_arrow(docs, run, f"id {id_type}, shingles array<long>")
 
 
-def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _may_link(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> Column:
+    """Whether two sets whose first common shingle stands at these positions of their order can overlap enough."""
+    return F.least(na - pa_, nb - pb) * (100 + percent) >= (na + nb) * percent
 
 
 class _Measured:
@@ -150,23 +190,26 @@ def link_classes(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id",
     # one point for each distinct set
     reps = all_points.filter("n > 0").groupBy("fp", "n").agg(F.min(F.struct("id", "prefix")).alias("p"))
     reps = checkpoint(reps.select("fp", "n", F.col("p.id").alias("id"), F.col("p.prefix").alias("prefix")))
-    heavy = reps.select(F.explode("prefix").alias("shingle")).groupBy("shingle").count().filter(F.col("count") > HEAVY).orderBy(F.desc("count"), "shingle").limit(HEAVY_LIST).select("shingle").toArrow()
+    counts = reps.select(F.explode("prefix").alias("shingle")).groupBy("shingle").count().filter(F.col("count") > HEAVY)
+    counts = checkpoint(counts.withColumn("count", F.expr(f"`count` * 100 div {max(1, 100 - percent)}")))
+    order = _Order(counts)
     entries = reps.select("id", "n", "prefix")
-    if heavy.num_rows:
-        order = np.sort(np.asarray(heavy.column(0).combine_chunks()).view(np.uint64))
+    if len(order.shingle):
+        more = heavy_counts(docs, k, percent, order)
+        order = _Order(counts.unionByName(more).groupBy("shingle").agg(F.max("count").alias("count")))
         lighter = lighter_prefixes(docs, k, percent, order).dropDuplicates(["id"])
         entries = entries.join(lighter, "id", "left").select("id", "n", F.coalesce("lighter", "prefix").alias("prefix"))
-    entries = entries.select(F.explode("prefix").alias("region"), "id", "n")
+    entries = entries.select(F.posexplode("prefix").alias("pos", "region"), "id", "n")
     # regions of more than one point, and their pivots
-    shared = entries.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n")).alias("pivot")).filter("size > 1")
-    members = checkpoint(entries.join(shared.select("region", F.col("pivot.id").alias("pivot"), F.col("pivot.n").alias("np")), "region"))
+    shared = entries.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n", "pos")).alias("pivot")).filter("size > 1")
+    members = checkpoint(entries.join(shared.select("region", F.col("pivot.id").alias("pivot"), F.col("pivot.n").alias("np"), F.col("pivot.pos").alias("pp")), "region"))
     measured = _Measured(docs, k)
-    pairs = members.filter("id <> pivot").filter(_sizes_allow(F.col("n"), F.col("np"), percent)).select(F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb")).distinct()
+    pairs = members.filter("id <> pivot").filter(_may_link(F.col("n"), F.col("pos"), F.col("np"), F.col("pp"), percent)).select(F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb")).distinct()
     known = measured.overlaps(checkpoint(pairs))
     linked = lambda m: m.filter(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent)
     edges = linked(known).select("a", "b")
     classes = checkpoint(components(edges))
-    classes = _closed(members.select("region", "id", "n"), known, edges, classes, measured, percent, distance, linked)
+    classes = _closed(members.select("region", "id", "n", "pos"), known, edges, classes, measured, percent, distance, linked)
     with_class = reps.select("fp", "n", "id").join(classes, "id", "left").select("fp", "n", F.coalesce("component", "id").alias("component"))
     joined = all_points.select("id", "n", "fp").groupBy("id").agg(F.min(F.struct("fp", "n")).alias("p")).select("id", "p.fp", "p.n")
     joined = joined.join(with_class, ["fp", "n"], "left")
@@ -189,17 +232,17 @@ def _closed(members: DataFrame, known: DataFrame, edges: DataFrame, classes: Dat
         # distances to the first pivot of the region, as far as they were measured; sizes bound the others
         first = members.filter("pivot").groupBy("region").agg(F.min("id").alias("a"))
         far = known.select("a", F.col("b").alias("id"), spread(known).alias("d"))
-        rest = checkpoint(rest.join(first, "region").join(far, ["a", "id"], "left").select("region", "id", "n", "class", "size", "d"))
+        rest = checkpoint(rest.join(first, "region").join(far, ["a", "id"], "left").select("region", "id", "n", "pos", "class", "size", "d"))
         small = rest.filter(F.col("size") <= LEAF)
-        x = small.select("region", F.col("id").alias("a"), F.col("n").alias("na"), F.col("class").alias("ca"), F.col("d").alias("da"))
-        y = small.select("region", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("class").alias("cb"), F.col("d").alias("db"))
+        x = small.select("region", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("class").alias("ca"), F.col("d").alias("da"))
+        y = small.select("region", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("class").alias("cb"), F.col("d").alias("db"))
         window = F.coalesce(F.abs(F.col("da") - F.col("db")) <= distance + 1e-9, F.lit(True))
-        todo = x.join(y, "region").filter("a < b and ca <> cb").filter(window).filter(_sizes_allow(F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb")
+        todo = x.join(y, "region").filter("a < b and ca <> cb").filter(window).filter(_may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select("a", "b", "na", "nb")
         large = rest.filter(F.col("size") > LEAF)
-        chosen = large.groupBy("region").agg(F.slice(F.sort_array(F.collect_set(F.when(F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / (4 * PIVOTS))) == 0, F.struct("id", "n", "class")))), 1, PIVOTS).alias("some"), F.min(F.struct("id", "n", "class")).alias("one"))
-        chosen = chosen.select("region", F.explode(F.when(F.size("some") > 0, F.col("some")).otherwise(F.array("one"))).alias("p")).select("region", F.col("p.id").alias("a"), F.col("p.n").alias("na"), F.col("p.class").alias("ca"))
+        chosen = large.groupBy("region").agg(F.slice(F.sort_array(F.collect_set(F.when(F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / (4 * PIVOTS))) == 0, F.struct("id", "n", "class", "pos")))), 1, PIVOTS).alias("some"), F.min(F.struct("id", "n", "class", "pos")).alias("one"))
+        chosen = chosen.select("region", F.explode(F.when(F.size("some") > 0, F.col("some")).otherwise(F.array("one"))).alias("p")).select("region", F.col("p.id").alias("a"), F.col("p.n").alias("na"), F.col("p.class").alias("ca"), F.col("p.pos").alias("pa"))
         chosen = checkpoint(chosen)
-        more = large.select("region", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("class").alias("cb")).join(chosen, "region").filter("a <> b and ca <> cb").filter(_sizes_allow(F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb")
+        more = large.select("region", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("class").alias("cb")).join(chosen, "region").filter("a <> b and ca <> cb").filter(_may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select("a", "b", "na", "nb")
         pairs = todo.unionByName(more)
         pairs = pairs.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("nlo"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nhi"))
         pairs = pairs.toDF("a", "b", "na", "nb").distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
