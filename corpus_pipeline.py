@@ -16,26 +16,36 @@ from syncloom.llm.common import checkpoint, join_checked, read, written
 
 #: Near duplicates: words of a shingle and least similarity in percent.
 SHINGLE_WORDS, SIMILARITY = 5, 80
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Rows of a list of ids that is broadcast; a longer one is joined by a shuffle.
 ID_ROWS = 2_000_000
 
 
+def _set_aside(docs: DataFrame) -> DataFrame:
+    """docs with all columns but those of documents under names that clash with no operator's."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in COLUMNS else f"_extra_{i}") for i, c in enumerate(docs.columns)])
+
+
+def _restored(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    return kept.select(*[F.col(c if c in COLUMNS else f"_extra_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified surely enough (operator 9)."""
-    return language.identify_documents(docs).filter("lid_keep").select(*docs.columns)
+    return _restored(language.identify_documents(_set_aside(docs)).filter("lid_keep"), docs)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier of operator 8, fitted on labels of these documents, doesn't hold toxic."""
     learnt = docs.select("doc_id", "text").join(read(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id")
-    return cnn.scored(docs, cnn.fit(learnt)).filter("score < 0.5").select(*docs.columns)
+    return _restored(cnn.scored(_set_aside(docs), cnn.fit(learnt), out="_toxicity").filter("_toxicity < 0.5"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each class of near duplicates (operator 4)."""
     classes = jaccard.link_classes(docs, SHINGLE_WORDS, SIMILARITY)
     gone = checkpoint(classes.filter("id <> component").select(F.col("id").alias("doc_id")))
-    kept = join_checked(docs, gone, "doc_id", "left_anti", rows=ID_ROWS)
+    kept = join_checked(docs, gone, "doc_id", "left_anti", rows=ID_ROWS).select(*[docs[f"`{c}`"] for c in docs.columns])
     repeated = docs.groupBy("doc_id").count().filter(F.col("count") > 1)
     return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
 
@@ -43,7 +53,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an overlap with any item of `benchmark` (operator 5)."""
     leaks = checkpoint(decontam.contaminated(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct())
-    return join_checked(docs, leaks, "doc_id", "left_anti", rows=ID_ROWS)
+    return join_checked(docs, leaks, "doc_id", "left_anti", rows=ID_ROWS).select(*[docs[f"`{c}`"] for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,9 +37,12 @@ def unescaped(c: Column) -> Column:
 
 
 def chain(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn") -> DataFrame:
-    """Messages (tree, id, parent, role, text, score) of conversations whose turns each reply to the one before."""
+    """Messages (tree, id, parent, role, text, score) of conversations whose turns each reply to the one before.
+
+    tree is the conversation's id as text after a "c"; rows without an id are one conversation, "-".
+    """
     order = Window.partitionBy("tree").orderBy("turn", "role", "text")
-    rows = rows.select(F.col(conv_col).alias("tree"), F.col(turn_col).alias("turn"), "role", "text").withColumn("id", F.row_number().over(order).cast("long"))
+    rows = rows.select(F.coalesce(F.concat(F.lit("c"), F.col(conv_col).cast("string")), F.lit("-")).alias("tree"), F.col(turn_col).alias("turn"), "role", "text").withColumn("id", F.row_number().over(order).cast("long"))
     return rows.select("tree", "id", F.when(F.col("id") > 1, F.col("id") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 

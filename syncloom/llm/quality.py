@@ -9,7 +9,8 @@ Scale: one pass for the document frequencies (a fixed number of counters per par
 broadcast has a fixed bound: TRAIN_ROWS x RANK floats and 2^BITS x RANK floats, about 5 MB.
 
 Defined results: null or empty text, and text with no trigram, has no vector and scores the sample's share of label 1; null labels are
-not learnt from; repeated rows are scored each; without labelled rows every score is 0.5; an empty table gives no rows.
+not learnt from; repeated rows are scored each; without labelled rows every score is 0.5; an empty table gives no rows;
+extra columns are kept, but one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -106,8 +107,9 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     return voter
 
 
-def scored(docs: DataFrame, voter: Voter, text_col: str = "text") -> DataFrame:
-    """docs with a last column `score`: the weighted share of label 1 among the nearest labelled texts."""
+def scored(docs: DataFrame, voter: Voter, text_col: str = "text", out: str = "score") -> DataFrame:
+    """docs with a last column `out`, the weighted share of label 1 among the nearest labelled texts; one of that name is replaced."""
+    docs = docs.drop(out)
     kept = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(voter)
 
@@ -115,6 +117,6 @@ def scored(docs: DataFrame, voter: Voter, text_col: str = "text") -> DataFrame:
         voter = shared.value
         for batch in batches:
             score = [voter.votes(voter.weighted(_counts(data, offsets))) for _, _, data, offsets in text_chunks(batch, text_col, rows=BLOCK)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([*score, np.zeros(0)]).astype(np.float64))], names=[*kept, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([*score, np.zeros(0)]).astype(np.float64))], names=[*kept, out])
 
-    return map_arrow(docs, run, with_fields(docs.schema, score="double"))
+    return map_arrow(docs, run, with_fields(docs.schema, **{out: "double"}))

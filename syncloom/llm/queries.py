@@ -43,7 +43,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = chat.read_back(chat.formatted(chat.chain(rows)))
     said = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
     return back.select(
-        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.when(F.col("tree") != "-", F.substring("tree", 2, 30)).cast("long").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text"), 256).alias("loss_sha256"), "formatted_chars",
     )
 

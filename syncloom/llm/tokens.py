@@ -9,7 +9,8 @@ Scale: no shuffle; texts stream through Arrow batches. Runs between white space
 kept in a table of CACHE_WORDS runs a worker, which starts afresh when full, so that memory is bounded and every text is counted.
 
 Defined results: null text is empty and has 0 tokens; special strings inside a text are single tokens, as the library has it; a run of any
-length is one piece for the library, too; repeated rows are counted each; an empty table gives no rows; extra columns are kept.
+length is one piece for the library, too; repeated rows are counted each; an empty table gives no rows; extra columns are kept, but
+those named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -135,7 +136,7 @@ class PrefixCounter:
         return found
 
     def pieces(self, text: str) -> list[str]:
-        if self.plain is not None and text.isascii():
+        if self.plain is not None and text.isascii() and text.isprintable():
             return self.plain.findall(text.lower())
         if self.library.normalizer is not None:
             text = self.library.normalizer.normalize_str(text)
@@ -203,7 +204,8 @@ _WORKER: dict[str, _Runs] = {}
 
 
 def counted(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """docs with n_bytes and n_tokens."""
+    """docs with n_bytes and n_tokens; columns of these names are replaced."""
+    docs = docs.drop("n_bytes", "n_tokens")
     kept = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ Scale: no row meets another, except for the successor of each document. For that
 the first document of each range is copied to the range before, and each range is sorted and streamed: one shuffle of the texts, no global window.
 
 Defined results: null text is empty, with an empty fingerprint; the document after the last is the first; documents with the same id
-follow by text; a single document is its own successor; an empty table gives no rows; extra columns are ignored.
+follow by text, those without an id come first; a single document is its own successor; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -90,17 +90,18 @@ def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.searchsorted(shared.value, np.asarray(batch.column(0)), side="left").astype(np.int32)
+            ids = np.asarray(batch.column(0).cast(pa.int64()).fill_null(np.iinfo(np.int64).min))
+            at = np.searchsorted(shared.value, ids, side="left").astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at)], names=[*batch.schema.names, "range"])
 
     def ranged(part: DataFrame) -> DataFrame:
         return map_arrow(part, place, with_fields(part.schema, range="integer"))
 
-    firsts = ranged(rows.select("doc_id")).groupBy("range").agg(F.min("doc_id").alias("doc_id"))
+    firsts = ranged(rows.select("doc_id")).groupBy("range").agg(F.min(F.struct("doc_id")).alias("first"))
     before = F.coalesce(F.lag("range").over(Window.orderBy("range")), F.max("range").over(Window.partitionBy()))  # as many rows as ranges
-    firsts = checkpoint(firsts.select("doc_id", before.alias("before")))
+    firsts = checkpoint(firsts.select(F.col("first.doc_id").alias("first"), before.alias("before")))
     copies = F.array_compact(F.array(F.struct("range", F.lit(0).alias("halo")), F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("range"), F.lit(1).alias("halo")))))
-    dealt = join_checked(ranged(rows), firsts, "doc_id", "left").select("doc_id", "text", F.explode(copies).alias("at")).select("doc_id", "text", "at.range", "at.halo")
+    dealt = join_checked(ranged(rows), firsts, F.col("doc_id").eqNullSafe(F.col("first")), "left").select("doc_id", "text", F.explode(copies).alias("at")).select("doc_id", "text", "at.range", "at.halo")
     return dealt.repartition(len(edges) + 1, "range").sortWithinPartitions("range", "halo", "doc_id", "text")
 
 
