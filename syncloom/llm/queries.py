@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cnn, decontam, jaccard, language, mixing, quality, reputation, tokens, winnow
+from . import chat, cnn, decontam, jaccard, language, mixing, quality, reputation, sql, tokens, winnow
 from .common import read
 
 
@@ -77,4 +77,4 @@ def lang_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_token_counts, op3_source_mix, op4_jaccard_join, op5_decontaminate, op6_chat_format, op7_url_filter, op8_toxicity, op9_language_id, op10_fingerprints, lang_pages)}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_jaccard_join": sql.JACCARD, "op6_chat_format": sql.CHAT, "op7_url_filter": sql.REPUTATION}
