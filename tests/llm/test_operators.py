@@ -395,9 +395,19 @@ def test_language_evidence(spark, sf):
     got = language.identified(spark.createDataFrame(rows, "text string, declared string, host string").withColumn("lid_lang", F.lit(1)), model, F.col("text"), F.col("declared"), F.col("host")).collect()
     assert [r.lid_lang for r in got] == ["und", "und", "und", "und", "en"]
     assert [r.lid_keep for r in got] == [False] * 4 + [True]
-    # an undecided text goes with its host
-    unclear = spark.createDataFrame([("Re.", None, "a")] + [(r.text, None, "a") for r in docs.filter("lang = 'de'").limit(30).collect()], "text string, declared string, host string")
-    assert language.identified(unclear, model, F.col("text"), F.col("declared"), F.col("host")).first().lid_lang == "de"
+
+
+def test_host_decides_where_text_is_unclear(spark):
+    table = np.full((3, 1 << language.BITS), -12.0)
+    table[2] = language.UND_LOG
+    gram = lambda t: language.byte_ngrams(np.frombuffer(t.encode(), np.uint8), np.array([0, 3]), 3, language.BITS)[0][0]
+    table[0, gram("aaa")] = table[1, gram("bbb")] = -1.0
+    table[0, gram("ccc")], table[1, gram("ccc")] = -2.0, -2.5
+    model = language.TextModel(["aa", "bb", language.UND], table)
+    rows = [("ccc", "h", "x"), ("ccc", None, "x"), ("ccc", "new", "y")] + [("bbb", "h", "x")] * 30 + [("aaa", "g", "y")] * 30 + [("bbb", "k", "y")]
+    got = language.identified(spark.createDataFrame(rows, "text string, host string, suffix string").coalesce(1), model, F.col("text"), None, F.col("host"), F.col("suffix")).collect()
+    assert [r.lid_lang for r in got[:3]] == ["bb", "bb", "aa"]  # by host, by suffix (mostly bb), by suffix (mostly aa)
+    assert [r.lid_text_lang for r in got[:3]] == ["aa", "aa", "aa"]
 
 
 def test_language_on_odd_input(spark, odd):
