@@ -14,13 +14,14 @@ makes no region, and a point with many shingles of its own stands in no region a
 overlap, too, so most pairs of a region are ruled out by number. The order is the same for all points; which shingles are
 counted (HEAVY_LIST at most, 9 bytes each, are broadcast) changes only the cost, never the result.
 
-Scale: sets are made in three passes over the texts; only prefixes (a share 1 - s of a
+Scale: sets are made in a few passes over the texts; only prefixes (a share 1 - s of a
 set) are shuffled, then only the sets of points that share a region with another. A group of k near copies costs about k comparisons
 with its pivot, not k^2, and no group is ever collected in one task. Sets are 64-bit hashes of shingles, points are named by 64-bit set
 hash and size: at 10^10 different sets, a false identity has a chance of under 1 %.
 
 Defined results: null, empty or wordless text has the empty set, no link and its own id; fewer words than a shingle are one shingle; repeated
-rows with one id are one document in the result, by their smallest set hash; an empty table gives no rows; extra columns are ignored.
+rows with one id are one document, with the smallest of their texts; documents without an id get the class of documents with the
+same set, if there are any, and link nothing; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,9 +41,11 @@ from .textops import mix64, shingles, words
 #: Points that may share a prefix shingle before it comes later in the order; how many such shingles are told to the workers.
 HEAVY, HEAVY_LIST = 6, 1_000_000
 #: All shingles are counted of points with this share of heavy ones in their prefix.
-MANY = 1 / 3
+MANY = 1 / 2
 #: Points of a region that are compared at once; pivots that a larger one takes in a round.
 LEAF, PIVOTS = 4_096, 64
+#: Rows up to which a list of ids, or of regions, is broadcast; a longer one is joined by a shuffle.
+ID_ROWS, REGION_ROWS = 1_000_000, 2_000_000
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -62,21 +65,19 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)), pa.array(flat))
 
 
-def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """id, n, fp, prefix for every document: the size and hash of its set, and the first shingles in order of hash."""
+def points(docs: DataFrame, k: int) -> DataFrame:
+    """id, n, fp for every document: the size and hash of its set."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in text_chunks(batch, "text"):
                 sets = list(_sets(data, offsets, k))
-                n = [len(s) for s in sets]
                 with np.errstate(over="ignore"):
-                    fp = [int((mix64(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) if len(s) else np.uint64(0)).view(np.int64)) for s in sets]
-                prefix = [s[: _prefix_size(len(s), percent)] for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), _lists(prefix)], names=["id", "n", "fp", "prefix"])
+                    fp = [int(mix64(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0 for s in sets]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array(fp, pa.int64())], names=["id", "n", "fp"])
 
-    return map_arrow(docs, run, f"id {id_type}, n long, fp long, prefix array<long>")
+    return map_arrow(docs, run, f"id {id_type}, n long, fp long")
 
 
 class _Order:
@@ -95,7 +96,7 @@ class _Order:
 
 
 def heavy_counts(docs: DataFrame, k: int, percent: int, order: _Order) -> DataFrame:
-    """shingle, count: how many documents with MANY heavy shingles in their prefix hold a shingle. Counted within batches first."""
+    """shingle, count: how many documents with MANY heavy shingles in their prefix hold a shingle that isn't known as heavy. Counted within batches first."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,8 +106,11 @@ def heavy_counts(docs: DataFrame, k: int, percent: int, order: _Order) -> DataFr
             for _, _, data, offsets in text_chunks(batch, "text"):
                 for s in _sets(data, offsets, k):
                     size = _prefix_size(len(s), percent)
-                    if size and np.count_nonzero(order.kinds(s[:size])) >= MANY * size:
-                        held.append(s)
+                    if not size:
+                        continue
+                    kinds = order.kinds(s)
+                    if np.count_nonzero(kinds[:size]) >= MANY * size:
+                        held.append(s[kinds == 0])
             if held:
                 shingle, count = np.unique(np.concatenate(held), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(count.astype(np.int64))], names=["shingle", "count"])
@@ -114,8 +118,8 @@ def heavy_counts(docs: DataFrame, k: int, percent: int, order: _Order) -> DataFr
     return map_arrow(docs.select("text"), run, "shingle long, count long").groupBy("shingle").agg(F.sum("count").alias("count")).filter(F.col("count") > HEAVY)
 
 
-def lighter_prefixes(docs: DataFrame, k: int, percent: int, order: _Order) -> DataFrame:
-    """id, lighter: the prefix in the final order, for documents whose prefix in order of hash holds a heavy shingle."""
+def prefixes(docs: DataFrame, k: int, percent: int, order: _Order | None = None) -> DataFrame:
+    """id, n, prefix: the first shingles of every document in the order, or in order of hash without one."""
     id_type = docs.schema["id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
@@ -123,17 +127,15 @@ def lighter_prefixes(docs: DataFrame, k: int, percent: int, order: _Order) -> Da
         order = shared.value
         for batch in batches:
             for i, j, data, offsets in text_chunks(batch, "text"):
-                rows, out = [], []
-                for r, s in enumerate(_sets(data, offsets, k)):
+                n, out = [], []
+                for s in _sets(data, offsets, k):
                     size = _prefix_size(len(s), percent)
-                    kinds = order.kinds(s)
-                    if kinds[:size].any():
-                        rows.append(i + r)
-                        out.append(s[np.argsort(kinds, kind="stable")[:size]])
-                if rows:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), _lists(out)], names=["id", "lighter"])
+                    n.append(len(s))
+                    kinds = order.kinds(s) if order is not None and len(order.shingle) and size else None
+                    out.append(s[:size] if kinds is None or not kinds[:size].any() else s[np.argsort(kinds, kind="stable")[:size]])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), _lists(out)], names=["id", "n", "prefix"])
 
-    return map_arrow(docs, run, f"id {id_type}, lighter array<long>")
+    return map_arrow(docs, run, f"id {id_type}, n long, prefix array<long>")
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -164,7 +166,7 @@ class _Measured:
         """pairs (a, b, na, nb) with `common`, the size of the intersection. Big sets move once to the pairs of their point."""
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
         wanted = ids if self.sets is None else ids.join(self.sets.select("id"), "id", "left_anti")
-        made = checkpoint(shingle_sets(join_checked(self.docs, checkpoint(wanted), "id", "left_semi", rows=2_000_000), self.k).dropDuplicates(["id"]))
+        made = checkpoint(shingle_sets(join_checked(self.docs, checkpoint(wanted), "id", "left_semi", rows=ID_ROWS), self.k).dropDuplicates(["id"]))
         self.sets = made if self.sets is None else self.sets.unionByName(made)
         a = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
         b = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
@@ -186,34 +188,42 @@ def link_classes(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id",
     """id, n, component for every document: links are pairs with 100 * intersection >= percent * union."""
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     distance = float(1 - Fraction(percent, 100))
-    all_points = checkpoint(points(docs, k, percent))
-    # one point for each distinct set
-    reps = all_points.filter("n > 0").groupBy("fp", "n").agg(F.min(F.struct("id", "prefix")).alias("p"))
-    reps = checkpoint(reps.select("fp", "n", F.col("p.id").alias("id"), F.col("p.prefix").alias("prefix")))
-    counts = reps.select(F.explode("prefix").alias("shingle")).groupBy("shingle").count().filter(F.col("count") > HEAVY)
+    all_points = checkpoint(points(docs, k))
+    repeated = checkpoint(all_points.groupBy("id").count().filter("count > 1").select(F.col("id").alias("again")))
+    if not repeated.isEmpty():
+        is_repeated = F.col("id").eqNullSafe(F.col("again"))
+        one = join_checked(docs, repeated, is_repeated, "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+        docs = join_checked(docs, repeated, is_repeated, "left_anti").unionByName(one)
+        all_points = checkpoint(points(docs, k))
+    # one point for each distinct set: the others are copies
+    real = all_points.filter("n > 0 and id is not null")
+    reps = real.groupBy("fp", "n").agg(F.min("id").alias("rep"))
+    mapped = checkpoint(all_points.join(reps, ["fp", "n"], "left").select("id", "n", "rep"))
+    copies = checkpoint(mapped.filter("id <> rep").select("id"))
+    few = copies.limit(ID_ROWS + 1).count() <= ID_ROWS
+    only_points = lambda df: df.filter("n > 0 and id is not null").join(F.broadcast(copies) if few else copies, "id", "left_anti")
+    # the order: frequent shingles last
+    counts = only_points(prefixes(docs, k, percent)).select(F.explode("prefix").alias("shingle")).groupBy("shingle").count().filter(F.col("count") > HEAVY)
     counts = checkpoint(counts.withColumn("count", F.expr(f"`count` * 100 div {max(1, 100 - percent)}")))
     order = _Order(counts)
-    entries = reps.select("id", "n", "prefix")
     if len(order.shingle):
-        more = heavy_counts(docs, k, percent, order)
-        order = _Order(counts.unionByName(more).groupBy("shingle").agg(F.max("count").alias("count")))
-        lighter = lighter_prefixes(docs, k, percent, order).dropDuplicates(["id"])
-        entries = entries.join(lighter, "id", "left").select("id", "n", F.coalesce("lighter", "prefix").alias("prefix"))
-    entries = entries.select(F.posexplode("prefix").alias("pos", "region"), "id", "n")
+        order = _Order(counts.unionByName(heavy_counts(docs, k, percent, order)).groupBy("shingle").agg(F.max("count").alias("count")))
     # regions of more than one point, and their pivots
-    shared = entries.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n", "pos")).alias("pivot")).filter("size > 1")
-    members = checkpoint(entries.join(shared.select("region", F.col("pivot.id").alias("pivot"), F.col("pivot.n").alias("np"), F.col("pivot.pos").alias("pp")), "region"))
+    final = checkpoint(only_points(prefixes(docs, k, percent, order)))
+    entries = final.select(F.posexplode("prefix").alias("pos", "region"), "id", "n")
+    shared = checkpoint(entries.groupBy("region").count().filter("count > 1").select("region"))
+    members = checkpoint(join_checked(entries, shared, "region", "left_semi", rows=REGION_ROWS))
+    pivot = members.groupBy("region").agg(F.min("id").alias("id")).join(members, ["region", "id"]).select("region", F.col("id").alias("pivot"), F.col("n").alias("np"), F.col("pos").alias("pp"))
+    pairs = members.join(pivot, "region").filter("id <> pivot").filter(_may_link(F.col("n"), F.col("pos"), F.col("np"), F.col("pp"), percent))
+    pairs = pairs.select(F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb")).distinct()
     measured = _Measured(docs, k)
-    pairs = members.filter("id <> pivot").filter(_may_link(F.col("n"), F.col("pos"), F.col("np"), F.col("pp"), percent)).select(F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb")).distinct()
     known = measured.overlaps(checkpoint(pairs))
     linked = lambda m: m.filter(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent)
     edges = linked(known).select("a", "b")
     classes = checkpoint(components(edges))
-    classes = _closed(members.select("region", "id", "n", "pos"), known, edges, classes, measured, percent, distance, linked)
-    with_class = reps.select("fp", "n", "id").join(classes, "id", "left").select("fp", "n", F.coalesce("component", "id").alias("component"))
-    joined = all_points.select("id", "n", "fp").groupBy("id").agg(F.min(F.struct("fp", "n")).alias("p")).select("id", "p.fp", "p.n")
-    joined = joined.join(with_class, ["fp", "n"], "left")
-    return joined.select("id", "n", F.coalesce("component", "id").alias("component"))
+    classes = _closed(members, known, edges, classes, measured, percent, distance, linked)
+    found = mapped.join(classes.withColumnRenamed("id", "rep"), "rep", "left")
+    return found.select("id", "n", F.coalesce("component", "rep", "id").alias("component"))
 
 
 def _closed(members: DataFrame, known: DataFrame, edges: DataFrame, classes: DataFrame, measured: _Measured, percent: int, distance: float, linked) -> DataFrame:
