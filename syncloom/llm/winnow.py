@@ -30,7 +30,7 @@ from .textops import mix64
 
 K, W = 10, 50
 #: Rows of one range of ids.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 4_000
 _FACTORS = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) ** 3 % (1 << 64) | 1 for i in range(64)], np.uint64)
 
 
