@@ -84,7 +84,9 @@ def slots(sources: DataFrame, block_words: int = 256, shard_slots: int = 4096, s
     dealt = runs.repartition("s_id", "run").select("s_id", F.explode(F.sequence(F.col("run") * RUN_SLOTS, F.least(F.col("n"), (F.col("run") + 1) * RUN_SLOTS) - 1)).alias("slot"))
     drawn = dealt.groupBy("s_id", F.pmod(F.xxhash64(F.lit(seed), "s_id", "slot"), F.lit(shards)).alias("shard")).agg(F.count(F.lit(1)).alias("drawn"))
     first = F.coalesce(F.sum("drawn").over(Window.partitionBy("s_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    taken = drawn.withColumn("first", first).select("s_id", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("drawn") - 1)).alias("slot"))
+    drawn = drawn.withColumn("first", first)
+    drawn = drawn.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s_id", "shard")  # few rows here, but each becomes many
+    taken = drawn.select("s_id", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("drawn") - 1)).alias("slot"))
     taken = join_checked(taken, plan.select("s_id", "source_size", "blocks", "whole", "rest"), "s_id")
     taken = taken.withColumn("pass", F.expr("slot div blocks")).withColumn("i", F.expr("slot % blocks"))
     full = F.expr(f"source_size div {block_words}")
