@@ -102,7 +102,8 @@ def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = checkpoint(firsts.select(F.col("first.doc_id").alias("first"), before.alias("before")))
     copies = F.array_compact(F.array(F.struct("range", F.lit(0).alias("halo")), F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("range"), F.lit(1).alias("halo")))))
     dealt = join_checked(ranged(rows), firsts, F.col("doc_id").eqNullSafe(F.col("first")), "left").select("doc_id", "text", F.explode(copies).alias("at")).select("doc_id", "text", "at.range", "at.halo")
-    return dealt.repartition(len(edges) + 1, "range").sortWithinPartitions("range", "halo", "doc_id", "text")
+    # eight partitions a range: hashed, two ranges seldom meet in one
+    return dealt.repartition(8 * (len(edges) + 1), "range").sortWithinPartitions("range", "halo", "doc_id", "text")
 
 
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
