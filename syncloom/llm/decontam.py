@@ -2,9 +2,9 @@
 
 Tokens are words of letters and digits, lower case. A fixed mask picks some of the positions of a window of tokens; the hash of the picked ones is a
 seed, so that a substitution at an ignored position leaves it alone. Seeds of every position of the training texts are joined with those of the
-test items. Around each hit, along its diagonal (training position - test position), tokens are compared one by one and the best
-segment (match +1, mismatch -2) is the overlap. It counts if at least MIN_TOKENS of its tokens (or all of a shorter item) and
-MIN_IDENTITY of its length match. Items shorter than a mask are looked for whole.
+test items. Around each hit, along its diagonal (training position - test position), tokens are compared one by one. A segment counts if at least
+MIN_TOKENS of its tokens (or all of a shorter item) and MIN_IDENTITY of its length match. All segments of the diagonal are tested; that with the
+most matching tokens, without mismatches at its ends, is the overlap. Items shorter than a mask are looked for whole.
 
 Scale: training texts stream through one pass without a shuffle. Test items are sent to the workers in blocks of at most BLOCK_CHARS characters,
 one pass for each block, so that what is broadcast is bounded for a test set of any size.
@@ -16,6 +16,7 @@ its own item_id; an empty table on either side gives no rows; extra columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from functools import reduce
 
 import numpy as np
@@ -29,6 +30,7 @@ from .textops import mix64, words
 #: Fixed masks; 1 marks the positions that count.
 MASKS = ("111001011", "1101010011", "11001010011", "101101000101")
 MIN_TOKENS, MIN_IDENTITY = 13, 0.8
+IDENTITY = Fraction(str(MIN_IDENTITY))
 BLOCK_CHARS = 20_000_000
 _FACTORS = np.array([0xD1B54A32D192ED03 * (2 * i + 1) % (1 << 64) | 1 for i in range(64)], np.uint64)
 _FILTER_BITS = 22
@@ -47,6 +49,20 @@ def _seeds(hashes: np.ndarray, text: np.ndarray, mask: str) -> tuple[np.ndarray,
     return mix64(total[at]), at
 
 
+def _best_segment(same: np.ndarray) -> tuple[int, int, int]:
+    """(begin, size, matching) of the segment with the most matching tokens among all of which MIN_IDENTITY match; the first of equals."""
+    matched = np.concatenate([[0], np.cumsum(same)])
+    score = matched * IDENTITY.denominator - np.arange(len(matched)) * IDENTITY.numerator  # no less at a segment's end than at its begin, if enough match
+    earliest = np.searchsorted(-np.minimum.accumulate(score), -score, "left")
+    matching = matched - matched[earliest]
+    end = int(matching.argmax())
+    if not matching[end]:
+        return 0, 0, 0
+    begin = int(earliest[end])
+    begin += int(same[begin:end].argmax())
+    return begin, end - begin, int(matching[end])
+
+
 class Index:
     """Seeds of a block of test items."""
 
@@ -91,13 +107,8 @@ class Index:
             low = max(self.first[item], edges[t] - shift)
             high = min(self.first[item + 1], edges[t + 1] - shift)
             same = self.hash[low:high] == hashes[low + shift : high + shift]
-            score = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
-            gain = score - np.minimum.accumulate(score)
-            end = int(gain.argmax())
-            begin = int(score[: end + 1][::-1].argmin())
-            begin = end - begin
-            matching, size = int(same[begin:end].sum()), end - begin
-            if matching >= min(MIN_TOKENS, self.first[item + 1] - self.first[item]) and matching >= MIN_IDENTITY * size:
+            begin, size, matching = _best_segment(same)
+            if matching >= min(MIN_TOKENS, self.first[item + 1] - self.first[item]):
                 yield t, item, int(low + begin + shift - edges[t]), size, int(low + begin - self.first[item]), matching
 
 

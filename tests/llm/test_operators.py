@@ -324,6 +324,25 @@ def test_decontamination_equals_ngram_search(spark, sf):
     assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench).collect()} >= expected
 
 
+def test_longer_edited_leak_is_found(spark):
+    """Copying more of an item, with edits, doesn't hide the part that is a leak by itself."""
+    item = [f"i{n}" for n in range(55)]
+    edited = item[:13] + [w if n % 7 > 1 else f"x{n}" for n, w in enumerate(item[13:])]
+    docs = docs_of(spark, [" ".join(item[:13]), " ".join(edited), " ".join(["before"] * 9 + edited + ["after"] * 9)])
+    got = {r.doc_id: r for r in decontam.overlaps(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()}
+    assert set(got) == {0, 1, 2} and got[0].matching == 13 and got[2].doc_token == 9
+    assert all(r.matching >= 13 and r.matching >= 0.8 * r.tokens for r in got.values())
+
+
+def test_best_segment_equals_all_segments():
+    rng = np.random.default_rng(10)
+    for _ in range(400):
+        same = rng.random(rng.integers(1, 60)) < rng.choice([0.3, 0.6, 0.75, 0.9])
+        rule = [int(same[b:e].sum()) for b in range(len(same)) for e in range(b + 1, len(same) + 1) if 5 * same[b:e].sum() >= 4 * (e - b)]
+        begin, size, matching = decontam._best_segment(same)
+        assert matching == max(rule, default=0) == same[begin : begin + size].sum() and 5 * matching >= 4 * size
+
+
 # --- 6: chat
 
 
