@@ -1,7 +1,7 @@
 """Document fingerprints by winnowing.
 
 Every k successive code points are hashed; of every w successive hashes the smallest is selected, the rightmost among equals. Texts that
-share a run of k + w - 1 code points or more thus share a selected hash. Positions are kept beside the hashes, so a match can be found in both texts.
+share a run of k + w - 1 code points or more thus share a selected hash: ten, half of a text of twenty. Positions are kept beside the hashes, so a match can be found in both texts.
 A text with fewer than k code points is one hash; one with fewer than w hashes has their smallest.
 
 A fingerprint as a string is base64 of its (position gap, hash) pairs, 32 bits each, in order of position. Likeness is the share of distinct hashes
@@ -28,9 +28,12 @@ from pyspark.sql import functions as F
 from .common import checkpoint, join_checked, map_arrow, with_fields
 from .textops import mix64
 
-K, W = 10, 50
+#: Code points of a hash and hashes of a window. About one hash in three is kept, so the two fingerprints are some seven times as long as the text.
+K, W = 6, 5
 #: Rows of one range of ids.
 RANGE_ROWS = 4_000
+#: Characters of fingerprints that a worker gives out together, beyond those of one row.
+OUT_CHARS = 16_000_000
 _FACTORS = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) ** 3 % (1 << 64) | 1 for i in range(64)], np.uint64)
 
 
@@ -125,6 +128,7 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         names = [x.split()[0] for x in schema.split(", ")]
         for batch in batches:
             out: list[tuple] = []
+            size = 0
             for doc, text, part, halo in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
                 if halo and (held is None or held[0] != part or held[4]):
                     continue  # only the first row after a range's last own one counts
@@ -133,10 +137,11 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 own = (positions, hashes, np.unique(hashes))
                 if held is not None and held[0] == part:
                     out.append(row(held[1], held[2], held[3], points, own))
+                    size += len(out[-1][3]) + len(out[-1][4])
                 held = (part, doc, points, own, halo)
-                if len(out) >= 1000:
+                if len(out) >= 1000 or size >= OUT_CHARS:
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
-                    out = []
+                    out, size = [], 0
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 

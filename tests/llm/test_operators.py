@@ -492,6 +492,15 @@ def test_successors_and_edits(spark, monkeypatch, range_rows):
         assert got[i].near_edited == pytest.approx(jaccard_of(f, e)) and got[i].near_next == pytest.approx(jaccard_of(f, n))
 
 
+def test_edited_short_texts_stay_like(spark, monkeypatch):
+    """Half of a text of 20 code points holds a hash that is certain to be kept."""
+    monkeypatch.setattr(winnow, "OUT_CHARS", 3_000)  # several batches
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzé😀   ") for _ in range(n)) for n in [*range(20, 121)] * 2]
+    got = winnow.compared(docs_of(spark, texts)).collect()
+    assert len(got) == len(texts) and min(r.near_edited for r in got) > 0
+
+
 def test_winnowing_on_odd_input(spark, odd):
     assert winnow.compared(odd).count() == odd.count()
     assert winnow.compared(odd.limit(0)).count() == 0
