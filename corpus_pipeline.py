@@ -2,8 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and returns rows with the columns of documents; the last returns the mix.
 A stage's output is written as Parquet and read again as the next one's docs. Null or empty tables, null texts and repeated rows are handled as the
-operators' docstrings say; of repeated rows with one doc_id the near-duplicate stage keeps one. A document without any text has no language
-and goes in the first stage.
+operators' docstrings say. The near-duplicate and the leak stage tell rows by a hash of doc_id and text, not by doc_id alone: rows with one doc_id, or
+without any, and different texts are different documents; of rows with the same doc_id and text the near-duplicate stage keeps one. A document
+without any text has no language and goes in the first stage.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from syncloom.llm.common import checkpoint, join_checked, read, written
 #: Near duplicates: words of a shingle and least similarity in percent.
 SHINGLE_WORDS, SIMILARITY = 5, 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: What tells rows apart in the stages that drop copies and leaks.
+KEY = "_row_key"
 #: Rows of a list of ids that is broadcast; a longer one is joined by a shuffle.
 ID_ROWS = 2_000_000
 
@@ -30,6 +33,11 @@ def _restored(kept: DataFrame, docs: DataFrame) -> DataFrame:
     return kept.select(*[F.col(c if c in COLUMNS else f"_extra_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with KEY, a 64-bit hash of doc_id and text that is never null. It is the same whenever the rows are read, so nothing is written for it."""
+    return docs.withColumn(KEY, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified surely enough (operator 9)."""
     return _restored(language.identify_documents(_set_aside(docs)).filter("lid_keep"), docs)
@@ -42,18 +50,38 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each class of near duplicates (operator 4)."""
-    classes = jaccard.link_classes(docs, SHINGLE_WORDS, SIMILARITY)
-    gone = checkpoint(classes.filter("id <> component").select(F.col("id").alias("doc_id")))
-    kept = join_checked(docs, gone, "doc_id", "left_anti", rows=ID_ROWS).select(*[docs[f"`{c}`"] for c in docs.columns])
-    repeated = docs.groupBy("doc_id").count().filter(F.col("count") > 1)
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
+    """One document, that with the smallest id (none comes last), of each class of near duplicates (operator 4)."""
+    # rows whose doc_id is null or repeated are known by their hash; the others keep their doc_id, whose order makes few pivots and edges
+    unclear = checkpoint(docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").select(F.col("doc_id").alias("_unclear")))
+    clear = unclear.isEmpty()
+    if clear:
+        keyed = docs.withColumn(KEY, F.col("doc_id"))
+    else:
+        marked = join_checked(_keyed(docs), unclear.filter("_unclear is not null"), F.col("doc_id") == F.col("_unclear"), "left")
+        keyed = marked.withColumn(KEY, F.when(F.col("doc_id").isNull() | F.col("_unclear").isNotNull(), F.col(KEY)).otherwise(F.col("doc_id"))).drop("_unclear")
+    classes = jaccard.link_classes(keyed, SHINGLE_WORDS, SIMILARITY, id_col=KEY)
+    gone = checkpoint(classes.filter("id <> component").select(F.col("id").alias(KEY)))
+    if clear:
+        return join_checked(keyed, gone, KEY, "left_anti", rows=ID_ROWS).select(*[f"`{c}`" for c in docs.columns])
+    # a class has the smallest key of its members as component, which needn't be that of the smallest id
+    others = checkpoint(classes.filter("id <> component").select("id", "component").distinct())
+    members = checkpoint(others.unionByName(others.select(F.col("component").alias("id"), "component").distinct()))
+    ids = join_checked(keyed.select(F.col(KEY).alias("id"), "doc_id"), members, "id", rows=ID_ROWS)
+    first = ids.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "id")).alias("first")).select("first.id")
+    gone = checkpoint(members.join(first, "id", "left_anti").select(F.col("id").alias(KEY)))
+    kept = join_checked(keyed, gone, KEY, "left_anti", rows=ID_ROWS)
+    repeated = checkpoint(keyed.groupBy(KEY).count().filter("count > 1").select(KEY))
+    if not repeated.isEmpty():
+        one = join_checked(kept, repeated, KEY, "left_semi").dropDuplicates([KEY, "doc_id", "text"])
+        kept = join_checked(kept, repeated, KEY, "left_anti").unionByName(one)
+    return kept.select(*[f"`{c}`" for c in docs.columns])
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an overlap with any item of `benchmark` (operator 5)."""
-    leaks = checkpoint(decontam.contaminated(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct())
-    return join_checked(docs, leaks, "doc_id", "left_anti", rows=ID_ROWS).select(*[docs[f"`{c}`"] for c in docs.columns])
+    keyed = _keyed(docs)
+    leaks = checkpoint(decontam.contaminated(keyed, read(spark, sf_dir, "benchmark"), id_col=KEY).select(F.col("doc_id").alias(KEY)).distinct())
+    return join_checked(keyed, leaks, KEY, "left_anti", rows=ID_ROWS).select(*[f"`{c}`" for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

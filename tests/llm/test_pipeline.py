@@ -65,3 +65,19 @@ def test_repeated_rows_leave_one(spark, corpus):
     docs = cp.read(spark, corpus, "documents").filter("doc_id < 20")
     twice = cp.checkpoint(docs.unionByName(docs))
     assert cp.drop_near_duplicates(spark, twice, corpus).count() == 20
+
+
+def test_rows_are_told_apart_without_ids(spark, corpus):
+    """Rows without doc_id, or with one doc_id and different texts, are documents of their own."""
+    rng = random.Random(2)
+    fresh = lambda n: " ".join(rng.choice(WORDS) + str(rng.randint(0, 99)) for _ in range(n))
+    leak = spark.read.parquet(f"{corpus}/benchmark.parquet").first().text
+    a, b, c, d, e, f = (fresh(80) for _ in range(6))
+    rows = [(None, a), (None, b), (None, b), (1, c), (None, c + " tail"), (2, d), (2, e), (2, e), (9, f), (3, f + " tail"), (4, leak + " " + fresh(60)), (4, fresh(70)), (None, fresh(40) + " " + leak)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = lambda df: sorted(((r.doc_id or 0, r.text) for r in df.collect()))
+    near = cp.drop_near_duplicates(spark, docs, corpus)
+    assert near.columns == docs.columns
+    assert got(near) == sorted((i or 0, t) for i, t in [(None, a), (None, b), (1, c), (2, d), (2, e), (3, f + " tail"), *rows[10:]])
+    clean = cp.drop_benchmark_leaks(spark, docs, corpus)
+    assert clean.columns == docs.columns and got(clean) == sorted((i or 0, t) for i, t in [*rows[:10], rows[11]])
