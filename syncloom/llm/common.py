@@ -76,6 +76,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def bounded_sample(df: DataFrame, rows: int, seed: int) -> pa.Table:
+    """At most `rows` different rows of df (label, text), picked by a hash of the text and in its order, on the driver.
+
+    Copies of a text count once, and are taken together before anything is sent.
+    """
+    place = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 40))
+    share = min(1.0, 1.05 * rows / max(1, df.count()))
+    picked = df.filter(place < int(share * (1 << 40)) + 1).distinct()
+    return picked.orderBy(place, "text", "label").limit(rows).toArrow().combine_chunks()
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts and the n+1 offsets of the texts in them; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
