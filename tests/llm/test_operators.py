@@ -363,13 +363,107 @@ def test_longer_edited_leak_is_found(spark):
     assert all(r.matching >= 13 and r.matching >= 0.8 * r.tokens for r in got.values())
 
 
-def test_best_segment_equals_all_segments():
+def valid_segments(same, need):
+    """(begin, end, matching) of all segments that meet the rule, tried one by one."""
+    out = []
+    for b in np.flatnonzero(same):
+        for e in np.flatnonzero(same[b:]) + b + 1:
+            n = int(same[b:e].sum())
+            if n >= need and 5 * n >= 4 * (e - b):
+                out.append((int(b), int(e), n))
+    return out
+
+
+def stretches_of(segments):
+    """{(begin, end): most matching} of the unions of segments that meet."""
+    out = []
+    for b, e, n in sorted(segments):
+        if out and b <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e), max(out[-1][2], n))
+        else:
+            out.append((b, e, n))
+    return {(b, e): n for b, e, n in out}
+
+
+def test_segments_equal_all_segments():
     rng = np.random.default_rng(10)
-    for _ in range(400):
+    for _ in range(300):
         same = rng.random(rng.integers(1, 60)) < rng.choice([0.3, 0.6, 0.75, 0.9])
-        rule = [int(same[b:e].sum()) for b in range(len(same)) for e in range(b + 1, len(same) + 1) if 5 * same[b:e].sum() >= 4 * (e - b)]
-        begin, size, matching = decontam._best_segment(same)
-        assert matching == max(rule, default=0) == same[begin : begin + size].sum() and 5 * matching >= 4 * size
+        need = int(rng.choice([1, 5, 13]))
+        rule = valid_segments(same, need)
+        found = list(zip(*(x.tolist() for x in decontam._segments(same, need)), strict=True))
+        assert set(found) <= set(rule) and stretches_of(found) == stretches_of(rule)
+
+
+def brute_overlaps(doc, item):
+    """{(begin, end): most matching} of one text and one item, over every diagonal that any mask hits."""
+    a, b = (re.findall(r"[^\W_]+", t.lower()) for t in (doc, item))
+    if not a or not b:
+        return {}
+    masks = [m for m in decontam.MASKS if len(m) <= len(b)] + (["1" * len(b)] if len(b) < min(map(len, decontam.MASKS)) else [])
+    segments = []
+    for shift in range(1 - len(b), len(a)):
+        low, high = max(0, -shift), min(len(b), len(a) - shift)
+        same = np.array([a[i + shift] == b[i] for i in range(low, high)])
+        if any(all(same[at + j] for j, bit in enumerate(m) if bit == "1") for m in masks for at in range(len(same) - len(m) + 1)):
+            segments += [(s + low + shift, e + low + shift, n) for s, e, n in valid_segments(same, min(decontam.MIN_TOKENS, len(b)))]
+    return stretches_of(segments)
+
+
+def test_overlaps_equal_brute_force(spark, monkeypatch):
+    """No stretch is missing and none is made up: substitutions, two parts of one diagonal, repetitive texts and items."""
+    rng = random.Random(12)
+    fresh = lambda n, v: [f"w{rng.randrange(v)}" for _ in range(n)]
+    items = [fresh(60, 500), fresh(40, 500), ["ha"] * 30, ["yes", "no"] * 20, fresh(45, 2), fresh(5, 500), (fresh(7, 50) * 6)[:40], ["lone"]]
+    docs = []
+    for _ in range(45):
+        doc = fresh(rng.randint(0, 20), 500)
+        for _ in range(rng.randint(1, 3)):
+            part = list(rng.choice(items))
+            at = rng.randrange(len(part))
+            part = part[at:] if rng.random() < 0.3 else part[: at + 1] if rng.random() < 0.3 else part
+            doc += [w if rng.random() > rng.choice([0, 0.1, 0.25]) else f"x{rng.randrange(99)}" for w in part * rng.choice([1, 1, 2])] + fresh(rng.randint(0, 25), 500)
+        docs.append(doc)
+    docs += [items[0][:20] + fresh(30, 500) + items[0][50:] + items[0][20:34], ["ha"] * 200, ["yes", "no"] * 90, fresh(150, 2), [], ["lone"]]
+    texts = [" ".join(d) for d in docs]
+    tests = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    expected = {(d, i, b, e - b): n for d, t in enumerate(texts) for i, x in enumerate(items) for (b, e), n in brute_overlaps(t, " ".join(x)).items()}
+    for pairs in (decontam.PAIRS, 7):
+        monkeypatch.setattr(decontam, "PAIRS", pairs)
+        got = decontam.overlaps(docs_of(spark, texts), tests).collect()
+        assert {(r.doc_id, r.item_id, r.from_token, r.stretch_tokens): r.matching for r in got} == expected and len(got) == len(expected)
+        for r in got:  # the segment told meets the rule itself
+            same = [x == y for x, y in zip(docs[r.doc_id][r.doc_token : r.doc_token + r.tokens], items[r.item_id][r.item_token : r.item_token + r.tokens], strict=True)]
+            assert sum(same) == r.matching and 5 * r.matching >= 4 * r.tokens and same[0] and same[-1]
+            assert r.from_token <= r.doc_token and r.doc_token + r.tokens <= r.from_token + r.stretch_tokens
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs_of(spark, texts), tests).collect()} == {k[:2] for k in expected}
+
+
+@pytest.mark.parametrize("words", [["ha"], ["yes", "no"], list("abcdefghij")])
+def test_repetitive_text_is_cheap(words):
+    import time
+    import tracemalloc
+
+    index = decontam.Index([1], [" ".join((words * 1000)[:1000])])
+    data = (" ".join((words * 20_000)[:20_000])).encode()
+    w = decontam.words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), "alnum")
+    tracemalloc.start()
+    began = time.perf_counter()
+    got = list(index.overlaps(w.hash, w.text))
+    seconds, peak = time.perf_counter() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(x[2], x[3], x[7]) for x in got] == [(0, 20_000, 1000)]
+    assert seconds < 5 and peak < 200e6
+
+
+def test_decontamination_on_odd_input(spark, odd):
+    """Repeated rows are reported each, null ids and texts don't stop it, long text is read whole, extra columns don't matter."""
+    end = odd.filter("doc_id = 4").first().text.split()[-40:]
+    tests = spark.createDataFrame([(1, " ".join(end), 5), (1, " ".join(end), 5), (2, None, 5), (3, " ", 5), (4, "alpha beta gamma", 5)], "item_id long, text string, doc_id int").withColumn("tokens", F.lit("x"))
+    got = decontam.overlaps(odd, tests).collect()
+    assert [r.from_token + r.stretch_tokens for r in got if r.item_id == 1 and r.doc_id == 4 and r.matching == 40] == [60_000] * 2
+    assert any(r.doc_id is None and r.item_id == 4 for r in got) and not any(r.doc_id in (0, 1, 2, 3, 5) for r in got)
+    assert decontam.contaminated(odd, tests).filter("doc_id = 4 and item_id = 1").count() == 1
 
 
 # --- 6: chat
