@@ -10,12 +10,12 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: A side with at most so many rows is broadcast; beyond that the join shuffles (adaptive execution splits hot keys).
-BROADCAST_ROWS = 200_000
+#: A side with at most so many rows and bytes is broadcast; beyond that the join shuffles (adaptive execution splits hot keys).
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 #: Bytes of text that a Python worker looks at together. Bounds its memory at some thirty times this; one longer text goes alone.
 CHUNK_BYTES = 1 << 20
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -45,10 +45,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _width(c: Column, kind: T.DataType) -> Column:
+    """Bytes of a value, about."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.StringType | T.BinaryType | T.ArrayType | T.StructType):
+            return F.aggregate(F.coalesce(c, F.array().cast(kind)), F.lit(16), lambda total, x: total + _width(x, kind.elementType).cast("int"))
+        return F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) * 8 + 16
+    if isinstance(kind, T.StructType):
+        return sum((_width(c[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    return F.lit(8)
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether df may be broadcast, by the number of its rows and their bytes (counted where they are)."""
+    width = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(8))
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
+    return found["rows"] <= rows and found["size"] <= size
+
+
 def join_checked(left: DataFrame, right: DataFrame, on: Column | list[str] | str, how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join that broadcasts the right side only after counting it; a larger one is joined by a shuffle."""
-    small = right.limit(rows + 1).count() <= rows
-    return left.join(F.broadcast(right) if small else right, on, how)
+    """Join that broadcasts the right side only after counting it; a larger one is joined by a shuffle. The right side is best checkpointed before."""
+    return left.join(F.broadcast(right) if is_small(right, rows) else right, on, how)
+
+
+def fold(id_col: str, folds: int) -> Column:
+    """crc32 of the id as text, mod `folds`; -1 without an id."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds, F.lit(-1))
 
 
 def map_arrow(df: DataFrame, f: Callable, schema) -> DataFrame:
@@ -76,15 +100,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def bounded_sample(df: DataFrame, rows: int, seed: int) -> pa.Table:
+def bounded_sample(df: DataFrame, rows: int, seed: int, labels: list | None = None) -> pa.Table:
     """At most `rows` different rows of df (label, text), picked by a hash of the text and in its order, on the driver.
 
-    Copies of a text count once, and are taken together before anything is sent.
+    With labels, each of them has its equal part of the rows, and all its rows if they are fewer. Copies of a text count once, and are taken
+    together before anything is sent.
     """
     place = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 40))
-    share = min(1.0, 1.05 * rows / max(1, df.count()))
-    picked = df.filter(place < int(share * (1 << 40)) + 1).distinct()
-    return picked.orderBy(place, "text", "label").limit(rows).toArrow().combine_chunks()
+    part = rows if labels is None else rows // max(1, len(labels))
+    limit = lambda n: int(min(1.0, 1.05 * part / max(1, n)) * (1 << 40)) + 1
+    if labels is None:
+        return df.filter(place < limit(df.count())).distinct().orderBy(place, "text", "label").limit(rows).toArrow().combine_chunks()
+    counts = {r["label"]: r["count"] for r in df.filter(F.col("label").isin(labels)).groupBy("label").count().collect()} if labels else {}
+    limits = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, limit(n))]) if counts else F.create_map().cast("map<string,bigint>")
+    picked = df.filter(place < F.coalesce(F.try_element_at(limits, F.col("label")), F.lit(0))).distinct().withColumn("place", place)
+    order = Window.partitionBy("label").orderBy("place", "text")  # a bounded number of rows by now
+    ranked = picked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= part)
+    return ranked.orderBy("label", "rank").select("label", "text").toArrow().combine_chunks()
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -3,15 +3,17 @@
 Four kinds of evidence are multiplied: the text (naive Bayes over hashed byte trigrams, tempered so that a long text doesn't drown the
 rest), the declared markup language, the address suffix and the host. P(declared | language), P(language | suffix) and P(language | host) come from
 grouped counts over all rows of the text model's own decisions; the host prior is smoothed towards its suffix's and that one towards
-all rows'. The class "und" finds all trigrams equally unlikely: text that no language explains better is und.
+all rows'. A row's own decision is left out of every count that judges it. The class "und" finds all trigrams equally unlikely: text that no
+language explains better is und.
 
-Scale: one pass over the texts for the counts and one for the scores; only counts are shuffled, with map-side combining. The host table is
-broadcast only if its counted size allows. The model is fitted on the driver from a bounded sample: about SAMPLE_ROWS labelled rows of at
-most SAMPLE_CHARS characters each.
+Scale: one pass over the texts for the counts and one for the scores; only counts are shuffled, with map-side combining. The tables of hosts,
+suffixes and declared values are broadcast only if their counted size allows, else joined by a shuffle. The model is fitted on the driver from
+a bounded sample: at most SAMPLE_ROWS different labelled texts of at most SAMPLE_CHARS characters, in equal parts of all languages (a language
+with fewer texts gives all). The model knows the MOST_LANGUAGES labels with most rows, which bounds its table.
 
-Defined results: null, empty or letterless text is und, with posterior 1; null evidence is left out; repeated rows count each; an empty
-table gives no rows; extra columns are kept by `identified`, whose own columns begin with lid_
-(such columns of the input are replaced).
+Defined results: null, empty or letterless text is und, with posterior 1; null evidence is left out; of equal likelihoods the first language in
+order wins; repeated rows count each, in the sample once; an empty table gives no rows; extra columns are kept by `identified`, whose own
+columns begin with lid_ (such columns of the input are replaced).
 """
 
 from __future__ import annotations
@@ -23,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, join_checked, map_arrow, text_chunks, with_fields
+from .common import bounded_sample, checkpoint, fold, join_checked, map_arrow, text_chunks, with_fields
 from .textops import byte_ngrams, lower_latin
 
 BITS = 14
 UND = "und"
-SAMPLE_ROWS, SAMPLE_CHARS, SEED = 4_000, 20_000, 5
+SAMPLE_ROWS, SAMPLE_CHARS, MOST_LANGUAGES, SEED = 4_000, 20_000, 256, 5
+#: `documents` are fitted on without those whose crc32 of the id, mod FOLDS, is HELD_OUT.
+FOLDS, HELD_OUT = 4, 2
 #: Trigrams of a text that count in full; the log likelihood of a longer one is scaled down to so many.
 EVIDENCE = 60
 #: Rows that a parent's prior is worth when it smooths a host's or suffix's counts; and when it smooths P(declared | language).
@@ -65,23 +69,28 @@ class TextModel:
 
 def fit_text_model(labelled: DataFrame, text_col: str, label_col: str, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> TextModel:
     """Trigram counts by label from a bounded sample picked by a hash of the text."""
-    usable = labelled.filter(F.col(label_col).isNotNull() & (F.length(text_col).between(1, chars)))
-    share = min(1.0, rows / max(1, usable.count()))
-    picked = usable.filter(F.pmod(F.xxhash64(F.lit(SEED), text_col), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    sample = picked.select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label")).toArrow()
-    labels = np.array(sample.column("label").to_pylist(), dtype=object)
-    languages = sorted(set(labels)) or ["und0"]
+    usable = labelled.select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text")).filter(F.col("label").isNotNull() & F.length("text").between(1, chars))
+    known = [r["label"] for r in usable.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES).collect()]
+    sample = bounded_sample(usable, rows, SEED, known)
+    languages = sorted(known) or ["und0"]
     counts = np.zeros((len(languages), 1 << BITS))
-    code = np.searchsorted(languages, labels) if len(labels) else np.zeros(0, int)
-    for batch in sample.combine_chunks().to_batches():
+    code = np.searchsorted(languages, np.array(sample.column("label").to_pylist(), dtype=object)) if sample.num_rows else np.zeros(0, int)
+    at = 0
+    for batch in sample.to_batches():
         for i, j, data, offsets in text_chunks(batch, "text"):
             grams, text = byte_ngrams(lower_latin(data), offsets, 3, BITS)
-            np.add.at(counts, (code[i:j][text], grams), 1)
+            np.add.at(counts, (code[at + i : at + j][text], grams), 1)
+        at += batch.num_rows
     smoothed = counts + 0.05
     table = np.log(smoothed / smoothed.sum(1, keepdims=True))
     return TextModel([*languages, UND], np.vstack([table, np.full(1 << BITS, UND_LOG)]).astype(np.float64))
 
 
+def _counts_of(column: pa.Array, size: int) -> np.ndarray:
+    """An array column without nulls as a matrix."""
+    return np.asarray(column.flatten()).reshape(-1, size)
+
+
 def _text_best(model: TextModel, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,40 +114,18 @@ def identified(docs: DataFrame, model: TextModel, text: Column, declared: Column
     keys = ["lid_declared", "lid_host", "lid_suffix"]
     best = map_arrow(given.select("lid_text", *keys), _text_best(model, keys), "lid_declared string, lid_host string, lid_suffix string, lid_best int")
     counts = checkpoint(best.groupBy(*keys, "lid_best").agg(F.count(F.lit(1)).alias("rows")))
-    per = [F.sum(F.when(F.col("lid_best") == c, F.col("rows")).otherwise(0)).cast("double") for c in range(size)]
-
-    total = np.array(counts.agg(*[x.alias(f"c{c}") for c, x in enumerate(per)]).first(), dtype=object)
+    per = F.array(*[F.sum(F.when(F.col("lid_best") == c, F.col("rows")).otherwise(0)).cast("double") for c in range(size)])
+    total = np.array(counts.agg(per.alias("own")).first()["own"], dtype=object)
     total = np.array([0.0 if x is None else float(x) for x in total])
-    base = total + 1.0
-    base[-1] = 0.0
-    base = base / base.sum() * (1 - UND_PRIOR)
-    base[-1] = UND_PRIOR
-
-    suffixes = counts.filter("lid_suffix is not null").groupBy("lid_suffix").agg(F.array(*per).alias("own"))
-    hosts = counts.filter("lid_host is not null").groupBy("lid_host", "lid_suffix").agg(F.array(*per).alias("own"))
-    hosts = hosts.groupBy("lid_host").agg(F.max("lid_suffix").alias("lid_suffix"), F.array(*[F.sum(F.element_at("own", c + 1)) for c in range(size)]).alias("own"))
-
-    def smooth(own: Column, parent: Column) -> Column:
-        whole = F.aggregate(own, F.lit(0.0), lambda a, x: a + x) + HOST_ROWS
-        return F.zip_with(own, parent, lambda o, p: (o + p * HOST_ROWS) / whole)
-
-    of_all = F.array(*[F.lit(float(x)) for x in base])
-    suffixes = suffixes.select("lid_suffix", smooth(F.col("own"), of_all).alias("lid_suffix_prior"))
-    hosts = join_checked(hosts, suffixes, "lid_suffix", "left").select("lid_host", smooth(F.col("own"), F.coalesce("lid_suffix_prior", of_all)).alias("lid_host_prior"))
-
-    # P(declared | language): a bounded table, for its rows are languages; rare declarations are taken together
-    seen = counts.filter("lid_declared is not null").groupBy("lid_declared").agg(F.sum("rows").alias("n"), *[x.alias(f"c{c}") for c, x in enumerate(per)]).orderBy(F.desc("n"), "lid_declared").limit(500).collect()
-    kinds = max(1, len(seen)) + 1
-    likely = {r.lid_declared: np.array([(r[f"c{c}"] + DECLARED_ROWS / kinds) / (total[c] + DECLARED_ROWS) for c in range(size)]) for r in seen}
-    for r in likely.values():
-        r[-1] = 1.0 / kinds  # und explains every declaration alike
-    other = np.array([DECLARED_ROWS / kinds / (total[c] + DECLARED_ROWS) for c in range(size)])
-    other[-1] = 1.0 / kinds
-
-    given = join_checked(given, suffixes, "lid_suffix", "left") if suffix is not None else given.withColumn("lid_suffix_prior", F.lit(None).cast("array<double>"))
-    given = join_checked(given, hosts, "lid_host", "left") if host is not None else given.withColumn("lid_host_prior", F.lit(None).cast("array<double>"))
-    given = given.withColumn("lid_prior", F.coalesce("lid_host_prior", "lid_suffix_prior", of_all))
-
+    tables = {}
+    for key, given_evidence in (("lid_declared", declared), ("lid_host", host), ("lid_suffix", suffix)):
+        nothing = F.array(*[F.lit(0.0)] * size)
+        if given_evidence is None:
+            given = given.withColumn(f"{key}_own", nothing)
+            continue
+        tables[key] = checkpoint(counts.filter(F.col(key).isNotNull()).groupBy(key).agg(per.alias(f"{key}_own")))
+        given = join_checked(given, tables[key], key, "left").withColumn(f"{key}_own", F.coalesce(f"{key}_own", nothing))
+    kinds = 1 + (tables["lid_declared"].count() if declared is not None else 0)
     kept = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,28 +134,43 @@ def identified(docs: DataFrame, model: TextModel, text: Column, declared: Column
         for batch in batches:
             for i, j, data, offsets in text_chunks(batch, "lid_text"):
                 part = batch.slice(i, j - i)
+                column = lambda name: part.column(part.schema.get_field_index(name))  # noqa: B023, E731
                 mean, n = model.likelihoods(data, offsets)
-                prior = np.array(part.column("lid_prior").to_pylist(), dtype=np.float64).reshape(j - i, size)
+                alone = np.where(n > 0, mean.argmax(1), size - 1)
+                own = np.zeros((j - i, size))
+                own[np.arange(j - i), alone] = 1  # what the row itself adds to counts
+                prior = np.maximum(total - own, 0) + 1
+                prior[:, -1] = 0
+                prior *= (1 - UND_PRIOR) / prior.sum(1, keepdims=True)
+                prior[:, -1] = UND_PRIOR
+                for key in ("lid_suffix", "lid_host"):  # from the wider to the narrower
+                    others = np.maximum(_counts_of(column(f"{key}_own"), size) - own, 0)
+                    prior = (others + prior * HOST_ROWS) / (others.sum(1, keepdims=True) + HOST_ROWS)
                 log = mean * np.minimum(n, EVIDENCE)[:, None] + np.log(np.maximum(prior, 1e-12))
-                log += np.array([np.zeros(size) if d is None else np.log(likely.get(d, other)) for d in part.column("lid_declared").to_pylist()]).reshape(j - i, size)
+                others = np.maximum(_counts_of(column("lid_declared_own"), size) - own, 0)
+                likely = (others + DECLARED_ROWS / kinds) / (np.maximum(total - own, 0) + DECLARED_ROWS)
+                likely[:, -1] = 1 / kinds  # und explains every declaration alike
+                log += np.where(np.asarray(column("lid_declared").is_valid())[:, None], np.log(likely), 0)
                 log -= log.max(1, keepdims=True)
                 p = np.exp(log)
                 p /= p.sum(1, keepdims=True)
                 top = np.where(n > 0, p.argmax(1), size - 1)
                 sure = np.where(n > 0, p[np.arange(j - i), top], 1.0)
-                alone = np.where(n > 0, mean.argmax(1), size - 1)
                 keep = (top != size - 1) & (sure >= least)
                 added = [pa.array(labels[top], pa.string()), pa.array(np.round(sure, 6)), pa.array(labels[alone], pa.string()), pa.array(keep)]
-                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in kept], *added], names=out_names)
+                yield pa.RecordBatch.from_arrays([*[column(c) for c in kept], *added], names=out_names)
 
-    ordered = given.select(*kept, "lid_text", "lid_declared", "lid_prior")
+    ordered = given.select(*kept, "lid_text", "lid_declared", *[f"{k}_own" for k in keys])
     schema = with_fields(docs.schema, lid_lang="string", lid_posterior="double", lid_text_lang="string", lid_keep="boolean")
     return map_arrow(ordered, run, schema)
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:
-    """`docs` with the lid_ columns: `lang` is the declared language and the training label, `source` stands for the host."""
-    model = fit_text_model(docs, "text", "lang")
+    """`docs` with the lid_ columns: `lang` is the declared language, `source` stands for the host.
+
+    `lang` is the training label, too, so the text model is fitted without the held-out fold: what it says there isn't learnt from the same rows.
+    """
+    model = fit_text_model(docs.filter(fold("doc_id", FOLDS) != HELD_OUT), "text", "lang")
     return identified(docs, model, F.col("text"), F.col("lang"), F.col("source"))
 
 

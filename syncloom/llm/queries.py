@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, cnn, decontam, jaccard, language, mixing, quality, reputation, sql, tokens, winnow
-from .common import read
+from .common import fold, read
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    learnt = docs.join(read(spark, sf_dir, "labels").filter(cnn.fold("doc_id", 4) != 2).select("doc_id", "quality"), "doc_id")
+    learnt = docs.join(read(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2).select("doc_id", "quality"), "doc_id")
     scored = quality.scored(docs, quality.fit(docs, learnt))
-    return scored.select("doc_id", (cnn.fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,14 +56,15 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    learnt = docs.join(read(spark, sf_dir, "labels").filter(cnn.fold("doc_id", 5) != 0).select("doc_id", "toxic"), "doc_id")
+    learnt = docs.join(read(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0).select("doc_id", "toxic"), "doc_id")
     scored = cnn.scored(docs, cnn.fit(learnt))
-    return scored.select("doc_id", (cnn.fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify_documents(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
-    return found.select("doc_id", F.col("lid_lang").alias("language"), F.col("lid_posterior").alias("posterior"), F.col("lid_text_lang").alias("text_language"), F.col("lid_keep").alias("keep"))
+    held_out = fold("doc_id", language.FOLDS) == language.HELD_OUT
+    return found.select("doc_id", F.col("lid_lang").alias("language"), F.col("lid_posterior").alias("posterior"), F.col("lid_text_lang").alias("text_language"), F.col("lid_keep").alias("keep"), held_out.alias("held_out"))
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -525,9 +525,59 @@ def test_reputation_shrinks(spark):
 
 
 def test_language(spark, sf):
-    found = language.identify_documents(spark.read.parquet(sf.replace("0.001", "0.01") + "/documents.parquet"))
-    right = found.agg(F.avg((F.col("lang") == F.col("lid_lang")).cast("int")), F.avg(F.col("lid_keep").cast("int"))).first()
-    assert right[0] > 0.99 and right[1] > 0.99
+    """Rows that the model wasn't fitted on, by all evidence and by the text alone."""
+    found = language.identify_documents(spark.read.parquet(sf.replace("0.001", "0.01") + "/documents.parquet")).filter(common.fold("doc_id", language.FOLDS) == language.HELD_OUT)
+    right = found.agg(F.avg((F.col("lang") == F.col("lid_lang")).cast("int")), F.avg((F.col("lang") == F.col("lid_text_lang")).cast("int")), F.avg(F.col("lid_keep").cast("int"))).first()
+    assert right[0] > 0.99 and right[1] > 0.97 and right[2] > 0.99
+
+
+def test_language_sample_is_bounded(spark):
+    """Copies don't enlarge the sample, and a rare language has all its texts in it."""
+    rows = [("copy of one text", "en")] * 20_000 + [(f"text number {i}", "en") for i in range(20_000)] + [(f"texte {i}", "fr") for i in range(30)]
+    df = spark.createDataFrame(rows, "text string, label string")
+    sample = common.bounded_sample(df, 4_000, language.SEED, ["en", "fr"]).to_pylist()
+    assert 900 < len(sample) <= 4_000 and sum(r["label"] == "fr" for r in sample) == 30
+    assert "fr" in language.fit_text_model(df, "text", "label").languages
+
+
+def test_fusion_equals_the_formula(spark):
+    """Posteriors row by row: priors from all to suffix to host, declared likelihoods, each without the row itself."""
+    rng, words_of = random.Random(13), {"aa": "mura kilo tane", "bb": "strelf gronk plim"}
+    rows = []
+    for i in range(60):
+        lang = rng.choice(["aa", "bb"])
+        words = words_of[lang if rng.random() < 0.9 else "aa"].split()
+        rows.append((i, " ".join(rng.choices(words, k=rng.randint(1, 4))) if i % 15 else "", lang if i % 3 else None, rng.choice(["h1", "h2", None]) if lang == "aa" else "h3", rng.choice(["x", "y", None])))
+    df = spark.createDataFrame(rows, "id int, text string, declared string, host string, suffix string")
+    model = language.fit_text_model(df, "text", "declared")
+    got = {r.id: r for r in language.identified(df, model, F.col("text"), F.col("declared"), F.col("host"), F.col("suffix")).collect()}
+    size = len(model.languages)
+    best = {}
+    for i, text, *_ in rows:
+        raw = text.encode()
+        mean, n = model.likelihoods(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        best[i] = (int(mean[0].argmax()) if n[0] else size - 1, mean[0], int(n[0]))
+    kinds = 1 + len({r[2] for r in rows} - {None})
+    for i, _, declared, host, suffix in rows:
+        others = [r for r in rows if r[0] != i]
+        count = lambda keep: np.bincount([best[r[0]][0] for r in others if keep(r)], minlength=size).astype(float)  # noqa: B023, E731
+        total = count(lambda r: True)
+        prior = total + 1
+        prior[-1] = 0
+        prior = prior / prior.sum() * (1 - language.UND_PRIOR)
+        prior[-1] = language.UND_PRIOR
+        for k, value in ((4, suffix), (3, host)):
+            own = count(lambda r: value is not None and r[k] == value)  # noqa: B023
+            prior = (own + prior * language.HOST_ROWS) / (own.sum() + language.HOST_ROWS)
+        log = best[i][1] * min(best[i][2], language.EVIDENCE) + np.log(prior)
+        if declared is not None:
+            likely = (count(lambda r: r[2] == declared) + language.DECLARED_ROWS / kinds) / (total + language.DECLARED_ROWS)  # noqa: B023
+            likely[-1] = 1 / kinds
+            log = log + np.log(likely)
+        p = np.exp(log - log.max())
+        p /= p.sum()
+        assert got[i].lid_posterior == pytest.approx(p.max() if best[i][2] else 1.0, abs=1e-5)
+        assert got[i].lid_lang == model.languages[int(p.argmax()) if best[i][2] else size - 1]
 
 
 def test_language_evidence(spark, sf):
