@@ -15,7 +15,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     learnt = docs.join(read(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2).select("doc_id", "quality"), "doc_id")
     scored = quality.scored(docs, quality.fit(docs, learnt))
-    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= quality.LEVEL).cast("int").alias("predicted"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,17 +50,62 @@ def test_quality_learns(spark, sf):
     assert docs.count() == q.op1_quality(spark, sf.replace("0.001", "0.01")).count()
 
 
-def test_votes_are_exact():
+def test_quality_parts_the_labels(spark, sf):
+    sf = sf.replace("0.001", "0.1")
+    labels = spark.read.parquet(sf + "/labels.parquet")
+    got = q.op1_quality(spark, sf).join(labels, "doc_id").filter("held_out").groupBy("quality").agg(F.avg("predicted").alias("p")).collect()
+    share = {r.quality: r.p for r in got}
+    assert share[1] > 0.95 and share[0] < 0.12
+
+
+def test_votes_are_exact(monkeypatch):
+    monkeypatch.setattr(quality, "NEIGHBOURS", 12)
     rng = np.random.default_rng(1)
     v = quality.Voter(np.ones(1 << quality.BITS))
     v.space = rng.normal(size=(1 << quality.BITS, 8)).astype(np.float32)
     x = v.weighted(rng.integers(0, 3, (40, 1 << quality.BITS)))
     v.vectors, v.labels = v.projected(x[:30]), (np.arange(30) % 2).astype(np.float32)
+    v.vectors[20:] = v.vectors[:10]  # ties: each vector of the first ten votes twice, with either label
     p = v.projected(x)
-    for i, score in enumerate(v.votes(x)):
-        cosine = sorted(((float(p[i] @ v.vectors[j]), v.labels[j]) for j in range(30)), reverse=True)[: quality.NEIGHBOURS]
-        weight = [np.exp(quality.SHARPNESS * c) for c, _ in cosine]
-        assert abs(score - sum(w * y for w, (_, y) in zip(weight, cosine, strict=True)) / sum(weight)) < 1e-4
+    plain, others = v.votes(p), v.votes(p[:30], np.arange(30))
+    for i in range(40):
+        for own, score in ((None, plain[i]), *([(i, others[i])] if i < 30 else [])):
+            cosine = sorted(((float(p[i] @ v.vectors[j]), v.labels[j]) for j in range(30) if j != own), reverse=True)
+            near = [c for c in cosine if c[0] >= cosine[quality.NEIGHBOURS - 1][0] - quality.TIE]
+            weight = [np.exp(quality.SHARPNESS * c) for c, _ in near]
+            assert abs(score - sum(w * y for w, (_, y) in zip(weight, near, strict=True)) / sum(weight)) < 1e-4
+
+
+def test_quality_equals_brute_force(spark):
+    """The whole way from texts to scores, one row at a time, with the space that was fitted."""
+    rng = random.Random(14)
+    good, bad = "the river and the garden are quiet in the morning".split(), "zxq 99 $$$ click win!!! kkk 77".split()
+    texts = [" ".join(rng.choices(good if i % 3 else bad, k=rng.randint(3, 30))) for i in range(90)] + ["", "ab", None]
+    docs = docs_of(spark, texts)
+    learnt = docs.filter("doc_id < 60").withColumn("quality", (F.col("doc_id") % 3 > 0).cast("int"))
+    voter = quality.fit(docs, learnt)
+
+    def grams(text):
+        raw = (text or "").encode()
+        return Counter((int.from_bytes(raw[i : i + 3], "big") * 0x9E3779B1 % 2**32) >> (32 - quality.BITS) for i in range(len(raw) - 2))
+
+    df = Counter(g for t in texts for g in set(grams(t)))
+
+    def vector(text):
+        v = sum(np.log1p(n) * (np.log((1 + len(texts)) / (1 + df[g])) + 0.1) * voter.space[g].astype(float) for g, n in grams(text).items())
+        return v / np.linalg.norm(v)
+
+    labelled = sorted({(t, int(i % 3 > 0)) for i, t in enumerate(texts[:60])})
+    vectors = np.array([vector(t) for t, _ in labelled])
+    y = np.array([x for _, x in labelled])
+    for r in quality.scored(docs, voter).collect():
+        if len((r.text or "").encode()) < 3:
+            vote = y.mean()
+        else:
+            weight = np.exp(quality.SHARPNESS * (vectors @ vector(r.text)))
+            vote = weight @ y / weight.sum()  # fewer voters than neighbours: all vote
+        expected = vote / voter.cut * quality.LEVEL if vote < voter.cut else quality.LEVEL + (vote - voter.cut) / (1 - voter.cut) * (1 - quality.LEVEL)
+        assert r.score == pytest.approx(expected, abs=2e-3)
 
 
 def test_toxicity_learns(spark, sf):
@@ -107,15 +152,15 @@ def test_cnn_tables_equal_convolution():
 
 
 def test_threshold_balances_shares(monkeypatch):
-    monkeypatch.setattr(cnn, "DRAWS", 1)
+    monkeypatch.setattr(common, "DRAWS", 1)
     rng = np.random.default_rng(3)
     for _ in range(50):
         z, y = rng.normal(size=40), (rng.random(40) < 0.2).astype(np.float32)
         y[0], y[1] = 0, 1
         cost = lambda c: (z[y == 1] <= c).mean() + (z[y == 0] > c).mean()
-        assert cost(cnn.threshold(z, y)) <= min(cost(c) for c in [*z, z.min() - 1]) + 1e-9
+        assert cost(common.balanced_threshold(z, y)) <= min(cost(c) for c in [*z, z.min() - 1]) + 1e-9
     z = np.array([-2.0, -1.0, 1.0, 2.0])
-    assert cnn.threshold(z, np.array([0, 0, 1, 1])) == 0.0
+    assert common.balanced_threshold(z, np.array([0, 0, 1, 1])) == 0.0
 
 
 def test_sample_is_bounded(spark):
