@@ -7,31 +7,35 @@ A text with fewer than k code points is one hash; one with fewer than w hashes h
 A fingerprint as a string is base64 of its (position gap, hash) pairs, 32 bits each, in order of position. Likeness is the share of distinct hashes
 that two fingerprints have in common (Jaccard); that of two empty ones is 1.
 
-Scale: no row meets another, except for the successor of each document. For that, documents are dealt into ranges of doc_id found from quantiles,
-the first document of each range is copied to the range before, and each range is sorted and streamed: one shuffle of the texts, no global window.
+Scale: no row meets another, except for the successor of each document. For that, documents are dealt into ranges of (doc_id, beginning of the
+text) found from a sample; there are RANGES of them for each shuffle partition that the session is set to, so what the driver holds depends on
+that setting and not on the documents. The first document of each range is copied to the range before, and each range is sorted and
+streamed: one shuffle of the texts, no global window. Documents that share one id, or have none, are spread by their texts.
 
 Defined results: null text is empty, with an empty fingerprint; the document after the last is the first; documents with the same id
-follow by text, those without an id come first; a single document is its own successor; an empty table gives no rows; extra columns are ignored.
+follow by text, those without an id come first; rows that are equal in id and text are in one range; a single document is its own
+successor; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, join_checked, map_arrow, with_fields
+from .common import map_arrow, with_fields
 from .textops import mix64
 
 #: Code points of a hash and hashes of a window. About one hash in three is kept, so the two fingerprints are some seven times as long as the text.
 K, W = 6, 5
-#: Rows of one range of ids.
-RANGE_ROWS = 4_000
+#: Ranges for each shuffle partition, so that hashing them deals alike; least rows of a range; characters of a text that ranges go by; sampled rows a range.
+RANGES, RANGE_ROWS, PREFIX, SAMPLE = 8, 500, 32, 4
 #: Characters of fingerprints that a worker gives out together, beyond those of one row.
 OUT_CHARS = 16_000_000
 _FACTORS = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) ** 3 % (1 << 64) | 1 for i in range(64)], np.uint64)
@@ -83,30 +87,89 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+_NONE = np.iinfo(np.int64).min  # stands for a null id
+
+
+class _Ranges:
+    """Edges of ranges of (id, beginning of the text), sorted, and the first such pair of each range with the range before it."""
+
+    def __init__(self, edges: list[tuple[int, bytes]]):
+        self.edges = edges
+        self.ids = np.array([e[0] for e in edges], np.int64)
+        self.firsts: dict[int, tuple[int, bytes, int]] = {}
+
+    @staticmethod
+    def keys(ids: pa.Array, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        return np.asarray(ids.cast(pa.int64()).fill_null(_NONE)), texts
+
+    @staticmethod
+    def prefix(text: str) -> bytes:
+        return text[:PREFIX].encode("utf-8", "surrogatepass")
+
+    def of(self, ids: np.ndarray, texts: pa.Array) -> np.ndarray:
+        """Range of each row: the number of edges not above it. Texts are looked at only where an edge has the row's id."""
+        low, high = np.searchsorted(self.ids, ids, "left"), np.searchsorted(self.ids, ids, "right")
+        for r in np.flatnonzero(low < high).tolist():
+            high[r] = bisect.bisect_right(self.edges, (int(ids[r]), self.prefix(texts[r].as_py())), int(low[r]), int(high[r]))
+        return high
+
+
 def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, text, range, halo), sorted within partitions so that each document is followed by its successor; halo rows only follow."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    parts = max(1, -(-rows.count() // RANGE_ROWS))
-    edges = rows.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], max(10_000, 10 * parts)).alias("e")).first()["e"] if parts > 1 else []
-    edges = np.unique(np.array(edges, np.int64))
-    shared = docs.sparkSession.sparkContext.broadcast(edges)  # 8 bytes for every RANGE_ROWS documents
+    spark = docs.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = rows.count()
+    parts = max(1, min(RANGES * partitions, -(-n // RANGE_ROWS)))
+    short = rows.select("doc_id", F.substring("text", 1, PREFIX).alias("text"))
+    edges: list[tuple[int, bytes]] = []
+    if parts > 1:
+        share = min(1.0, SAMPLE * parts / n)
+        some = short.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < int(share * (1 << 40)) + 1).distinct().limit(2 * SAMPLE * parts + 100).toArrow()
+        ids, texts = _Ranges.keys(some.column("doc_id").combine_chunks(), some.column("text"))
+        pairs = sorted(zip(ids.tolist(), map(_Ranges.prefix, texts.to_pylist()), strict=True))
+        edges = sorted({pairs[len(pairs) * i // parts] for i in range(1, parts)}) if pairs else []
+    ranges = _Ranges(edges)
+    shared = spark.sparkContext.broadcast(ranges)
+
+    def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple[int, bytes]] = {}
+        for batch in batches:
+            ids, texts = _Ranges.keys(batch.column(0), batch.column(1))
+            at = shared.value.of(ids, texts)
+            order = np.lexsort((ids, at))
+            first = np.flatnonzero(np.diff(at[order], prepend=-1))
+            for r, end in zip(first.tolist(), np.append(first[1:], len(order)).tolist(), strict=True):
+                own = int(ids[order[r]])
+                while r < end and ids[order[r]] == own:  # rows with the smallest id of the range
+                    pair = (own, _Ranges.prefix(texts[int(order[r])].as_py()))
+                    place = int(at[order[r]])
+                    found[place] = min(found.get(place, pair), pair)
+                    r += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([x[0] for x in found.values()], pa.int64()), pa.array([x[1] for x in found.values()], pa.binary())], names=["range", "id", "prefix"])
+
+    firsts = map_arrow(short, lowest, "range long, id long, prefix binary").groupBy("range").agg(F.min(F.struct("id", "prefix")).alias("first")).orderBy("range").collect()
+    for k, r in enumerate(firsts):  # as many as ranges
+        ranges.firsts[r["range"]] = (r["first"]["id"], bytes(r["first"]["prefix"]), firsts[k - 1]["range"])
+    placed = spark.sparkContext.broadcast(ranges)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranges = placed.value
+        first_ids = np.full(len(ranges.edges) + 1, _NONE)
+        for r, (first, _, _) in ranges.firsts.items():
+            first_ids[r] = first
         for batch in batches:
-            ids = np.asarray(batch.column(0).cast(pa.int64()).fill_null(np.iinfo(np.int64).min))
-            at = np.searchsorted(shared.value, ids, side="left").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at)], names=[*batch.schema.names, "range"])
-
-    def ranged(part: DataFrame) -> DataFrame:
-        return map_arrow(part, place, with_fields(part.schema, range="integer"))
-
-    firsts = ranged(rows.select("doc_id")).groupBy("range").agg(F.min(F.struct("doc_id")).alias("first"))
-    before = F.coalesce(F.lag("range").over(Window.orderBy("range")), F.max("range").over(Window.partitionBy()))  # as many rows as ranges
-    firsts = checkpoint(firsts.select(F.col("first.doc_id").alias("first"), before.alias("before")))
-    copies = F.array_compact(F.array(F.struct("range", F.lit(0).alias("halo")), F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("range"), F.lit(1).alias("halo")))))
-    dealt = join_checked(ranged(rows), firsts, F.col("doc_id").eqNullSafe(F.col("first")), "left").select("doc_id", "text", F.explode(copies).alias("at")).select("doc_id", "text", "at.range", "at.halo")
-    # eight partitions a range: hashed, two ranges seldom meet in one
-    return dealt.repartition(8 * (len(edges) + 1), "range").sortWithinPartitions("range", "halo", "doc_id", "text")
+            ids, texts = _Ranges.keys(batch.column(0), batch.column(1))
+            at = ranges.of(ids, texts)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32)), pa.array(np.zeros(len(at), np.int32))], names=["doc_id", "text", "range", "halo"])
+            likely = [r for r in np.flatnonzero(ids == first_ids[at]).tolist() if ranges.firsts[int(at[r])][1] == _Ranges.prefix(texts[r].as_py())]
+            if likely:
+                copied = batch.take(pa.array(likely))
+                before = np.array([ranges.firsts[int(at[r])][2] for r in likely], np.int32)
+                yield pa.RecordBatch.from_arrays([*copied.columns, pa.array(before), pa.array(np.ones(len(likely), np.int32))], names=["doc_id", "text", "range", "halo"])
+
+    dealt = map_arrow(rows, place, with_fields(rows.schema, range="integer", halo="integer"))
+    return dealt.repartition(min(partitions, len(edges) + 1), "range").sortWithinPartitions("range", "halo", "doc_id", "text")
 
 
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -710,6 +710,23 @@ def test_successors_and_edits(spark, monkeypatch, range_rows):
         assert got[i].near_edited == pytest.approx(jaccard_of(f, e)) and got[i].near_next == pytest.approx(jaccard_of(f, n))
 
 
+def test_successors_of_rows_without_own_ids(spark, monkeypatch):
+    """A third of the rows without an id, a third with one id: they follow each other by text, and are spread over ranges."""
+    monkeypatch.setattr(winnow, "RANGE_ROWS", 4)
+    rng = random.Random(15)
+    text = lambda: "".join(rng.choice("abé😀 ") for _ in range(rng.randint(0, 60)))
+    rows = [(None, text()) for _ in range(40)] + [(7, text()) for _ in range(40)] + [(i, text()) for i in range(20, 60)] + [(7, "same")] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    dealt = winnow.with_successors(df)
+    assert dealt.filter("halo = 0").groupBy("range").count().agg(F.max("count")).first()[0] < 40
+    assert dealt.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    expected = []
+    for (i, t), (_, nxt) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
+        expected.append((str(i), hashlib.sha256((t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]).encode()).hexdigest()))
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in winnow.compared(df).collect()) == sorted(expected)
+
+
 def test_edited_short_texts_stay_like(spark, monkeypatch):
     """Half of a text of 20 code points holds a hash that is certain to be kept."""
     monkeypatch.setattr(winnow, "OUT_CHARS", 3_000)  # several batches
