@@ -62,18 +62,18 @@ def to_messages(df: DataFrame, topic: str, key: str | None = None, headers: Colu
 
 
 def parsed(messages: DataFrame, schema: str, value: str = "value") -> DataFrame:
-    """messages with row (struct of `schema`) and error: null payload, bad json, or null if the value is an object."""
+    """messages with row (struct of `schema`) and error: null payload, bad json, not an object, wrong type (of any field), or null."""
     kinds = T._parse_datatype_string(schema).add("_corrupt", "string")
     text = F.col(value).cast("string")
-    is_object = F.try_parse_json(text)
-    row = F.from_json(text, kinds, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
-    error = F.when(text.isNull(), "null payload").when(is_object.isNull(), "bad json").when(~F.schema_of_variant(is_object).startswith("OBJECT"), "not an object")
     fields = [f.name for f in kinds.fields if f.name != "_corrupt"]
-    return messages.withColumn("_row", row).withColumn("error", error).withColumn("row", F.when(F.col("error").isNull(), F.struct(*[F.col(f"_row.{f}").alias(f) for f in fields]))).drop("_row")
+    read = messages.withColumn("_row", F.from_json(text, kinds, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}))
+    unread = F.col("_row").isNull() | F.col("_row._corrupt").isNotNull()
+    error = F.when(text.isNull(), "null payload").when(F.try_parse_json(text).isNull(), "bad json").when(~F.ltrim(text).startswith("{"), "not an object").when(~F.rtrim(text).endswith("}"), "bad json").when(unread, "wrong type")
+    return read.withColumn("error", error).withColumn("row", F.when(F.col("error").isNull(), F.struct(*[F.col(f"_row.{f}").alias(f) for f in fields]))).drop("_row")
 
 
 def message_rows(messages: DataFrame, schema: str, value: str = "value", mode: str = "failfast", keep: Sequence[str] = ()) -> DataFrame:
-    """Rows of messages. failfast: a null payload, bad JSON or a value that isn't an object ends the run; quarantine: they are left out (see `quarantined`)."""
+    """Rows of messages. failfast: a null payload, bad JSON, a value that isn't an object or a field of another type ends the run; quarantine: they are left out (see `quarantined`)."""
     p = parsed(messages, schema, value)
     if mode == "failfast":
         p = p.withColumn("row", F.when(F.col("error").isNull(), F.col("row")).otherwise(F.raise_error(F.concat(F.lit("message can't be read: "), F.col("error")))))

@@ -1,46 +1,39 @@
 """Key-range chunk plans without a global sort in one task.
 
-Exact global ranks come from three distributed steps: rows are put in buckets by literal edges of the key (quantiles), bucket sizes are counted,
-and a row's rank is its number within its bucket plus the sizes of the buckets before. Tiles follow from ranks by arithmetic.
+Exact global ranks come from a range partitioning, written once so that it stays as it is: a row's rank is its number within its sorted partition
+plus the sizes of the partitions before. Tiles follow from ranks by arithmetic. There are as many partitions as the session shuffles into, whatever
+the number of tiles. Plans need no rows: they count keys first, so a hot key is one row; an assignment spreads rows with
+equal keys by the columns that break ties and by a hash of the row.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-#: Rows of a bucket that one task sorts, and the most buckets that edges are literals for.
-BUCKET_ROWS, MOST_BUCKETS = 500_000, 512
-_SAMPLE = 20_000
+from ..sources.scratch import checkpoint
 
+#: Bits of monotonically_increasing_id that number the rows of a partition.
+_ROW_BITS = 33
 
-def _edges(df: DataFrame, key: str, n: int) -> list:
-    if n <= 1:
-        return []
-    if isinstance(df.schema[key].dataType, T.NumericType | T.DateType | T.TimestampType):
-        row = df.agg(F.percentile_approx(key, [i / n for i in range(1, n)], 10_000).alias("e")).first()
-        return sorted(set(row["e"] or []))
-    share = min(1.0, _SAMPLE / max(1, df.count()))
-    values = sorted(r[0] for r in df.select(key).filter(F.col(key).isNotNull()).sample(share, 1).limit(2 * _SAMPLE).collect())
-    return sorted({values[len(values) * i // n] for i in range(1, n)}) if values else []
 
+def _ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """df in range partitions, written; `_part` numbers them in order."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return checkpoint(df.repartitionByRange(parts, *order)).withColumn("_part", F.spark_partition_id())
 
-def _bucket(key: str, edges: list) -> Column:
-    total = F.lit(0)
-    for e in edges:
-        total = total + F.coalesce((F.col(key) > F.lit(e)).cast("int"), F.lit(0))
-    return total
 
-
-def _offsets(sizes: dict[int, int]) -> Column:
-    before, at = {}, 0
-    for b in sorted(sizes):
-        before[b], at = at, at + sizes[b]
-    pairs = [F.lit(x) for b in before for x in (b, before[b])]
-    return F.element_at(F.create_map(*pairs), F.col("_bucket")).cast("long")
+def _with_offsets(df: DataFrame, size: Column) -> DataFrame:
+    """df with `_before`, the sum of sizes in all partitions before; a row for each partition is on the driver."""
+    sizes = {r["_part"]: r["size"] for r in df.groupBy("_part").agg(F.sum(size).alias("size")).collect()}
+    before, at = [], 0
+    for part in sorted(sizes):
+        before.append((part, at))
+        at += sizes[part]
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(before, "_part int, _before bigint")), "_part")
 
 
 def tile_of(rank: Column, rows: int, tiles: int) -> Column:
@@ -56,35 +49,46 @@ def tile_count(rows: int, chunk_rows: int) -> int:
 
 
 def chunk_assign(df: DataFrame, key: str, tiles: int, ties: tuple[str, ...] = ()) -> DataFrame:
-    """df with chunk_no: ntile(tiles) over (order by key, ties), NULL keys first. Every row is in just one chunk."""
+    """df with chunk_no: ntile(tiles) over (order by key, ties), NULL keys first. Every row is in just one chunk; rows equal in all of these, in any."""
     n = df.count()
     if not n:
         return df.withColumn("chunk_no", F.lit(None).cast("int"))
-    edges = _edges(df, key, min(MOST_BUCKETS, math.ceil(n / BUCKET_ROWS), max(1, tiles)) if n <= BUCKET_ROWS * MOST_BUCKETS else MOST_BUCKETS)
-    bucketed = df.withColumn("_bucket", _bucket(key, edges))
-    sizes = {r["_bucket"]: r["count"] for r in bucketed.groupBy("_bucket").count().collect()}
-    order = Window.partitionBy("_bucket").orderBy(F.col(key).asc_nulls_first(), *ties)
-    ranked = bucketed.withColumn("_rank", F.row_number().over(order) - 1 + _offsets(sizes))
-    return ranked.withColumn("chunk_no", tile_of(F.col("_rank"), n, tiles)).drop("_bucket", "_rank")
+    order = [F.col(key).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in ties], F.col("_spread").asc()]
+    spread = df.withColumn("_spread", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    ranged = _ranged(spread, order).sortWithinPartitions(*order)
+    numbered = ranged.withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+    ranked = _with_offsets(numbered, F.lit(1)).withColumn("_rank", F.col("_row") + F.col("_before"))
+    return ranked.select(*df.columns, tile_of(F.col("_rank"), n, tiles).alias("chunk_no"))
+
+
+def _first_ranks(df: DataFrame, key: str) -> DataFrame:
+    """key, _rows and _first (the rank of its first row) for every key."""
+    keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    order = Window.partitionBy("_part").orderBy(F.col(key).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    inside = _with_offsets(_ranged(keys, [F.col(key).asc_nulls_first()]), F.col("_rows"))
+    return inside.withColumn("_first", F.col("_before") + F.coalesce(F.sum("_rows").over(order), F.lit(0))).select(key, "_rows", "_first")
 
 
 def chunk_plan(df: DataFrame, key: str, tiles: int) -> DataFrame:
-    """chunk_no, min_key, max_key, row_count. An empty table has no chunks."""
-    return chunk_assign(df.select(key), key, tiles).filter("chunk_no is not null").groupBy("chunk_no").agg(F.min(key).alias("min_key"), F.max(key).alias("max_key"), F.count(F.lit(1)).alias("row_count"))
+    """chunk_no, min_key, max_key, row_count. An empty table has no chunks. A key whose rows span several chunks is counted into each by arithmetic."""
+    n = df.count()
+    if not n:
+        return df.select(F.lit(None).cast("int").alias("chunk_no"), F.col(key).alias("min_key"), F.col(key).alias("max_key"), F.lit(0).cast("bigint").alias("row_count")).limit(0)
+    last = F.col("_first") + F.col("_rows") - 1
+    spread = _first_ranks(df.select(key), key).withColumn("chunk_no", F.explode(F.sequence(tile_of(F.col("_first"), n, tiles), tile_of(last, n, tiles))))
+    q, r = divmod(n, tiles)
+    begin = F.least(F.col("chunk_no") - 1, F.lit(r)) + (F.col("chunk_no") - 1) * F.lit(q)
+    end = F.least(F.col("chunk_no"), F.lit(r)) + F.col("chunk_no") * F.lit(q)
+    held = F.least(end, last + 1) - F.greatest(begin, F.col("_first"))
+    return spread.groupBy("chunk_no").agg(F.min(key).alias("min_key"), F.max(key).alias("max_key"), F.sum(held).alias("row_count"))
 
 
 def bucket_plan(df: DataFrame, key: str, tiles: int) -> DataFrame:
     """Like chunk_plan, but rows with equal keys stay together: a key goes where its first row would."""
     n = df.count()
-    keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     if not n:
-        return keys.select(F.lit(None).cast("int").alias("chunk_no"), F.col(key).alias("min_key"), F.col(key).alias("max_key"), F.col("_rows").alias("row_count")).limit(0)
-    edges = _edges(df, key, min(MOST_BUCKETS, math.ceil(n / BUCKET_ROWS), max(1, tiles)))
-    bucketed = keys.withColumn("_bucket", _bucket(key, edges))
-    sizes = {r["_bucket"]: r["s"] for r in bucketed.groupBy("_bucket").agg(F.sum("_rows").alias("s")).collect()}
-    order = Window.partitionBy("_bucket").orderBy(F.col(key).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    first = F.coalesce(F.sum("_rows").over(order), F.lit(0)) + _offsets(sizes)
-    tiled = bucketed.withColumn("_tile", tile_of(first, n, tiles))
+        return chunk_plan(df, key, tiles)
+    tiled = _first_ranks(df.select(key), key).withColumn("_tile", tile_of(F.col("_first"), n, tiles))
     plan = tiled.groupBy("_tile").agg(F.min(key).alias("min_key"), F.max(key).alias("max_key"), F.sum("_rows").alias("row_count"))
     return plan.withColumn("chunk_no", F.row_number().over(Window.orderBy("_tile"))).select("chunk_no", "min_key", "max_key", "row_count")  # a row a tile
 
@@ -107,4 +111,4 @@ def lag(high: Column, low: Column, committed: Column) -> Column:
 def partition_plan(offsets: DataFrame) -> DataFrame:
     """chunk_no, topic, partition_id, row_count: topic partitions with messages left to read."""
     left = offsets.withColumn("row_count", lag(F.col("high_offset"), F.col("low_offset"), F.col("committed_offset"))).filter("row_count > 0")
-    return left.select(F.row_number().over(Window.partitionBy("topic").orderBy("partition_id")).alias("chunk_no"), "topic", "partition_id", "row_count")
+    return left.select(F.row_number().over(Window.partitionBy("topic").orderBy("partition_id")).alias("chunk_no"), "topic", "partition_id", "committed_offset", "row_count")

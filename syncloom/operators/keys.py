@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Fixed pattern: a name or schema.name of word characters, or the same in brackets with white space.
@@ -41,6 +41,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(best).select(*[F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
+def broadcast_checked(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """df marked for a broadcast if it has at most so many rows (it is counted), else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def top_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], most: int, parts: int = 16) -> DataFrame:
+    """The first `most` rows of each group. A group is cut into parts by a hash first, so a hot one isn't sorted in one task."""
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts))
+    for groups in ([*by, "_part"], list(by)):
+        window = Window.partitionBy(*groups).orderBy(*order)
+        df = (df.withColumn("_part", salt) if "_part" in groups else df).withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= most).drop("_n", *({"_part"} - set(groups)))
+    return df
+
+
 def unique_conflicts(target: DataFrame, source: DataFrame, keys: Sequence[str], unique_keys: Sequence[Sequence[str]], nulls_conflict: bool = True) -> DataFrame:
     """Target rows equal to a source row on a unique key but with another primary key.
 

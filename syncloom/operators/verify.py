@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import lag
+from .keys import top_rows
 
 #: Share of the source (percent) below which a mismatch is a warning; seconds of a slow run; lag and load that are expected.
 MINOR_PERCENT, SLOW_SECONDS, MOST_LAG, DAILY_RECORDS, MOST_IMBALANCE = 0.1, 1200, 100_000, 5_000_000, 2.0
+#: Alerts that a roll-up spells out.
+MOST_ALERTS = 10
 #: What transient connection errors say, and their SQL states.
 TRANSIENT = "(?i)connection|timeout|communication link|tcp provider|login timeout|broken pipe"
 TRANSIENT_STATES = "08S01|HYT00|HYT01|08001"
@@ -35,10 +38,15 @@ def min_rows_check(df: DataFrame, least: int) -> DataFrame:
     return df.agg(n.alias("rows"), (n >= least).alias("passed"))
 
 
-def run_metrics(df: DataFrame, batch_rows: int, expected: int | None = None) -> DataFrame:
-    """One run row: records, batches, progress in percent of what was expected."""
+def run_metrics(df: DataFrame, batch_rows: int, expected: int | None = None, started: Column | None = None, ended: Column | None = None, failed: int = 0) -> DataFrame:
+    """One run row: records, failed, batches, progress in percent of what was expected, seconds and records a second (NULL without a start or any time passed)."""
     n = F.count(F.lit(1))
-    return df.agg(n.alias("records"), F.ceil(n / batch_rows).alias("batches"), F.round(n / F.lit(expected) * 100 if expected else F.lit(100.0), 2).alias("progress_percent"), F.current_timestamp().alias("ended"))
+    ended = F.current_timestamp() if ended is None else ended
+    seconds = F.lit(None).cast("double") if started is None else (ended.cast("timestamp").cast("double") - started.cast("timestamp").cast("double"))
+    progress = F.lit(100.0) if expected is None else F.lit(0.0) if expected == 0 else F.round(n / F.lit(expected) * 100, 2)
+    done = df.agg(n.alias("records"), F.lit(failed).cast("bigint").alias("failed"), F.ceil(n / batch_rows).alias("batches"), progress.alias("progress_percent"))
+    rate = F.when(F.col("duration_seconds") > 0, F.round(F.col("records") / F.col("duration_seconds"), 4))
+    return done.withColumn("ended", ended).withColumn("duration_seconds", seconds).withColumn("records_per_second", rate)
 
 
 def run_report(runs: DataFrame, by: str = "store") -> DataFrame:
@@ -48,6 +56,17 @@ def run_report(runs: DataFrame, by: str = "store") -> DataFrame:
     return good.rollup(by).agg(F.count(F.lit(1)).alias("runs"), *sums, F.sum(F.col("inserted") + F.col("updated")).alias("records"), (F.max("duration_seconds") > SLOW_SECONDS).alias("slow"))
 
 
+def audit_events(events: DataFrame, event_type: Column, task: Column, status: Column, details: Sequence[str], error: Column | None = None, at: Column | None = None, **run: str) -> DataFrame:
+    """Audit rows: event_at, one column for each of `run` (such as its name and id), task, event_type, status, details as JSON (NULL fields left out), error.
+
+    An error stands only with the status failed.
+    """
+    at = F.current_timestamp() if at is None else at
+    said = F.to_json(F.struct(*details)) if details else F.lit("{}")
+    why = F.lit(None).cast("string") if error is None else F.when(status == "failed", error)
+    return events.select(at.alias("event_at"), *[F.lit(v).alias(k) for k, v in run.items()], task.alias("task"), event_type.alias("event_type"), status.alias("status"), said.alias("details"), why.alias("error"))
+
+
 def audit_summary(events: DataFrame) -> DataFrame:
     return events.groupBy("event_type", "status").agg(F.count(F.lit(1)).alias("events"))
 
@@ -84,9 +103,16 @@ def topic_health(offsets: DataFrame, daily: int = DAILY_RECORDS) -> DataFrame:
 
 
 def health_rollup(checks: DataFrame, by: str = "topic") -> DataFrame:
-    """One status from many: any error, else any warning, else healthy if all are healthy, success or skipped, else unknown; and the alerts."""
+    """One status from many: any error, else any warning, else healthy if all are healthy, success or skipped, else unknown; and the alerts.
+
+    alert_count counts all alerts; `alerts` tells the first MOST_ALERTS of them in order of their text, so that it is bounded.
+    """
     rank = F.when(F.col("status") == "error", 3).when(F.col("status") == "warning", 2).when(F.col("status").isin("healthy", "success", "skipped"), 0).otherwise(1)
-    worst = F.max(rank)
+    worst = F.max("_rank")
     status = F.when(worst == 3, "error").when(worst == 2, "warning").when(worst == 0, "healthy").otherwise("unknown")
-    alerts = F.sort_array(F.collect_list(F.when(rank >= 2, F.concat_ws(": ", "check", "status"))))
-    return checks.groupBy(by).agg(status.alias("status"), F.concat_ws("; ", alerts).alias("alerts"), F.count(F.when(rank >= 2, 1)).alias("alert_count"))
+    ranked = checks.withColumn("_rank", rank).withColumn("_alert", F.concat_ws(": ", "check", "status"))
+    whole = ranked.groupBy(by).agg(status.alias("status"), F.count(F.when(F.col("_rank") >= 2, 1)).alias("alert_count"))
+    told = top_rows(ranked.filter("_rank >= 2").select(by, "_alert"), [by], [F.col("_alert")], MOST_ALERTS)
+    told = told.groupBy(F.col(by).alias("_by")).agg(F.concat_ws("; ", F.sort_array(F.collect_list("_alert"))).alias("alerts"))
+    joined = whole.join(told, F.col(by).eqNullSafe(F.col("_by")), "left")
+    return joined.select(by, "status", F.coalesce("alerts", F.lit("")).alias("alerts"), "alert_count")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import version_id
-from .keys import latest_per_key
+from .keys import broadcast_checked, latest_per_key
 
 #: Fixed thresholds: parts of a fragmented table, unmerged parts that are many.
 MOST_PARTS, MOST_UNMERGED = 300, 50
@@ -53,20 +53,45 @@ def compact_files(spark: SparkSession, path: str, out: str, partition_by: str, v
     return df.agg(F.count(F.lit(1)).alias("rows_before")).join(after.agg(F.count(F.lit(1)).alias("rows_after")))
 
 
+def part_stats(parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """total_rows, stored_bytes, raw_bytes, compression_ratio, parts, oldest, newest of part rows (part_rows, part_bytes, raw_bytes, modified)."""
+    t = parts.groupBy(*by).agg(F.sum("part_rows").alias("total_rows"), F.sum("part_bytes").alias("stored_bytes"), F.sum("raw_bytes").alias("raw_bytes"), F.count(F.lit(1)).alias("parts"), F.min("modified").alias("oldest"), F.max("modified").alias("newest"))
+    return t.withColumn("compression_ratio", F.when((F.col("stored_bytes") > 0) & (F.col("raw_bytes") > 0), F.round(F.col("raw_bytes") / F.col("stored_bytes"), 2)))
+
+
+def part_list(parts: DataFrame) -> DataFrame:
+    """Part rows in order of partition and name."""
+    return parts.orderBy("partition_key", "part_name")
+
+
 def file_stats(df: DataFrame) -> DataFrame:
-    """rows, bytes, parts, oldest, newest of the files behind a table."""
-    return file_parts(df).agg(F.sum("part_rows").alias("rows"), F.sum("part_bytes").alias("bytes"), F.count(F.lit(1)).alias("parts"), F.min("modified").alias("oldest"), F.max("modified").alias("newest"))
+    """part_stats of the files behind a table."""
+    return part_stats(file_parts(df))
 
 
 def file_parts(df: DataFrame) -> DataFrame:
-    m = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-    return m.groupBy(F.col("file_path").alias("part_name"), F.col("file_size").alias("part_bytes"), F.col("file_modification_time").alias("modified")).agg(F.count(F.lit(1)).alias("part_rows"))
+    """A row for each file: part_name, part_bytes, modified, part_rows, and raw_bytes (of the rows' values as text)."""
+    fields = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c, kind in df.dtypes if not kind.startswith(("map", "variant", "binary"))]
+    m = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time", sum(fields, F.lit(0)).cast("bigint").alias("raw"))
+    return m.groupBy(F.col("file_path").alias("part_name"), F.col("file_size").alias("part_bytes"), F.col("file_modification_time").alias("modified")).agg(F.count(F.lit(1)).alias("part_rows"), F.sum("raw").alias("raw_bytes"))
 
 
-def compaction_decision(parts: DataFrame, threshold: int = 100) -> DataFrame:
-    """parts and whether to compact: below the threshold it is skipped."""
+def compaction_decision(parts: DataFrame, threshold: int = 100, by: Sequence[str] = ()) -> DataFrame:
+    """parts and whether to compact (for each group): below the threshold it is skipped."""
     n = F.count(F.lit(1))
-    return parts.agg(n.alias("parts"), F.when(n >= threshold, "compact").otherwise("skip").alias("decision"))
+    return parts.groupBy(*by).agg(n.alias("parts"), F.when(n >= threshold, "compact").otherwise("skip").alias("decision"))
+
+
+def compacted_if_fragmented(df: DataFrame, partition: Column, parts: DataFrame, threshold: int = 100, keys: Sequence[str] | None = None, version: Sequence[str] = ("version_id",)) -> DataFrame:
+    """The table after the partitions whose parts (partition_key, ...) reach the threshold have been rewritten, others as they are.
+
+    The decision is a small table of partitions, joined to the rows; no partition is looped over.
+    """
+    due = compaction_decision(parts, threshold, ["partition_key"]).filter("decision = 'compact'").select(F.col("partition_key").alias("_due"))
+    marked = df.withColumn("_partition", partition).join(broadcast_checked(due), F.col("_partition") == F.col("_due"), "left")
+    chosen = marked.filter("_due is not null").select("_partition", *df.columns)
+    done = latest_version(chosen, ["_partition", *keys], version) if keys else chosen.distinct()
+    return marked.filter("_due is null").select(*df.columns).unionByName(done.select(*df.columns))
 
 
 def table_health(parts: DataFrame, unmerged: Column | None = None) -> DataFrame:

@@ -25,7 +25,7 @@ TEXT = {
                ts AS msg_ts, CAST(user_id AS VARCHAR(20)) AS msg_key, props AS msg_value, event_id, user_id, event_type, value
         FROM {events}""",
     "bad_messages": """
-        SELECT event_id, CASE WHEN event_id % 97 = 0 THEN '[1]' WHEN event_id % 89 = 0 THEN 'bad' WHEN event_id % 83 = 0 THEN NULL ELSE props END AS msg_value
+        SELECT event_id, CASE WHEN event_id % 97 = 0 THEN '[1]' WHEN event_id % 89 = 0 THEN 'bad' WHEN event_id % 83 = 0 THEN NULL WHEN event_id % 79 = 0 THEN chr(123) || '"k": "text"' || chr(125) WHEN event_id % 73 = 0 THEN chr(123) || '"k": 1.5' || chr(125) ELSE props END AS msg_value
         FROM {events}""",
     "offsets": """
         SELECT topic, partition_id, low_offset, high_offset, CASE WHEN partition_id = 3 THEN -1 ELSE high_offset - 10 * partition_id END AS committed_offset
@@ -47,7 +47,7 @@ TEXT = {
         FROM {events}""",
     "parts": """
         SELECT 'lineitem' AS table_name, CAST(EXTRACT(YEAR FROM l_shipdate) AS INT) AS partition_key, CAST(CAST(l_shipdate AS DATE) AS VARCHAR(10)) AS part_name,
-               COUNT(*) AS part_rows, COUNT(*) * 100 AS part_bytes, MAX(CAST(EXTRACT(DAY FROM l_shipdate) AS INT)) % 3 AS part_level
+               COUNT(*) AS part_rows, COUNT(*) * 100 AS part_bytes, CAST(SUM(l_linenumber) AS BIGINT) * 90 AS raw_bytes, MAX(l_shipdate) AS modified, MAX(CAST(EXTRACT(DAY FROM l_shipdate) AS INT)) % 3 AS part_level
         FROM {lineitem} GROUP BY EXTRACT(YEAR FROM l_shipdate), CAST(l_shipdate AS DATE)""",
     "twice": "SELECT * FROM {lineitem} UNION ALL SELECT * FROM {lineitem} WHERE l_orderkey % 10 = 0",
 }

@@ -36,6 +36,23 @@ def message_columns(spark: SparkSession, d: str) -> DataFrame:
     return messages.selected(rows, ["version_id", "user_id"], ["event_id", "event_type", "user_id", "absent"])
 
 
+@registered("SELECT topic, partition_id, msg_offset FROM {messages} ORDER BY msg_offset, topic, partition_id LIMIT 1001")
+def run_cap(spark: SparkSession, d: str) -> DataFrame:
+    """The first messages of a run of at most 1001, over all partitions."""
+    return topics.capped(fx(spark, d, "messages"), 1001).select("topic", "partition_id", "msg_offset")
+
+
+@registered("""
+    SELECT m.partition_id, m.msg_offset, p.chunk_no FROM {messages} m
+    JOIN (SELECT partition_id, CAST(row_number() OVER (ORDER BY partition_id) AS INT) AS chunk_no, GREATEST(committed_offset, 0) AS begin_at
+          FROM {offsets} WHERE GREATEST(high_offset - CASE WHEN committed_offset >= 0 THEN committed_offset ELSE low_offset END, 0) > 0) p ON p.partition_id = m.partition_id AND m.msg_offset >= p.begin_at""")
+def partition_read(spark: SparkSession, d: str) -> DataFrame:
+    """What is left of each topic partition, read by its plan in one job."""
+    from ..operators.chunks import partition_plan
+
+    return topics.by_partition(fx(spark, d, "messages"), partition_plan(fx(spark, d, "offsets"))).select("partition_id", "msg_offset", "chunk_no")
+
+
 @registered("SELECT topic, partition_id, msg_offset, CASE WHEN length(msg_value) > 6 THEN substring(msg_value, 1, 6) || '...' ELSE msg_value END AS msg_value FROM (SELECT *, row_number() OVER (PARTITION BY topic, partition_id ORDER BY msg_offset DESC) AS n FROM {messages}) x WHERE n <= 10")
 def sample_messages(spark: SparkSession, d: str) -> DataFrame:
     return topics.sampled(fx(spark, d, "messages").select("topic", "partition_id", "msg_offset", "msg_value"), 10, 6)
@@ -47,8 +64,8 @@ def sample_messages(spark: SparkSession, d: str) -> DataFrame:
 def row_to_message(spark: SparkSession, d: str) -> DataFrame:
     version = versions.version_id(F.lit("2024-01-15"))
     m = messages.to_messages(fx(spark, d, "tgt_orders"), "orders", "o_orderkey", version=version)
-    field = lambda n: F.get_json_object("value", f"$.{n}")
-    return m.select(F.col("key").alias("msg_key"), field("o_orderkey").cast("bigint").alias("o_orderkey"), field("o_custkey").cast("bigint").alias("o_custkey"), field("o_orderstatus").alias("o_orderstatus"), field("o_totalprice").cast("double").alias("o_totalprice"), field("o_orderdate").alias("o_orderdate"), field("version_id").cast("bigint").alias("version_id"), F.col("value").contains('"o_orderstatus":null').alias("null_kept"))
+    back = F.from_json("value", "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate string, version_id bigint")
+    return m.select(F.col("key").alias("msg_key"), back.alias("row"), F.col("value").contains('"o_orderstatus":null').alias("null_kept")).select("msg_key", "row.*", "null_kept")
 
 
 @registered("SELECT event_id, user_id, event_type FROM {events}")
@@ -56,7 +73,7 @@ def message_to_row(spark: SparkSession, d: str) -> DataFrame:
     return messages.message_rows(_event_messages(spark, d), _EVENT_ROW, "msg_value")
 
 
-@registered("SELECT event_id, CASE WHEN msg_value IS NULL THEN 'null payload' WHEN msg_value = 'bad' THEN 'bad json' ELSE 'not an object' END AS error FROM {bad_messages} WHERE msg_value IS NULL OR msg_value = 'bad' OR msg_value = '[1]'")
+@registered("SELECT event_id, CASE WHEN msg_value IS NULL THEN 'null payload' WHEN msg_value = 'bad' THEN 'bad json' WHEN msg_value = '[1]' THEN 'not an object' ELSE 'wrong type' END AS error FROM {bad_messages} WHERE msg_value IS NULL OR msg_value IN ('bad', '[1]', '{\"k\": \"text\"}', '{\"k\": 1.5}')")
 def message_quarantine(spark: SparkSession, d: str) -> DataFrame:
     return messages.quarantined(fx(spark, d, "bad_messages"), "k int", "msg_value").select("event_id", "error")
 
@@ -113,9 +130,30 @@ def compact_partition(spark: SparkSession, d: str) -> DataFrame:
     return versions.compacted(fx(spark, d, "twice"), F.col("l_returnflag") == "R")
 
 
-@registered()
+@registered("SELECT partition_key, COUNT(*) AS parts, CASE WHEN COUNT(*) >= 360 THEN 'compact' ELSE 'skip' END AS decision FROM {parts} GROUP BY partition_key")
 def compaction_decision(spark: SparkSession, d: str) -> DataFrame:
-    return versions.compaction_decision(versions.file_parts(fx(spark, d, "lineitem")), 1)
+    return versions.compaction_decision(fx(spark, d, "parts"), 360, ["partition_key"])
+
+
+_DUE = "(SELECT partition_key FROM {parts} GROUP BY partition_key HAVING COUNT(*) >= 360)"
+
+
+@registered(f"SELECT DISTINCT * FROM {{twice}} WHERE CAST(EXTRACT(YEAR FROM l_shipdate) AS INT) IN {_DUE} UNION ALL SELECT * FROM {{twice}} WHERE CAST(EXTRACT(YEAR FROM l_shipdate) AS INT) NOT IN {_DUE}")
+def conditional_compaction(spark: SparkSession, d: str) -> DataFrame:
+    """Years with many parts are rewritten without copies, the others left alone."""
+    return versions.compacted_if_fragmented(fx(spark, d, "twice"), F.year("l_shipdate"), fx(spark, d, "parts"), 360)
+
+
+@registered("""
+    SELECT table_name, CAST(SUM(part_rows) AS BIGINT) AS total_rows, CAST(SUM(part_bytes) AS BIGINT) AS stored_bytes, CAST(SUM(raw_bytes) AS BIGINT) AS raw_bytes, COUNT(*) AS parts,
+           MIN(modified) AS oldest, MAX(modified) AS newest, ROUND(SUM(raw_bytes) / SUM(part_bytes), 2) AS compression_ratio FROM {parts} GROUP BY table_name""")
+def table_part_stats(spark: SparkSession, d: str) -> DataFrame:
+    return versions.part_stats(fx(spark, d, "parts"), ["table_name"])
+
+
+@registered("SELECT partition_key, part_name, part_rows, part_bytes, part_level, modified FROM {parts} ORDER BY partition_key, part_name")
+def part_list(spark: SparkSession, d: str) -> DataFrame:
+    return versions.part_list(fx(spark, d, "parts")).select("partition_key", "part_name", "part_rows", "part_bytes", "part_level", "modified")
 
 
 @registered()
@@ -146,8 +184,8 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     _event_messages(spark, d).repartitionByRange(4, "msg_offset").write.parquet(files)
     _target(spark, d, path)
     spec = TopicSpec(["user_id"], _EVENT_ROW, guard="event_id")
-    streaming.stream_upsert(topics.from_files(spark, files, stream=True, max_files=2), path, commits, spec)
-    return sinks.read_snapshot(spark, path)
+    streaming.stream_upsert(topics.from_files(spark, files, stream=True, max_files=2), path, commits, spec, merge_after=False)
+    return streaming.read_table(spark, path, spec)
 
 
 @registered(f"SELECT user_id, event_id, msg_offset FROM {_LATEST}")
@@ -181,9 +219,13 @@ def min_rows_check(spark: SparkSession, d: str) -> DataFrame:
     return verify.min_rows_check(fx(spark, d, "orders"), 1000)
 
 
-@registered()
+@registered("""
+    SELECT COUNT(*) AS records, CAST(3 AS BIGINT) AS failed, CAST(CEIL(COUNT(*) / 10000.0) AS BIGINT) AS batches, ROUND(COUNT(*) / 20000.0 * 100, 2) AS progress_percent,
+           CAST(150 AS DOUBLE) AS duration_seconds, ROUND(COUNT(*) / 150.0, 4) AS records_per_second FROM {src_orders}""")
 def sync_run_row(spark: SparkSession, d: str) -> DataFrame:
-    return verify.run_metrics(fx(spark, d, "src_orders"), 10_000)
+    """A run whose start and end are given, so that its row is always the same."""
+    at = lambda text: F.to_timestamp(F.lit(text))
+    return verify.run_metrics(fx(spark, d, "src_orders"), 10_000, 20_000, at("2024-01-15 10:00:00"), at("2024-01-15 10:02:30"), failed=3).drop("ended")
 
 
 @registered("""
@@ -194,6 +236,14 @@ def run_report(spark: SparkSession, d: str) -> DataFrame:
     return verify.run_report(fx(spark, d, "runs"))
 
 
+@registered("""
+    SELECT 'orders_sync' AS run_name, 'r1' AS run_id, 'store ' || store AS task, event_type, status,
+           '{"inserted":' || inserted || ',"updated":' || updated || ',"deleted":' || deleted || '}' AS details, CASE WHEN status = 'failed' THEN error END AS error FROM {runs}""")
+def audit_events(spark: SparkSession, d: str) -> DataFrame:
+    task = F.concat(F.lit("store "), F.col("store").cast("string"))
+    return verify.audit_events(fx(spark, d, "runs"), F.col("event_type"), task, F.col("status"), ["inserted", "updated", "deleted"], F.col("error"), run_name="orders_sync", run_id="r1").drop("event_at")
+
+
 @registered("SELECT event_type, status, COUNT(*) AS events FROM {runs} GROUP BY event_type, status")
 def audit_summary(spark: SparkSession, d: str) -> DataFrame:
     return verify.audit_summary(fx(spark, d, "runs"))
@@ -221,15 +271,14 @@ def topic_health(spark: SparkSession, d: str) -> DataFrame:
 
 
 @registered("""
-    WITH c AS (SELECT store, 'run ' || CAST(run_no AS VARCHAR) AS "check", CASE WHEN error LIKE '%timeout%' THEN 'error' WHEN status = 'failed' THEN 'warning' ELSE status END AS status FROM {runs} WHERE run_no % 10 = 0),
+    WITH c AS (SELECT store, 'run ' || CAST(run_no AS VARCHAR) AS "check", CASE WHEN error LIKE '%timeout%' THEN 'error' WHEN status = 'failed' THEN 'warning' ELSE status END AS status FROM {runs}),
          r AS (SELECT *, CASE status WHEN 'error' THEN 3 WHEN 'warning' THEN 2 WHEN 'healthy' THEN 0 WHEN 'success' THEN 0 WHEN 'skipped' THEN 0 ELSE 1 END AS k FROM c)
     SELECT store, CASE MAX(k) WHEN 3 THEN 'error' WHEN 2 THEN 'warning' WHEN 0 THEN 'healthy' ELSE 'unknown' END AS status,
-           COALESCE(string_agg(CASE WHEN k >= 2 THEN "check" || ': ' || status END, '; ' ORDER BY "check" || ': ' || status), '') AS alerts, COUNT(CASE WHEN k >= 2 THEN 1 END) AS alert_count
+           COALESCE(array_to_string(list_slice(list("check" || ': ' || status ORDER BY "check" || ': ' || status) FILTER (WHERE k >= 2), 1, 10), '; '), '') AS alerts, COUNT(CASE WHEN k >= 2 THEN 1 END) AS alert_count
     FROM r GROUP BY store""")
 def health_rollup(spark: SparkSession, d: str) -> DataFrame:
-    """The rows checked are what this query states: every tenth run has a health check."""
     status = F.when(F.col("error").contains("timeout"), "error").when(F.col("status") == "failed", "warning").otherwise(F.col("status"))
-    checks = fx(spark, d, "runs").filter("run_no % 10 = 0").select("store", F.concat(F.lit("run "), F.col("run_no").cast("string")).alias("check"), status.alias("status"))
+    checks = fx(spark, d, "runs").select("store", F.concat(F.lit("run "), F.col("run_no").cast("string")).alias("check"), status.alias("status"))
     return verify.health_rollup(checks, "store")
 
 

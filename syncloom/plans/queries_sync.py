@@ -41,7 +41,7 @@ def scan_query(spark: SparkSession, d: str) -> DataFrame:
     text = """
         WITH p AS (SELECT l_orderkey, SUM(l_linenumber) AS lines FROM {lineitem} GROUP BY l_orderkey)
         SELECT o.o_orderkey, p.lines FROM {orders} o JOIN p ON p.l_orderkey = o.o_orderkey
-        WHERE o.o_orderdate >= to_timestamp_ntz(:ds) AND o.o_orderpriority = :priority"""
+        WHERE o.o_orderdate >= to_timestamp_ntz(:ds) AND o.o_orderdate >= to_timestamp_ntz('{{ ds }}') AND o.o_orderpriority = :priority"""
     return tables.query(spark, text, {"priority": "1-URGENT"}, ds="1995-01-01", lineitem=fx(spark, d, "lineitem"), orders=fx(spark, d, "orders"))
 
 
@@ -103,11 +103,16 @@ def first_page(spark: SparkSession, d: str) -> DataFrame:
 # --- joins
 
 
-@registered("SELECT s.c_custkey AS s_key, t.c_custkey AS t_key, t.c_name FROM {tgt_cust} s JOIN {tgt_cust} t ON s.c_name IS NOT DISTINCT FROM t.c_name AND s.c_custkey % 50 = t.c_custkey % 50")
+@registered("""
+    SELECT s.c_name, s.s_rows, t.t_rows, s.s_rows * t.t_rows AS pairs FROM (SELECT c_name, COUNT(*) AS s_rows FROM {src_cust} GROUP BY c_name UNION ALL SELECT NULL, 1) s
+    JOIN (SELECT c_name, COUNT(*) AS t_rows FROM {tgt_cust} GROUP BY c_name) t ON s.c_name IS NOT DISTINCT FROM t.c_name""")
 def nullsafe_join(spark: SparkSession, d: str) -> DataFrame:
-    t = fx(spark, d, "tgt_cust")
-    s = t.select(F.col("c_custkey").alias("s_key"), F.col("c_name").alias("s_name"))
-    return s.join(t, F.col("s_name").eqNullSafe(F.col("c_name")) & (F.col("s_key") % 50 == F.col("c_custkey") % 50)).select("s_key", F.col("c_custkey").alias("t_key"), "c_name")
+    """Names of both sides, one of them without a name, matched NULL-safely; each side is counted by name first, so that no pairs of a group are made."""
+    n = F.count(F.lit(1))
+    s = fx(spark, d, "src_cust").groupBy("c_name").agg(n.alias("s_rows"))
+    s = s.unionByName(spark.range(1).select(F.lit(None).cast("string").alias("c_name"), F.lit(1).cast("bigint").alias("s_rows"))).select(F.col("c_name").alias("s_name"), "s_rows")
+    t = fx(spark, d, "tgt_cust").groupBy("c_name").agg(n.alias("t_rows"))
+    return s.join(t, F.col("s_name").eqNullSafe(F.col("c_name"))).select("c_name", "s_rows", "t_rows", (F.col("s_rows") * F.col("t_rows")).alias("pairs"))
 
 
 @registered("SELECT s.* FROM {src_orders} s WHERE NOT EXISTS (SELECT 1 FROM {tgt_orders} t WHERE t.o_orderkey = s.o_orderkey)")
@@ -153,7 +158,7 @@ def bucket_plan(spark: SparkSession, d: str) -> DataFrame:
     SELECT CAST(row_number() OVER (PARTITION BY topic ORDER BY partition_id) AS INT) AS chunk_no, topic, partition_id, row_count
     FROM (SELECT topic, partition_id, GREATEST(high_offset - CASE WHEN committed_offset >= 0 THEN committed_offset ELSE low_offset END, 0) AS row_count FROM {offsets}) x WHERE row_count > 0""")
 def partition_plan(spark: SparkSession, d: str) -> DataFrame:
-    return chunks.partition_plan(fx(spark, d, "offsets"))
+    return chunks.partition_plan(fx(spark, d, "offsets")).drop("committed_offset")
 
 
 @registered("SELECT chunk_no, MIN(o_custkey) AS min_scope, MAX(o_custkey) AS max_scope FROM (SELECT o_custkey, CAST(ntile(8) OVER (ORDER BY o_orderkey) AS INT) AS chunk_no FROM {src_orders}) x GROUP BY chunk_no")
@@ -262,6 +267,21 @@ def store_fanout_summary(spark: SparkSession, d: str) -> DataFrame:
     return apply.store_summary(fx(spark, d, "src_stores"), fx(spark, d, "tgt_stores"), SyncSpec(["store", "o_orderkey"], scope="o_orderkey"))
 
 
+@registered("""
+    SELECT s.* FROM {src_stores} s UNION ALL
+    SELECT t.* FROM {tgt_stores} t JOIN (SELECT store, MIN(o_orderkey) AS low, MAX(o_orderkey) AS high FROM {src_stores} GROUP BY store) b ON b.store = t.store
+    WHERE NOT EXISTS (SELECT 1 FROM {src_stores} s WHERE s.store = t.store AND s.o_orderkey = t.o_orderkey) AND NOT t.o_orderkey BETWEEN b.low AND b.high""")
+def store_fanout(spark: SparkSession, d: str) -> DataFrame:
+    """All stores' tables after a fan-out, written with a slice for each store and read again."""
+    from ..sources import sinks
+    from ..sources.scratch import shared_folder
+
+    path = shared_folder(spark)
+    done = apply.store_snapshots(fx(spark, d, "src_stores"), fx(spark, d, "tgt_stores"), SyncSpec(["store", "o_orderkey"], scope="o_orderkey"))
+    sinks.write_snapshot(done, path, ("store",))
+    return sinks.read_snapshot(spark, path).select("store", "store_name", "o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 def _documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     lines = lineitem.groupBy(F.col("l_orderkey").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("lines"))
     docs = orders.select(F.col("o_orderkey").alias("_id"), "o_orderstatus", F.struct("o_custkey", "o_orderpriority").alias("meta"), F.to_date("o_orderdate").alias("ordered"))

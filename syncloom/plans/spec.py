@@ -50,6 +50,7 @@ class TopicSpec:
     """A run over a topic's messages into a keyed table.
 
     include and exclude: columns of a message's row, exclude first. guard: column that must not go down (a replayed older message is skipped).
+    max_messages: a streaming run stops after the batch in which it has read so many.
     """
 
     keys: Sequence[str]
@@ -59,6 +60,7 @@ class TopicSpec:
     mode: str = "failfast"
     guard: str | None = None
     max_per_trigger: int | None = None
+    max_messages: int | None = None
 
     def __post_init__(self) -> None:
         if self.mode not in ("failfast", "quarantine"):

@@ -7,21 +7,58 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_POINTER = "_current"
+_POINTERS, _DONE, _DIGITS = "_pointers", "_SUCCESS", 12
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write a new version beside the old one, then flip the pointer: a failed run leaves the old snapshot."""
-    version = f"v={uuid.uuid4().hex}"
+def files(spark: SparkSession, path: str):
+    """(file system, Path) of any path that Spark can read."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under `path` that Spark has finished writing, in order."""
+    fs, at = files(spark, f"{path}/*/{_DONE}")
+    return sorted(s.getPath().getParent().getName() for s in fs.globStatus(at) or [])
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, at = files(spark, path)
+    fs.delete(at, True)
+
+
+def write_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), keep: int = 2) -> str:
+    """Write a new version beside the old ones, then a new pointer to it: until the pointer is complete, readers have the old version.
+
+    Pointers are numbered and never replaced, so a failure at any time leaves a readable table; one writer at a time. The last
+    `keep` versions stay, for readers that are under way.
+    """
+    spark = df.sparkSession
+    pointers = complete_folders(spark, f"{path}/{_POINTERS}")
+    number = int(pointers[-1]) + 1 if pointers else 0
+    version = f"v={number:0{_DIGITS}d}-{uuid.uuid4().hex}"
     writer = df.write
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/{version}")
-    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{path}/{_POINTER}")
+    _point(spark, path, number, version)
+    for old in pointers[: max(0, len(pointers) + 1 - keep)]:
+        drop_folder(spark, f"{path}/{_version(spark, path, old)}")
+        drop_folder(spark, f"{path}/{_POINTERS}/{old}")
     return version
 
 
+def _point(spark: SparkSession, path: str, number: int, version: str) -> None:
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{path}/{_POINTERS}/{number:0{_DIGITS}d}")
+
+
+def _version(spark: SparkSession, path: str, pointer: str) -> str:
+    return spark.read.schema("version string").json(f"{path}/{_POINTERS}/{pointer}").first()["version"]
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    version = spark.read.schema("version string").json(f"{path}/{_POINTER}").first()["version"]
-    return spark.read.parquet(f"{path}/{version}")
+    pointers = complete_folders(spark, f"{path}/{_POINTERS}")
+    if not pointers:
+        raise FileNotFoundError(f"no snapshot at {path}")
+    return spark.read.parquet(f"{path}/{_version(spark, path, pointers[-1])}")
 
 
 def publish(messages: DataFrame, servers: str | None = None, path: str | None = None, **options: str) -> None:

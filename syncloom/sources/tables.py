@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -41,11 +42,23 @@ def scan(df: DataFrame, columns: Sequence[str] | None = None, date_column: str |
     return df.select(*columns) if columns else df
 
 
+def with_date(text: str, ds: str) -> str:
+    """text with its date tokens replaced by a business date YYYY-MM-DD and its form without dashes."""
+    if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", ds):
+        raise ValueError(f"not a date: {ds!r}")
+    return re.sub(r"\{\{ ?(ds|ds_nodash) ?\}\}", lambda m: ds if m[1] == "ds" else ds.replace("-", ""), text)
+
+
 def query(spark: SparkSession, text: str, args: Mapping[str, Any] | None = None, ds: str | None = None, **views: DataFrame) -> DataFrame:
-    """A query with named parameters (:name) over DataFrames named as {view}. :ds and :ds_nodash are the business date's two forms."""
+    """A query with named parameters (:name) over DataFrames named as {view}. :ds and :ds_nodash are the business date's two forms.
+
+    The tokens {{ ds }} and {{ ds_nodash }} (spaced or not) in the text or in text parameters are replaced by them.
+    """
     args = dict(args or {})
     if ds:
         args |= {"ds": ds, "ds_nodash": ds.replace("-", "")}
+        text = with_date(text, ds)
+        args = {k: with_date(v, ds) if isinstance(v, str) else v for k, v in args.items()}
     used = {k: v for k, v in args.items() if f":{k}" in text}
     return spark.sql(text, args=used, **views)
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keys import latest_per_key, top_rows
+
 MESSAGE_SCHEMA = "topic string, partition_id int, msg_offset bigint, msg_ts timestamp_ntz, msg_key string, msg_value string"
 
 
@@ -28,6 +30,15 @@ def from_files(spark: SparkSession, path: str, stream: bool = False, max_files:
     return reader.parquet(path)
 
 
+def by_partition(messages: DataFrame, plan: DataFrame) -> DataFrame:
+    """Messages of the planned partitions (a plan of `chunks.partition_plan`), each partition's behind its committed offset, with their chunk_no.
+
+    All partitions are read by one job; a plan has a row for each topic partition.
+    """
+    todo = plan.select("topic", "partition_id", "chunk_no", "committed_offset")
+    return messages.join(F.broadcast(todo), ["topic", "partition_id"]).filter(F.col("msg_offset") >= F.greatest("committed_offset", F.lit(0))).drop("committed_offset")
+
+
 def window_of(messages: DataFrame, starting: Mapping[int, int] | None = None, cap: int | None = None, partitions: Sequence[int] | None = None) -> DataFrame:
     """A bounded read: from an offset for each partition, of some partitions, of at most `cap` messages of each partition."""
     if partitions is not None:
@@ -42,14 +53,18 @@ def window_of(messages: DataFrame, starting: Mapping[int, int] | None = None, ca
 
 def latest_message(messages: DataFrame, keys: Sequence[str], order: Sequence[str] = ("msg_offset",)) -> DataFrame:
     """The last message of each key, by offset (a keyed topic holds a key in one partition)."""
-    from ..operators.keys import latest_per_key
-
     return latest_per_key(messages, keys, order)
 
 
+def capped(messages: DataFrame, most: int) -> DataFrame:
+    """The first `most` messages of a run, all partitions together: those least far behind the first of their partition, then by partition. The cap is the feature."""
+    first = messages.groupBy("topic", "partition_id").agg(F.min("msg_offset").alias("_first"))
+    behind = messages.join(F.broadcast(first), ["topic", "partition_id"]).withColumn("_behind", F.col("msg_offset") - F.col("_first"))
+    return behind.orderBy("_behind", "topic", "partition_id").limit(most).select(*messages.columns)
+
+
 def sampled(messages: DataFrame, last: int, preview: int = 100) -> DataFrame:
     """The last messages of each partition, values cut to a preview. The feature is a bounded sample."""
-    order = Window.partitionBy("topic", "partition_id").orderBy(F.desc("msg_offset"))
-    rows = messages.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= last).drop("_n")
+    rows = top_rows(messages, ["topic", "partition_id"], [F.desc("msg_offset")], last)
     cut = F.when(F.length("msg_value") > preview, F.concat(F.substring("msg_value", 1, preview), F.lit("..."))).otherwise(F.col("msg_value"))
     return rows.withColumn("msg_value", cut)

@@ -1,14 +1,18 @@
-"""Topics into keyed tables with Structured Streaming: parse, keep the latest message of each key, merge, then commit.
+"""Topics into keyed tables with Structured Streaming: parse, keep the latest message of each key, append, then commit.
 
-The checkpoint takes the place of committed offsets: it moves on only after the merged snapshot has been written, so delivery is at least once, and
-since the merge is idempotent a replay changes nothing. With a guard column, a replayed older message doesn't overwrite newer data.
+A table is a base snapshot and the batches since: a batch writes only its own rows, and every COMPACT_BATCHES of them are merged into a new
+base, so a batch's cost doesn't hang on the table's size but for that share. Readers merge the base and the batches at once. The
+checkpoint takes the place of committed offsets: it moves on only after the batch has been written, so delivery is at least once, and since a
+batch has its own folder and the merge is idempotent a replay changes nothing. With a guard column, a replayed older message doesn't overwrite newer
+data; a NULL guard is the oldest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.messages import message_rows, quarantined, selected
@@ -16,12 +20,19 @@ from ..operators.apply import full_sync, snapshot
 from ..operators.changes import change_set
 from ..operators.keys import latest_per_key
 from ..plans.spec import SyncSpec, TopicSpec
-from ..sources.sinks import read_snapshot, write_snapshot
+from ..sources.sinks import complete_folders, drop_folder, read_snapshot, write_snapshot
+
+#: Folder of the batches beside the base, and how many of them there may be.
+BATCHES, COMPACT_BATCHES = "_batches", 16
 
 #: Columns that order messages: a keyed topic keeps a key in one partition, so the offset alone would do; the others break ties across partitions.
 ORDER = ("msg_offset", "msg_ts", "partition_id")
 
 
+class _Enough(Exception):
+    """A run has read as many messages as it may; its last batch isn't committed."""
+
+
 def batch_rows(messages: DataFrame, spec: TopicSpec) -> DataFrame:
     """Rows of a batch of messages, one for each key: the latest."""
     rows = message_rows(messages, spec.schema, "msg_value", spec.mode, keep=ORDER)
@@ -33,28 +44,80 @@ def merged(target: DataFrame, rows: DataFrame, spec: TopicSpec) -> DataFrame:
     """Target after an upsert of rows; with a guard, a row whose guard is below the target's is skipped."""
     changes = change_set(rows, target, spec.keys)
     if spec.guard:
-        stale = (F.col("action") == "update") & (F.col(f"s.{spec.guard}") < F.col(f"t.{spec.guard}"))
+        s, t = F.col(f"s.{spec.guard}"), F.col(f"t.{spec.guard}")
+        stale = (F.col("action") == "update") & F.coalesce(s < t, s.isNull() & t.isNotNull())
         changes = changes.withColumn("action", F.when(stale, "unchanged").otherwise(F.col("action")))
     return snapshot(changes)
 
 
+def _batches(spark: SparkSession, path: str) -> list[str]:
+    return complete_folders(spark, f"{path}/{BATCHES}")
+
+
+def read_table(spark: SparkSession, path: str, spec: TopicSpec) -> DataFrame:
+    """The table as it is now: the base with the batches since."""
+    base, names = read_snapshot(spark, path), _batches(spark, path)
+    if not names:
+        return base
+    rows = spark.read.parquet(*[f"{path}/{BATCHES}/{n}" for n in names])
+    order = [spec.guard, "_batch"] if spec.guard else ["_batch"]
+    return merged(base, latest_per_key(rows, spec.keys, order).drop("_batch"), spec)
+
+
+def compact(spark: SparkSession, path: str, spec: TopicSpec) -> int:
+    """Merge the batches into a new base and remove them; how many there were. A failure between leaves both, and the same table."""
+    names = _batches(spark, path)
+    if names:
+        write_snapshot(read_table(spark, path, spec), path)
+        for n in names:
+            drop_folder(spark, f"{path}/{BATCHES}/{n}")
+    return len(names)
+
+
 def merge_into(path: str, spec: TopicSpec, quarantine: str | None = None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function that merges a batch into the snapshot at `path`; bad messages go to `quarantine` in that mode."""
+    """foreachBatch function that adds a batch to the table at `path`; bad messages go to a folder of the batch in `quarantine` in that mode."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if spec.mode == "quarantine" and quarantine:
-            quarantined(batch, spec.schema, "msg_value").write.mode("append").parquet(quarantine)
-        write_snapshot(merged(read_snapshot(spark, path), batch_rows(batch, spec), spec), path)
+            quarantined(batch, spec.schema, "msg_value").write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        rows = batch_rows(batch, spec).withColumn("_batch", F.lit(batch_id).cast("bigint"))
+        rows.write.mode("overwrite").parquet(f"{path}/{BATCHES}/{batch_id:012d}")
+        if len(_batches(spark, path)) >= COMPACT_BATCHES:
+            compact(spark, path, spec)
 
     return apply
 
 
-def stream_upsert(messages: DataFrame, path: str, checkpoint: str, spec: TopicSpec, quarantine: str | None = None) -> int:
-    """Read all that is there, in batches, into the snapshot at `path`, then stop. The number of batches."""
-    run = messages.writeStream.foreachBatch(merge_into(path, spec, quarantine)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    run.awaitTermination()
-    return sum(1 for p in run.recentProgress if p["numInputRows"])
+def stream_upsert(messages: DataFrame, path: str, checkpoint: str, spec: TopicSpec, quarantine: str | None = None, merge_after: bool = True) -> int:
+    """Read all that is there, in batches, into the table at `path`, then stop. The number of batches with messages.
+
+    With merge_after the run's batches are merged into a new base at its end, once; else `read_table` has them. With spec.max_messages a run also stops after the batch in which it has read so many; the next run goes on from there.
+    Batches of an earlier run are merged first, since a new checkpoint would number its own from 0 again.
+    """
+    compact(messages.sparkSession, path, spec)
+    add, read = merge_into(path, spec, quarantine), {"batches": 0, "messages": 0}
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        if spec.max_messages is not None and read["messages"] >= spec.max_messages:
+            raise _Enough
+        batch = batch.persist()
+        n = batch.count()
+        if n:
+            add(batch, batch_id)
+        batch.unpersist()
+        read["batches"] += bool(n)
+        read["messages"] += n
+
+    run = messages.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    try:
+        run.awaitTermination()
+    except StreamingQueryException:
+        if spec.max_messages is None or read["messages"] < spec.max_messages:
+            raise
+    if merge_after:
+        compact(messages.sparkSession, path, spec)
+    return read["batches"]
 
 
 def topic_snapshot_sync(messages: DataFrame, target: DataFrame, spec: TopicSpec, scope: str) -> tuple[DataFrame, DataFrame]:
@@ -62,4 +125,4 @@ def topic_snapshot_sync(messages: DataFrame, target: DataFrame, spec: TopicSpec,
     return full_sync(batch_rows(messages, spec), target, SyncSpec(spec.keys, scope=scope, on_duplicate="allow"))
 
 
-__all__ = ["batch_rows", "merged", "merge_into", "stream_upsert", "topic_snapshot_sync"]
+__all__ = ["batch_rows", "merged", "merge_into", "read_table", "compact", "stream_upsert", "topic_snapshot_sync"]

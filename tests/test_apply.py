@@ -106,3 +106,27 @@ def test_update_and_delete(spark):
     s = spark.createDataFrame([(1, "x"), (None, "y"), (5, "z")], "k int, v string")
     assert rows(apply.update_rows(t, s, ["k"])) == rows(spark.createDataFrame([(1, "x"), (2, "b"), (None, "c")], "k int, v string"))
     assert rows(apply.delete_rows(t, s.select("k"))) == rows(spark.createDataFrame([(2, "b"), (None, "c")], "k int, v string"))
+
+
+def test_repeated_source_keys(spark):
+    """They are an error in every operator that applies rows by key, or the latest counts."""
+    t = spark.createDataFrame([(1, "a", 0)], "k int, v string, o int")
+    s = spark.createDataFrame([(1, "b", 1), (1, "c", 2), (2, "d", 1), (2, "e", 2)], "k int, v string, o int")
+    for f in (apply.update_rows, apply.insert_only):
+        with pytest.raises(ValueError, match="duplicate"):
+            f(t, s, ["k"])
+    assert rows(apply.update_rows(t, s, ["k"], "latest", ["o"])) == [(1, "c", 2)]
+    assert rows(apply.insert_only(t, s, ["k"], on_duplicate="latest", order=["o"])) == [(1, "a", 0), (2, "e", 2)]
+    documents = s.withColumnRenamed("k", "_id")
+    with pytest.raises(ValueError, match="duplicate"):
+        apply.document_changes(documents, documents.limit(0))
+    assert apply.document_changes(documents, documents.limit(0), on_duplicate="latest", order=["o"]).count() == 2
+
+
+def test_store_fanout_honours_the_spec(spark):
+    s = spark.createDataFrame([(1, 1, "a", "n"), (1, 2, "b", "n"), (2, 1, "a", "n")], "store int, k int, u string, v string")
+    t = spark.createDataFrame([(1, 1, "a", "old"), (1, 9, "b", "x"), (2, 9, "b", "x"), (3, 1, "z", "x")], "store int, k int, u string, v string")
+    snap = apply.store_snapshots(s, t, SyncSpec(["store", "k"], unique_keys=[["u"]]))
+    assert rows(snap) == sorted([(1, 1, "a", "n"), (1, 2, "b", "n"), (2, 1, "a", "n"), (2, 9, "b", "x"), (3, 1, "z", "x")], key=str)
+    kept = apply.store_snapshots(s, t, SyncSpec(["store", "k"], insert_only=True))
+    assert (1, 1, "a", "old") in rows(kept) and len(rows(kept)) == 6

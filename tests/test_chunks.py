@@ -9,8 +9,7 @@ from syncloom.operators import chunks
 
 @pytest.mark.parametrize("tiles", [1, 3, 37])
 @pytest.mark.parametrize("column,kind", [("k", "bigint"), ("s", "string")])
-def test_equals_ntile(spark, tiles, column, kind, monkeypatch):
-    monkeypatch.setattr(chunks, "BUCKET_ROWS", 50)
+def test_equals_ntile(spark, tiles, column, kind):
     df = spark.range(1000).select("id", F.when(F.col("id") % 11 > 0, F.col("id") * 7919 % 53).alias("k"))
     df = df.withColumn("s", F.col("k").cast("string"))
     expected = df.withColumn("t", F.ntile(tiles).over(Window.orderBy(F.col(column).asc_nulls_first(), "id")))
@@ -19,10 +18,26 @@ def test_equals_ntile(spark, tiles, column, kind, monkeypatch):
     assert found.join(expected.select("id", "t"), "id").filter("chunk_no <> t").count() == 0
 
 
-def test_no_single_partition(spark, monkeypatch):
-    monkeypatch.setattr(chunks, "BUCKET_ROWS", 50)
-    plan = chunks.chunk_plan(spark.range(1000).toDF("k"), "k", 8)._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("tiles", [1, 8])
+def test_no_single_partition(spark, tiles):
+    """Several tasks sort, whatever the number of tiles, at a size as it is."""
+    df = spark.range(100_000).select((F.col("id") * 7919 % 30_011).alias("k"), "id")
+    plan = chunks.chunk_plan(df, "k", tiles)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+    assigned = chunks.chunk_assign(df, "k", tiles, ("id",))
+    assert assigned.select(F.spark_partition_id().alias("p")).groupBy("p").count().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("tiles", [1, 7, 40])
+def test_hot_and_null_keys(spark, tiles):
+    """A third of the rows have one key and a third none: plans equal ntile, and the rows of a hot key are spread over tasks."""
+    df = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), "id")
+    expected = df.withColumn("t", F.ntile(tiles).over(Window.orderBy(F.col("k").asc_nulls_first()))).groupBy("t").agg(F.min("k"), F.max("k"), F.count("*"))
+    assert sorted(map(tuple, chunks.chunk_plan(df, "k", tiles).collect())) == sorted(map(tuple, expected.collect()))
+    assigned = chunks.chunk_assign(df, "k", tiles)
+    sizes = [r["count"] for r in assigned.groupBy("chunk_no").count().collect()]
+    assert sum(sizes) == 900 and max(sizes) - min(sizes) <= 1 and assigned.select("id").distinct().count() == 900
+    assert assigned.filter("k = 5").select(F.spark_partition_id().alias("p")).distinct().count() > 1
 
 
 def test_empty_and_one_row(spark):

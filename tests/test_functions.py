@@ -128,3 +128,41 @@ def test_jdbc_round_trip(spark, tmp_path):
     back = tables.jdbc(spark, url, "T", partition_column="K", bounds=(0, 100), partitions=4, driver=driver)
     assert back.rdd.getNumPartitions() == 4 and back.count() == 100
     assert tables.jdbc(spark, url, sql="SELECT COUNT(*) AS N FROM T", driver=driver).first()[0] == 100
+
+
+def test_wrong_types(spark):
+    df = spark.createDataFrame([('{"k": "abc"}',), ('{"k": 1.5}',), ('{"k": null}',), ("{}",), ('{"k": 2, "more": [1]}',), ('{"k": true}',), ('{"k": 3} x',)], "value string")
+    assert [r.error for r in messages.quarantined(df, "k int").collect()] == ["wrong type", "wrong type", "wrong type", "bad json"]
+    assert [r.k for r in messages.message_rows(df, "k int", mode="quarantine").collect()] == [None, None, 2]
+    with pytest.raises(Exception, match="wrong type"):
+        messages.message_rows(df.limit(1), "k int").collect()
+
+
+def test_date_tokens(spark):
+    text = "SELECT '{{ ds }}' AS a, '{{ds}}' AS b, '{{ ds_nodash }}' AS c, '{{ds_nodash}}' AS d, :p AS e, id FROM {r}"
+    got = tables.query(spark, text, {"p": "on {{ ds }}"}, ds="2024-01-15", r=spark.range(1)).first()
+    assert tuple(got) == ("2024-01-15", "2024-01-15", "20240115", "20240115", "on 2024-01-15", 0)
+    with pytest.raises(ValueError):
+        tables.with_date("x", "2024'; --")
+
+
+def test_rollup_tells_bounded_alerts(spark):
+    checks = spark.range(40).select(F.lit("t").alias("topic"), F.format_string("check %02d", "id").alias("check"), F.when(F.col("id") % 2 == 0, "warning").otherwise("healthy").alias("status"))
+    checks = checks.unionByName(spark.createDataFrame([("u", "c", "skipped"), ("v", "c", "odd"), (None, "c", "error")], "topic string, check string, status string"))
+    got = {r.topic: r for r in verify.health_rollup(checks).collect()}
+    assert got["t"].alerts == "; ".join(f"check {2 * i:02d}: warning" for i in range(verify.MOST_ALERTS)) and got["t"].alert_count == 20
+    assert (got["u"].status, got["v"].status, got[None].status, got["u"].alerts) == ("healthy", "unknown", "error", "")
+
+
+def test_run_cap_and_last_messages_with_gaps(spark):
+    m = spark.range(60).select(F.lit("t").alias("topic"), (F.col("id") % 3).cast("int").alias("partition_id"), (F.col("id") * F.col("id")).alias("msg_offset"), F.lit("v").alias("msg_value"))
+    assert topics.capped(m, 7).count() == 7 and topics.capped(m, 100).count() == 60
+    last = topics.sampled(m, 4).groupBy("partition_id").agg(F.count("*").alias("n"), F.min("msg_offset").alias("low")).collect()
+    assert sorted((r.partition_id, r.n, r.low) for r in last) == [(0, 4, 48**2), (1, 4, 49**2), (2, 4, 50**2)]
+
+
+def test_conditional_compaction(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "a", 1), (2, "b", 1), (2, "b", 1)], "p int, v string, version_id int")
+    parts = spark.createDataFrame([(1,)] * 3 + [(2,)], "partition_key int")
+    got = versions.compacted_if_fragmented(df, F.col("p"), parts, 3)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a", 1), (2, "b", 1), (2, "b", 1)]

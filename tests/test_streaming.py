@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from syncloom.plans.spec import TopicSpec
 from syncloom.sources import sinks, topics
 from syncloom.streaming import topics as streaming
@@ -25,6 +27,69 @@ def test_restart_and_stale_messages(spark, tmp_path):
     assert sorted(map(tuple, sinks.read_snapshot(spark, target).collect())) == [(1, "c", 2), (2, "new", 5), (9, "z", 0)]
 
 
+def test_batches_are_read_with_their_base(spark, tmp_path, monkeypatch):
+    """A batch writes only its own rows; merging by number of batches, at the end of a run or not at all gives the same table."""
+    want = [(1, "c", 2), (2, "b", 1), (9, "z", 5)]
+    for n, merge_after in ((99, False), (99, True), (1, False)):
+        monkeypatch.setattr(streaming, "COMPACT_BATCHES", n)
+        files, target, commits = (str(tmp_path / f"{x}{n}{merge_after}") for x in ("m", "t", "c"))
+        sinks.write_snapshot(spark.createDataFrame([(9, "z", 5)], "k int, v string, n int"), target)
+        for row in ((0, 1, "c", 2), (1, 2, "b", 1), (2, 1, "a", 1), (3, 9, "stale", 4)):
+            put(spark, files, [row])
+        assert streaming.stream_upsert(topics.from_files(spark, files, stream=True, max_files=1), target, commits, SPEC, merge_after=merge_after) == 4
+        assert sorted(map(tuple, streaming.read_table(spark, target, SPEC).collect())) == want
+        base = sorted(map(tuple, sinks.read_snapshot(spark, target).collect()))
+        assert base == ([(9, "z", 5)] if (n, merge_after) == (99, False) else want)
+
+
+def test_run_stops_at_its_cap(spark, tmp_path):
+    files, target, commits = (str(tmp_path / x) for x in ("m", "t", "c"))
+    sinks.write_snapshot(spark.createDataFrame([], "k int, v string, n int"), target)
+    for i in range(5):
+        put(spark, files, [(2 * i, i, "a", 1), (2 * i + 1, i + 10, "a", 1)])
+    spec = TopicSpec(["k"], "k int, v string, n int", max_messages=3)
+    run = lambda: streaming.stream_upsert(topics.from_files(spark, files, stream=True, max_files=1), target, commits, spec)
+    assert run() == 2 and sinks.read_snapshot(spark, target).count() == 4
+    assert run() == 2 and sinks.read_snapshot(spark, target).count() == 8
+    assert run() == 1 and sinks.read_snapshot(spark, target).count() == 10
+    assert run() == 0
+
+
+def test_wrong_types_dont_overwrite(spark, tmp_path):
+    """A value of another type ends the run, or goes to the quarantine; it never becomes NULL."""
+    files, target, commits, bad = (str(tmp_path / x) for x in ("m", "t", "c", "q"))
+    sinks.write_snapshot(spark.createDataFrame([(1, "good", 1)], "k int, v string, n int"), target)
+    data = [("t", 0, 0, None, None, '{"k": 1, "v": "x", "n": "many"}'), ("t", 0, 1, None, None, '{"k": "one", "v": "x", "n": 2}')]
+    spark.createDataFrame(data, topics.MESSAGE_SCHEMA).write.parquet(files)
+    with pytest.raises(Exception, match="wrong type"):
+        streaming.stream_upsert(topics.from_files(spark, files, stream=True), target, commits, SPEC)
+    spec = TopicSpec(["k"], "k int, v string, n int", mode="quarantine")
+    streaming.stream_upsert(topics.from_files(spark, files, stream=True), target, commits + "2", spec, bad)
+    assert [tuple(r) for r in sinks.read_snapshot(spark, target).collect()] == [(1, "good", 1)]
+    assert [r.error for r in spark.read.parquet(bad).collect()] == ["wrong type"] * 2
+
+
+def test_crash_before_the_pointer_leaves_the_old_snapshot(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    for n in range(4):
+        sinks.write_snapshot(spark.range(n + 1), path)
+    assert sinks.read_snapshot(spark, path).count() == 4
+    assert len(list((tmp_path / "t").glob("v=*"))) == 2  # older versions are gone
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_point", crash)
+        with pytest.raises(RuntimeError):
+            sinks.write_snapshot(spark.range(99), path)
+    assert sinks.read_snapshot(spark, path).count() == 4
+    (tmp_path / "t" / "_pointers" / "000000000009").mkdir()  # a pointer that was begun and not finished
+    assert sinks.read_snapshot(spark, path).count() == 4
+    sinks.write_snapshot(spark.range(7), path)
+    assert sinks.read_snapshot(spark, path).count() == 7
+
+
 def test_snapshot_delete(spark):
     rows = [("t", 0, 0, None, None, '{"k": 1, "v": "a", "n": 1}'), ("t", 0, 1, None, None, '{"k": 5, "v": "e", "n": 1}')]
     m = spark.createDataFrame(rows, topics.MESSAGE_SCHEMA)
