@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .chat import END, ESCAPES, TEXT, TURN
 from .common import ASCII_LOWER, ASCII_UPPER
-from .reputation import DEVIATIONS, LEAST, LIMIT, MOST, RULES
+from .reputation import ADDRESS, DEVIATIONS, LEAST, LIMIT, MOST, RULES, SUFFIXES
 
 JACCARD = rf"""
     WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -44,16 +44,22 @@ def _level(name: str, by: str, rows: str) -> str:
         {name} AS (SELECT {rows}.*, s, (m * s + k) / (s + n) AS mean FROM {rows}, {name}_s)"""
 
 
+_LAST = lambda n: f"array_to_string(string_split(host, '.')[-{n}:], '.')"
+_DOUBLE = f"{_LAST(2)} IN ({', '.join(repr(s) for s in SUFFIXES)})"
+_IP = r"regexp_matches(host, '^([0-9.]+|\[.*)$')"
+
 REPUTATION = f"""
     WITH u AS (SELECT page_id, CASE WHEN coalesce(position('://' IN url), 0) > 0 THEN substring(url, position('://' IN url) + 3) END AS rest FROM pages),
          q AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), '{ASCII_UPPER}', '{ASCII_LOWER}'), '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
-         o AS (SELECT q.host, CASE WHEN quality IS NULL AND toxic IS NULL THEN NULL WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END AS bad FROM q LEFT JOIN labels l ON l.doc_id = q.page_id),
-         h0 AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS k, split_part(host, '.', -1) AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain FROM o GROUP BY host),
-         top AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS mean FROM h0),
+         o AS (SELECT regexp_replace(q.host, '^.*@|:[0-9]*$', '', 'g') AS host, CASE WHEN quality IS NULL AND toxic IS NULL THEN NULL WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END AS bad FROM q LEFT JOIN labels l ON l.doc_id = q.page_id),
+         hh AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS k FROM o GROUP BY host),
+         top AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS mean FROM hh),
+         h0 AS (SELECT host, n, k, CASE WHEN {_IP} THEN '{ADDRESS}' WHEN {_DOUBLE} THEN {_LAST(2)} ELSE {_LAST(1)} END AS suffix, CASE WHEN {_IP} THEN host WHEN {_DOUBLE} THEN {_LAST(3)} ELSE {_LAST(2)} END AS domain FROM hh WHERE host <> ''),
          s0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, any_value(top.mean) AS m FROM h0, top GROUP BY suffix), {_level("sx", "suffix", "s0")},
          d0 AS (SELECT a.suffix, a.domain, a.n, a.k, sx.mean AS m FROM (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM h0 GROUP BY suffix, domain) a JOIN sx ON sx.suffix = a.suffix), {_level("dm", "domain", "d0")},
          h1 AS (SELECT h0.host, h0.n, h0.k, dm.mean AS m FROM h0 JOIN dm ON dm.domain = h0.domain), {_level("ho", "host", "h1")},
          j AS (SELECT host, mean, round(mean - {DEVIATIONS} * sqrt(mean * (1 - mean) / (s + n + 1)), 9) AS low FROM ho),
-         f AS (SELECT q.*, j.mean, j.low, CASE {_FIT} END AS fit FROM q LEFT JOIN j ON j.host = q.host)
+         z AS (SELECT top.mean, round(top.mean - {DEVIATIONS} * sqrt(top.mean * (1 - top.mean) / (s + 1)), 9) AS low FROM top, ho_s),
+         f AS (SELECT q.*, coalesce(j.mean, z.mean) AS mean, coalesce(j.low, z.low) AS low, CASE {_FIT} END AS fit FROM q CROSS JOIN z LEFT JOIN j ON j.host = regexp_replace(q.host, '^.*@|:[0-9]*$', '', 'g'))
     SELECT page_id, host, path, split_part(fit, ':', 1) AS rule, coalesce(split_part(fit, ':', 2), CASE WHEN low > {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict,
            round(mean, 6) AS bad_share, round(low, 6) AS bad_share_low FROM f"""

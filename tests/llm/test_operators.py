@@ -566,6 +566,22 @@ def test_reputation_shrinks(spark):
     assert reputation.judge(pages.limit(0), bad).count() == 0
 
 
+def test_domains(spark):
+    hosts = ["a.co.uk", "x.a.co.uk", "b.co.uk", "user@a.org:8080", "m.a.org", "org", "10.0.0.1:80", "[::1]", "", "co.uk"]
+    got = [tuple(r) for r in spark.createDataFrame([(h,) for h in hosts], "host string").select(*reputation.hierarchy(F.col("host"))).collect()]
+    assert got == [("a.co.uk", "a.co.uk", "co.uk"), ("x.a.co.uk", "a.co.uk", "co.uk"), ("b.co.uk", "b.co.uk", "co.uk"), ("a.org", "a.org", "org"), ("m.a.org", "a.org", "org"), ("org", "org", "org"), ("10.0.0.1", "10.0.0.1", "(address)"), ("[::1]", "[::1]", "(address)"), ("", "", ""), ("co.uk", "co.uk", "co.uk")]
+
+
+def test_pages_without_url_have_the_prior(spark):
+    """Bad pages without a url don't make a host of their own; very long urls and clashing columns do no harm."""
+    rows = [(i, None if i < 50 else f"http://u:p@h{i % 7}.good.co.uk:80/{'x' * (100_000 if i == 60 else 3)}") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns({c: F.lit(1) for c in ("host", "mean", "low", "bare", "n", "k", "rule", "verdict", "suffix")})
+    bad = spark.createDataFrame([(i, int(i < 50)) for i in range(400)] + [(5, 1)] * 3, "id long, bad int")
+    got = {r.page_id: r for r in reputation.judge(pages, bad).collect()}
+    assert len(got) == 400 and {r.verdict for r in got.values()} == {"allow"}
+    assert got[3].bad_share == pytest.approx((50 + 3 + 1) / (400 + 3 + 2), abs=1e-5) and got[60].bad_share < 0.05
+
+
 # --- 9: language
 
 
