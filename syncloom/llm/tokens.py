@@ -3,10 +3,12 @@
 A tokenizer's own normaliser and pre-tokeniser split a text into pieces that are encoded apart. Within a piece, the encoding of each prefix is
 one token longer than the encoding of a shorter one: token t may follow token s exactly if encoding the two spellings together gives s
 and t again, and for every prefix just one last token fits so. One pass over a piece thus stores the count of each of its prefixes; running
-sums over pieces give the count of every prefix of the text, and questions about truncation and budgets are look-ups.
+sums over pieces give the count of every prefix of the text. `prefix_table` stores them, one number a code point, and questions about
+truncation and budgets (`tokens_of_prefix`, `longest_within`) are look-ups in that column with Spark's array functions: nothing is encoded again.
 
 Scale: no shuffle; texts stream through Arrow batches. Runs between white space are hashed vectorised and counted once a batch; their counts are
-kept in a table of CACHE_WORDS runs a worker, which starts afresh when full, so that memory is bounded and every text is counted.
+kept in a table of CACHE_WORDS runs a worker, which starts afresh when full, so that memory is bounded and every text is counted. The stored
+table takes four bytes a code point before compression; `counted` doesn't make it.
 
 Defined results: null text is empty and has 0 tokens; special strings inside a text are single tokens, as the library has it; a run of any
 length is one piece for the library, too; repeated rows are counted each; an empty table gives no rows; extra columns are kept, but
@@ -23,8 +25,10 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from tokenizers import Tokenizer
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from tokenizers import PreTokenizedString, Tokenizer
 
 from .common import map_arrow, text_bytes, text_chunks, with_fields
 from .textops import words
@@ -153,23 +157,50 @@ class PrefixCounter:
                 return total
             total, at = total + 1, end - size
 
-    def prefix_counts(self, text: str) -> np.ndarray:
-        """Tokens of every prefix of `text` that ends with a run between white space, at the code points where runs end.
-
-        Two columns: end of the run, tokens up to there.
-        """
-        data, offsets = text_bytes(pa.array([text]))
-        w = words(data, offsets, fold=False)
-        raw = data.tobytes()
-        counts = np.cumsum([self.run_count(raw[s : s + n].decode()) for s, n in zip(w.start, w.length, strict=True)])
-        points = np.cumsum((data & 0xC0) != 0x80)
-        return np.stack([points[w.start + w.length - 1], counts], axis=1) if len(w.start) else np.zeros((0, 2), np.int64)
-
-    def longest_within(self, text: str, budget: int) -> int:
-        """Code points of the longest prefix that ends with a whole run and has at most `budget` tokens."""
-        table = self.prefix_counts(text)
-        at = int(np.searchsorted(table[:, 1], budget, side="right"))
-        return int(table[at - 1, 0]) if at else 0
+    def _spans(self, text: str) -> list[tuple[int, int]]:
+        """Begin and end of the pieces in the text as it is given, before the normaliser."""
+        if self.plain is not None and text.isascii() and text.isprintable():
+            return [m.span() for m in self.plain.finditer(text.lower())]
+        split = PreTokenizedString(text)
+        if self.library.normalizer is not None:
+            split.normalize(self.library.normalizer.normalize)
+        self.library.pre_tokenizer.pre_tokenize(split)
+        spans: list[tuple[int, int]] = []
+        for _, (begin, end), _ in split.get_splits("original", "char"):
+            if spans and begin < spans[-1][1]:  # one code point came to several pieces
+                begin, end = spans[-1][0], max(end, spans.pop()[1])
+            spans.append((begin, end))
+        return spans
+
+    def _plain_counts(self, text: str) -> list[int]:
+        """Tokens of every non-empty prefix of a text without white space and special strings, in which a prefix's pieces are those of the text and a cut one."""
+        out: list[int] = []
+        for begin, end in self._spans(text):
+            part, before = text[begin:end], out[-1] if out else 0
+            out += [before] * (begin - len(out))  # what the normaliser removes
+            pieces = self.pieces(part)
+            alone = part[0] != "'" and len(pieces) == 1 and len(pieces[0]) == len(part) and all(self._normal(c) == n for c, n in zip(part, pieces[0], strict=True))
+            own = self.piece_counts(pieces[0]) if alone else [sum(map(self.piece_count, self.pieces(part[:j]))) for j in range(1, len(part) + 1)]
+            out += [before + n for n in own]
+        return out + [out[-1] if out else 0] * (len(text) - len(out))
+
+    def _normal(self, char: str) -> str:
+        return self.library.normalizer.normalize_str(char) if self.library.normalizer is not None else char
+
+    def run_counts(self, run: str) -> list[int]:
+        """Tokens of every non-empty prefix of a run without white space; its last entry is run_count."""
+        out: list[int] = []
+        at = 0
+        while True:
+            hits = [(run.find(s, at), -len(s)) for s in self.special if run.find(s, at) >= 0] if "<" in run else []
+            end, size = min(hits, default=(len(run), 0))
+            before = out[-1] if out else 0
+            out += [before + n for n in self._plain_counts(run[at:end])]
+            if not hits:
+                return out
+            out += [before + sum(map(self.piece_count, self.pieces(run[at:j]))) for j in range(end + 1, end - size)]  # a special string that isn't whole
+            out.append(before + sum(map(self.piece_count, self.pieces(run[at:end]))) + 1)
+            at = end - size
 
 
 class _Runs:
@@ -221,3 +252,53 @@ def counted(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULAR
                 yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, pa.array(np.diff(offsets).astype(np.int64)), pa.array(total)], names=[*kept, "n_bytes", "n_tokens"])
 
     return map_arrow(docs, run, with_fields(docs.schema, n_bytes="long", n_tokens="long"))
+
+
+def prefix_table(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, out: str = "prefix_tokens") -> DataFrame:
+    """docs with `out`, an array with the tokens of the text's first 1, 2, ... code points; null text has an empty one."""
+    docs = docs.drop(out)
+    kept = docs.columns
+
+    def table(counter: PrefixCounter, known: dict[str, np.ndarray], text: str) -> np.ndarray:
+        done, total, at = np.zeros(len(text), np.int32), 0, 0
+        for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+            run = m.group()
+            own = known.get(run)
+            if own is None:
+                own = np.array(counter.run_counts(run), np.int32)
+                if len(run) <= 64:
+                    if len(known) >= CACHE_WORDS // 10:
+                        known.clear()
+                    known[run] = own
+            done[at : m.start()] = total
+            done[m.start() : m.end()] = total + own
+            total, at = total + int(own[-1]), m.end()
+        done[at:] = total
+        return done
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path = public_tokenizers.path(vocabulary)
+        if path not in _WORKER:
+            _WORKER[path] = _Runs(path)
+        counter, known = _WORKER[path].counter, {}
+        for batch in batches:
+            for i, j, _, _ in text_chunks(batch, text_col):
+                part = batch.slice(i, j - i)
+                tables = [table(counter, known, text or "") for text in part.column(part.schema.get_field_index(text_col)).to_pylist()]
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in tables])]).astype(np.int32))
+                made = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*tables, np.zeros(0, np.int32)])))
+                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*kept, out])
+
+    return map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
+
+
+def tokens_of_prefix(prefix_tokens: Column, chars: Column) -> Column:
+    """Tokens of the first `chars` code points (of the whole text, if it has fewer; 0 for none)."""
+    at = F.least(chars, F.size(prefix_tokens))
+    return F.when(at > 0, F.element_at(prefix_tokens, F.greatest(at, F.lit(1)).cast("int"))).otherwise(F.lit(0))
+
+
+def longest_within(prefix_tokens: Column, budget: Column) -> Column:
+    """Code points of the longest prefix with at most `budget` tokens."""
+    fits = F.transform(prefix_tokens, lambda n, i: F.when(n <= budget, i + 1).otherwise(F.lit(0)))
+    return F.coalesce(F.array_max(fits), F.lit(0))

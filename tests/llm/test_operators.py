@@ -194,12 +194,24 @@ def test_every_prefix():
             assert counter.piece_counts(piece)[-1] == counter.piece_count(piece)
     word = "internationalisation"
     assert counter.piece_counts(word) == [len(library.encode(word[:i], add_special_tokens=False).ids) for i in range(1, len(word) + 1)]
-    text = "The quick brown fox, jumped over 12 lazy dogs' backs."
-    table = counter.prefix_counts(text)
-    assert [c for _, c in table] == [len(library.encode(text[:e], add_special_tokens=False).ids) for e, _ in table]
-    end = counter.longest_within(text, 7)
-    assert len(library.encode(text[:end], add_special_tokens=False).ids) <= 7 < len(library.encode(text, add_special_tokens=False).ids)
-    assert counter.longest_within("", 3) == 0
+
+
+def test_stored_prefix_counts_answer_budgets(spark):
+    """Every prefix of odd texts and the longest prefix for a budget, as the library counts them, also without white space."""
+    library = Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY))
+    texts = ["The quick brown fox, jumped over 12 lazy dogs' backs. I'll say we're DON'T 's", "日本語のテキストは空白がない" * 4, "QmFzZTY0IGRhdGE+/x9=" * 5, "é" * 9 + "e\u0301x\u0301y か\u3099ki", "a!<|endoftext|>b<|endoftext|><|startoftext|", "İstanbul ΑΣ ﬁ'ſ x’ll", "😀😀 👍🏽!!", "  \n x \t", "", None, "''s'st'll''"]
+    table = tokens.prefix_table(docs_of(spark, texts, prefix_tokens="x", n_tokens=1))
+    count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    for r in table.collect():
+        text = r.text or ""
+        assert r.prefix_tokens == [count(text[:i]) for i in range(1, len(text) + 1)], text
+    for budget in (0, 1, 5, 1000):
+        asked = table.select("text", tokens.longest_within(F.col("prefix_tokens"), F.lit(budget)).alias("n"), tokens.tokens_of_prefix(F.col("prefix_tokens"), F.lit(budget)).alias("first"))
+        for r in asked.collect():
+            text = r.text or ""
+            assert r.n == max([i for i in range(1, len(text) + 1) if count(text[:i]) <= budget], default=0)
+            assert r.first == count(text[:budget])
+    assert tokens.prefix_table(docs_of(spark, texts).limit(0)).count() == 0
 
 
 # --- 3: mixing
