@@ -1,17 +1,18 @@
 """Exact Jaccard similarity join of word n-gram sets, as a join in the metric space of Jaccard distance.
 
-Documents with the same set are one point. Almost all pairs of points are at the greatest distance, 1, where a pivot tells nothing, so every point
-looks for pivots only where one can be near: in a fixed order of all shingles, two sets with Jaccard similarity of at least s share one of the first
-n - ceil(s n) + 1 shingles of each. The points that hold such a shingle form a region; its smallest id is the pivot, and every point of the region is
-measured against it, exactly. Points linked to the same pivot are in one Voronoi cell and need no more comparisons: their class is
-known. A region whose points all are in one class is done. In the others, points of different classes are compared only if the triangle inequality
-leaves it open: |d(x, p) - d(y, p)| <= 1 - s for the region's pivots p. That window brings in the boundary points of a cell. Small
-regions are compared at once; a larger one takes further pivots, PIVOTS at a time, is measured against them, and is joined again without them.
+Documents with the same set are one point. Almost all pairs of points are at the greatest distance, 1, where a pivot tells nothing, so pivots are
+sought only where one can be near: in a fixed order of all shingles, two sets with Jaccard similarity of at least s share one of the first
+n - ceil(s n) + 1 shingles of each. The points that hold such a shingle are a bucket (this part is a prefix filter); its smallest id is its first
+pivot, against which every point of the bucket is measured, exactly. A bucket whose points all are in one class by then is done. A larger one
+is cut into Voronoi cells: some of its points become pivots, all points are measured against them, each goes to the cell of its nearest pivot, and
+also to every cell whose pivot is at most 2 (1 - s) farther: by the triangle inequality, two linked points are in one cell of each other's so.
+Cells are cut again while they are large, DEPTH times at most. Small cells, and what is still large, are joined: points of different classes are
+compared if |d(x, p) - d(y, p)| <= 1 - s for the pivot p of the cell. Large cells are joined in blocks, every pair of blocks in a task of its own.
 
 The order puts rare shingles first: those that stand in more than HEAVY prefixes of a first order (by hash), and all frequent shingles of the points
 that hold many such, come after the others, by the logarithm of their count. A passage or line which many documents share thus
-makes no region, and a point with many shingles of its own stands in no region at all. Where two points' first common shingle stands bounds their
-overlap, too, so most pairs of a region are ruled out by number. The order is the same for all points; which shingles are
+makes no bucket, and a point with many shingles of its own stands in no bucket at all. Where two points' first common shingle stands bounds their
+overlap, too, so most pairs of a bucket are ruled out by number. The order is the same for all points; which shingles are
 counted (HEAVY_LIST at most, 9 bytes each, are broadcast) changes only the cost, never the result.
 
 Scale: sets are made in a few passes over the texts; only prefixes (a share 1 - s of a
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, join_checked, map_arrow, text_chunks
+from .common import checkpoint, is_small, join_checked, map_arrow, text_chunks
 from .components import components
 from .textops import mix64, shingles, words
 
@@ -42,8 +43,10 @@ from .textops import mix64, shingles, words
 HEAVY, HEAVY_LIST = 6, 1_000_000
 #: All shingles are counted of points with this share of heavy ones in their prefix.
 MANY = 1 / 2
-#: Points of a region that are compared at once; pivots that a larger one takes in a round.
-LEAF, PIVOTS = 4_096, 64
+#: Points of a region (a bucket or a cell) that are compared in one task; pivots that cut a larger one into cells; how often cells are cut.
+LEAF, PIVOTS, DEPTH = 4_096, 8, 2
+#: Parts of a group of equal sets when its documents look up what stands for them.
+SALT = 16
 #: Rows up to which a list of ids, or of regions, is broadcast; a longer one is joined by a shuffle.
 ID_ROWS, REGION_ROWS = 1_000_000, 2_000_000
 
@@ -196,9 +199,16 @@ def link_classes(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id",
         docs = join_checked(docs, repeated, is_repeated, "left_anti").unionByName(one)
         all_points = checkpoint(points(docs, k))
     # one point for each distinct set: the others are copies
-    real = all_points.filter("n > 0 and id is not null")
-    reps = real.groupBy("fp", "n").agg(F.min("id").alias("rep"))
-    mapped = checkpoint(all_points.join(reps, ["fp", "n"], "left").select("id", "n", "rep"))
+    real = all_points.filter("n > 0")
+    reps = real.groupBy("fp", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("holders"))
+    reps = checkpoint(reps.filter("holders > 1").select("fp", "n", "rep"))
+    if is_small(reps):
+        looked_up = all_points.join(F.broadcast(reps), ["fp", "n"], "left")
+    else:  # a set may stand in a third of all documents
+        parts = reps.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        looked_up = all_points.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int")).join(parts, ["fp", "n", "part"], "left")
+    alone = F.when(F.col("n") > 0, F.col("id"))
+    mapped = checkpoint(looked_up.select("id", "n", F.coalesce("rep", alone).alias("rep")))
     copies = checkpoint(mapped.filter("id <> rep").select("id"))
     few = copies.limit(ID_ROWS + 1).count() <= ID_ROWS
     only_points = lambda df: df.filter("n > 0 and id is not null").join(F.broadcast(copies) if few else copies, "id", "left_anti")
@@ -219,50 +229,77 @@ def link_classes(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id",
     measured = _Measured(docs, k)
     known = measured.overlaps(checkpoint(pairs))
     linked = lambda m: m.filter(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent)
-    edges = linked(known).select("a", "b")
-    classes = checkpoint(components(edges))
-    classes = _closed(members, known, edges, classes, measured, percent, distance, linked)
+    classes = checkpoint(components(linked(known).select("a", "b")))
+    classes = _closed(members, known, classes, measured, percent, distance, linked)
     found = mapped.join(classes.withColumnRenamed("id", "rep"), "rep", "left")
     return found.select("id", "n", F.coalesce("component", "rep", "id").alias("component"))
 
 
-def _closed(members: DataFrame, known: DataFrame, edges: DataFrame, classes: DataFrame, measured: _Measured, percent: int, distance: float, linked) -> DataFrame:
-    """Classes after all regions with points of more than one class have been joined."""
-    spread = lambda m: F.lit(1.0) - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    retired = members.groupBy("region").agg(F.min("id").alias("id"))  # the first pivot has met its whole region
-    members = checkpoint(members.join(retired.withColumn("gone", F.lit(True)), ["region", "id"], "left").withColumn("pivot", F.coalesce("gone", F.lit(False))).drop("gone"))
-    while True:
+def _joined_classes(edges: DataFrame, classes: DataFrame) -> DataFrame:
+    """Classes after more links: only the classes themselves are joined, whatever their size."""
+    name = lambda end: F.coalesce(f"c_{end}", end)
+    of = lambda end: classes.select(F.col("id").alias(end), F.col("component").alias(f"c_{end}"))
+    between = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select(name("a").alias("a"), name("b").alias("b")).filter("a <> b")
+    joined = checkpoint(components(between).select(F.col("id").alias("was"), F.col("component").alias("now")))
+    moved = classes.join(joined, F.col("component") == F.col("was"), "left").select("id", F.coalesce("now", "component").alias("component"))
+    alone = joined.join(classes.select(F.col("id").alias("was")), "was", "left_anti").select(F.col("was").alias("id"), F.col("now").alias("component"))
+    return checkpoint(moved.unionByName(alone))
+
+
+def _pairs(x: DataFrame, y: DataFrame, on: list[str], keep: Column, percent: int) -> DataFrame:
+    """(a, b, na, nb) with a < b, each once, of rows of x (a, na, pa, ca) and y (b, nb, pb, cb) that `keep` and their sizes leave open."""
+    met = x.join(y, on).filter(F.col("a") != F.col("b")).filter(keep).filter(_may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent))
+    first = F.col("a") < F.col("b")
+    pick = lambda p, q: F.when(first, F.col(p)).otherwise(F.col(q))
+    return met.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"), pick("na", "nb").alias("nlo"), pick("nb", "na").alias("nhi")).toDF("a", "b", "na", "nb").distinct()
+
+
+def _closed(members: DataFrame, known: DataFrame, classes: DataFrame, measured: _Measured, percent: int, radius: float, linked) -> DataFrame:
+    """Classes after all regions with points of more than one class have been joined. Rounds end after DEPTH at the latest."""
+    slack = 1e-9
+    spread = F.lit(1.0) - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
+    side = lambda df, s: df.select("region", F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("pos").alias(f"p{s}"), F.col("class").alias(f"c{s}"), F.col("d").alias(f"d{s}"), *[F.col(c).alias(f"{c}{s}") for c in df.columns if c == "block"], *[c for c in df.columns if c in ("low", "high")])
+    # the first pivot of a bucket has met all of it; distances to it are known as far as sizes left them open
+    first = members.groupBy("region").agg(F.min("id").alias("a"))
+    far = known.select("a", F.col("b").alias("id"), spread.alias("d"))
+    members = checkpoint(members.join(first, "region").filter("id <> a").join(far, ["a", "id"], "left").select("region", "id", "n", "pos", "d"))
+    for depth in range(DEPTH + 1):
         own = members.join(classes, "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
-        rest = own.filter("not pivot")
-        regions = rest.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select("region", "size")
-        regions = checkpoint(regions)
+        regions = own.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("least"), F.max("class").alias("most")).filter("least <> most")
+        regions = checkpoint(regions.select("region", "size"))
         if regions.isEmpty():
             return classes
-        rest = checkpoint(rest.join(regions, "region"))
-        # distances to the first pivot of the region, as far as they were measured; sizes bound the others
-        first = members.filter("pivot").groupBy("region").agg(F.min("id").alias("a"))
-        far = known.select("a", F.col("b").alias("id"), spread(known).alias("d"))
-        rest = checkpoint(rest.join(first, "region").join(far, ["a", "id"], "left").select("region", "id", "n", "pos", "class", "size", "d"))
-        small = rest.filter(F.col("size") <= LEAF)
-        x = small.select("region", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("class").alias("ca"), F.col("d").alias("da"))
-        y = small.select("region", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("class").alias("cb"), F.col("d").alias("db"))
-        window = F.coalesce(F.abs(F.col("da") - F.col("db")) <= distance + 1e-9, F.lit(True))
-        todo = x.join(y, "region").filter("a < b and ca <> cb").filter(window).filter(_may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select("a", "b", "na", "nb")
-        large = rest.filter(F.col("size") > LEAF)
-        chosen = large.groupBy("region").agg(F.slice(F.sort_array(F.collect_set(F.when(F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / (4 * PIVOTS))) == 0, F.struct("id", "n", "class", "pos")))), 1, PIVOTS).alias("some"), F.min(F.struct("id", "n", "class", "pos")).alias("one"))
-        chosen = chosen.select("region", F.explode(F.when(F.size("some") > 0, F.col("some")).otherwise(F.array("one"))).alias("p")).select("region", F.col("p.id").alias("a"), F.col("p.n").alias("na"), F.col("p.class").alias("ca"), F.col("p.pos").alias("pa"))
-        chosen = checkpoint(chosen)
-        more = large.select("region", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("class").alias("cb")).join(chosen, "region").filter("a <> b and ca <> cb").filter(_may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select("a", "b", "na", "nb")
-        pairs = todo.unionByName(more)
-        pairs = pairs.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("nlo"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nhi"))
-        pairs = pairs.toDF("a", "b", "na", "nb").distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
-        found = measured.overlaps(checkpoint(pairs))
+        rest = checkpoint(own.join(regions, "region"))
+        large = rest.filter(F.col("size") > LEAF) if depth < DEPTH else rest.limit(0)
+        here = rest.filter(F.col("size") <= LEAF) if depth < DEPTH else rest
+        # joined now: in blocks of about LEAF points, a point of block k takes part in every pair of blocks with k in it
+        blocks = F.ceil(F.col("size") / LEAF).cast("int")
+        cut = here.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        cut = cut.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+        window = F.coalesce(F.abs(F.col("da") - F.col("db")) <= radius + slack, F.lit(True))
+        once = (F.least("blocka", "blockb") == F.col("low")) & (F.greatest("blocka", "blockb") == F.col("high"))
+        pairs = _pairs(side(cut, "a"), side(cut, "b"), ["region", "low", "high"], (F.col("ca") != F.col("cb")) & window & once & (F.col("a") < F.col("b")), percent)
+        cells = not large.isEmpty()
+        if cells:
+            chance = F.pmod(F.xxhash64("id", F.lit(depth)), F.ceil(F.col("size") / (4 * PIVOTS))) == 0
+            point = F.struct("id", "n", "class", "pos")
+            chosen = large.groupBy("region").agg(F.slice(F.sort_array(F.collect_set(F.when(chance, point))), 1, PIVOTS).alias("some"), F.min(point).alias("one"))
+            chosen = chosen.select("region", F.explode(F.when(F.size("some") > 0, F.col("some")).otherwise(F.array("one"))).alias("p"))
+            chosen = checkpoint(chosen.select("region", "p.*").withColumn("d", F.lit(0.0)))
+            pairs = pairs.unionByName(_pairs(side(large.drop("size"), "a"), side(chosen, "b"), ["region"], F.lit(True), percent)).distinct()
+        found = measured.overlaps(checkpoint(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")))
         known = known.unionByName(found)
-        edges = checkpoint(edges.unionByName(linked(found).select("a", "b")))
-        classes = checkpoint(components(edges))
-        # small regions are done; in large ones the pivots have met all others
-        gone = chosen.select("region", F.col("a").alias("id")).withColumn("gone", F.lit(True))
-        members = members.join(rest.filter(F.col("size") > LEAF).select("region").distinct(), "region", "left_semi")
-        members = checkpoint(members.join(gone, ["region", "id"], "left").withColumn("pivot", F.col("pivot") | F.coalesce("gone", F.lit(False))).drop("gone"))
-        if members.isEmpty():
+        classes = _joined_classes(linked(found).select("a", "b"), classes)
+        if not cells:
             return classes
+        # a pair that sizes rule out is unlinked at any distance; for its cell the distance is bounded by what the sizes allow
+        bound = F.lit(1.0) - F.least("n", "np") / F.greatest("n", "np")
+        met = large.select("region", "id", "n", "pos").join(chosen.select("region", F.col("id").alias("pivot"), F.col("n").alias("np")), "region")
+        met = met.withColumn("a", F.least("id", "pivot")).withColumn("b", F.greatest("id", "pivot")).join(known.select("a", "b", spread.alias("d")), ["a", "b"], "left")
+        met = met.filter("id <> pivot").withColumn("at_least", F.coalesce("d", bound)).withColumn("at_most", F.coalesce("d", F.lit(1.0)))
+        nearest = met.groupBy("region", "id").agg(F.min("at_most").alias("nearest"))
+        near = met.join(nearest, ["region", "id"]).filter(F.col("at_least") - F.col("nearest") <= 2 * radius + slack)
+        gone = chosen.select("region", "id")  # pivots have met their whole region
+        near = near.join(gone, ["region", "id"], "left_anti")
+        members = checkpoint(near.select(F.xxhash64("region", "pivot").alias("region"), "id", "n", "pos", "d"))
+    return classes

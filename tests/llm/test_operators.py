@@ -332,15 +332,27 @@ def test_jaccard_join(spark, near_texts, k, percent):
     assert got == brute_classes(list(enumerate(near_texts)), k, percent)
 
 
-def test_jaccard_large_regions_take_pivots(spark, near_texts, monkeypatch):
-    monkeypatch.setattr(jaccard, "LEAF", 12)
-    monkeypatch.setattr(jaccard, "PIVOTS", 16)
+@pytest.mark.parametrize("leaf,pivots,depth", [(6, 3, 2), (9, 4, 0)])
+def test_jaccard_large_regions_are_cut_into_cells(spark, near_texts, monkeypatch, leaf, pivots, depth):
+    monkeypatch.setattr(jaccard, "LEAF", leaf)
+    monkeypatch.setattr(jaccard, "PIVOTS", pivots)
+    monkeypatch.setattr(jaccard, "DEPTH", depth)
     monkeypatch.setattr(jaccard, "HEAVY", 1000)  # no order by count: passages make regions
     texts = near_texts[:60]
     got = {r.id: (r.n, r.component) for r in jaccard.link_classes(docs_of(spark, texts), 3, 80).collect()}
     assert got == brute_classes(list(enumerate(texts)), 3, 80)
 
 
+def test_jaccard_hot_copies_without_broadcast(spark, near_texts, monkeypatch):
+    """Many copies of one text, some without an id, looked up by a salted join."""
+    monkeypatch.setattr(jaccard, "is_small", lambda *_: False)
+    texts = near_texts[:20] + [near_texts[0]] * 40
+    docs = docs_of(spark, texts).unionByName(docs_of(spark, [near_texts[0]] * 3).withColumn("doc_id", F.lit(None).cast("long")))
+    got = [(r.id, r.n, r.component) for r in jaccard.link_classes(docs, 3, 80).collect()]
+    expected = brute_classes(list(enumerate(texts)), 3, 80)
+    assert {i: (n, c) for i, n, c in got if i is not None} == expected and len(got) == len(texts) + 1 and (None, *expected[0]) in got
+
+
 def test_jaccard_on_odd_input(spark, odd):
     got = {(r.id, r.n): r.component for r in jaccard.link_classes(odd, 3, 90).collect()}
     assert got[(0, 0)] == 0 and got[(1, 0)] == 1 and got[(2, 0)] == 2 and got[(3, 1)] == 3 and got[(5, 1)] == 5
