@@ -147,8 +147,8 @@ def test_cnn_tables_equal_convolution():
                     if best[t, at] > 1e-4:
                         assert abs(values[where[t, at] - begin] - best[t, at]) < 1e-4
     hashes = rng.integers(0, 1 << 63, 30).astype(np.uint64)
-    model = cnn.Cnn(np.unique(hashes[:20] >> np.uint64(64 - cnn.BITS)).astype(np.int64), nets)
-    assert model.logits(hashes, text, 4) == pytest.approx(np.mean([m.logits(model.ids(hashes), text, 4) for m in nets], axis=0), abs=1e-4)
+    model = cnn.Cnn(np.unique(cnn.buckets(hashes[:20])), nets)
+    assert model.logits(hashes, text, 4) == pytest.approx(np.mean([m.logits(model.ids(cnn.buckets(hashes)), text, 4) for m in nets], axis=0), abs=1e-4)
 
 
 def test_threshold_balances_shares(monkeypatch):
