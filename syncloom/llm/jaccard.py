@@ -210,7 +210,7 @@ def link_classes(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id",
     alone = F.when(F.col("n") > 0, F.col("id"))
     mapped = checkpoint(looked_up.select("id", "n", F.coalesce("rep", alone).alias("rep")))
     copies = checkpoint(mapped.filter("id <> rep").select("id"))
-    few = copies.limit(ID_ROWS + 1).count() <= ID_ROWS
+    few = is_small(copies, ID_ROWS)
     only_points = lambda df: df.filter("n > 0 and id is not null").join(F.broadcast(copies) if few else copies, "id", "left_anti")
     # the order: frequent shingles last
     counts = only_points(prefixes(docs, k, percent)).select(F.explode("prefix").alias("shingle")).groupBy("shingle").count().filter(F.col("count") > HEAVY)
