@@ -77,8 +77,8 @@ def fold(id_col: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds, F.lit(-1))
 
 
-def map_arrow(df: DataFrame, f: Callable, schema) -> DataFrame:
-    """mapInArrow, after the package has been sent to the executors' Python workers (once a context)."""
+def send_package(df: DataFrame) -> None:
+    """Send the package to the executors' Python workers (once a context)."""
     context = df.sparkSession.sparkContext
     if getattr(context, "_syncloom_sent", None) is None:
         top = Path(__file__).resolve().parents[1]
@@ -88,6 +88,11 @@ def map_arrow(df: DataFrame, f: Callable, schema) -> DataFrame:
                 out.write(path, path.relative_to(top.parent))
         context.addPyFile(str(archive))
         context._syncloom_sent = str(archive)
+
+
+def map_arrow(df: DataFrame, f: Callable, schema) -> DataFrame:
+    """mapInArrow, with the package sent before."""
+    send_package(df)
     return df.mapInArrow(f, schema)
 
 

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and their SQL where there is one."""
+"""The registered queries of the thirteen operators, and their SQL where there is one."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cnn, decontam, jaccard, language, mixing, quality, reputation, sql, tokens, winnow
-from .common import fold, read
+from . import alignment, chat, cnn, decontam, jaccard, language, mixing, quality, reputation, rules, spelling, sql, tokens, winnow
+from .common import fold, read, written
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,11 +71,27 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.compared(read(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = written(rules.statistics(read(spark, sf_dir, "documents").select("doc_id", "text")), "rule_statistics")
+    labelled = stats.join(read(spark, sf_dir, "labels").filter("quality is not null").select("doc_id", F.col("quality").alias("label")), "doc_id")
+    forest = rules.fit(labelled)
+    level = rules.threshold(rules.scored(labelled, forest))
+    return rules.judged(rules.scored(stats, forest), level).select("doc_id", *rules.STATISTICS[:5], "base_failed", "kept", "anomaly")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(read(spark, sf_dir, "documents")))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def lang_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same operator where all kinds of evidence are: pages with their markup, address and host."""
     found = language.identify_pages(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents"))
     return found.select("page_id", F.col("lid_lang").alias("language"), F.col("lid_posterior").alias("posterior"), F.col("lid_text_lang").alias("text_language"), F.col("lid_keep").alias("keep"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_token_counts, op3_source_mix, op4_jaccard_join, op5_decontaminate, op6_chat_format, op7_url_filter, op8_toxicity, op9_language_id, op10_fingerprints, lang_pages)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_token_counts, op3_source_mix, op4_jaccard_join, op5_decontaminate, op6_chat_format, op7_url_filter, op8_toxicity, op9_language_id, op10_fingerprints, op11_quality_rules, op12_spelling_variants, op13_token_alignment, lang_pages)}
 SQL: dict[str, str] = {"op4_jaccard_join": sql.JACCARD, "op6_chat_format": sql.CHAT, "op7_url_filter": sql.REPUTATION}

@@ -84,6 +84,17 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: str = "space", fold: bool
     return Words(mix64(value + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), text, start, length)
 
 
+def segment_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """64-bit hashes of non-empty, non-overlapping byte segments in ascending order."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    at = np.cumsum(length) - length
+    place = np.arange(int(length.sum())) - np.repeat(at, length)
+    inner = data[place + np.repeat(start, length)].astype(np.uint64)
+    value = np.add.reduceat((inner + np.uint64(1)) * _powers(int(length.max()))[place], at)
+    return mix64(value + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def shingles(w: Words, n_texts: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of k successive words and the n+1 offsets of the texts in them; a text with 1 to k-1 words has its whole sequence as one."""
     counts = np.bincount(w.text, minlength=n_texts)
