@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,8 @@ from .common import map_arrow, text_bytes, text_chunks, written
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text whose pairs share a table; bytes that are encoded and aligned together.
 CHUNK_TEXT, PIECE = 32 << 20, 1 << 19
+#: Runs whose tokens a worker remembers, and the bytes of those that are worth it.
+CACHE_RUNS, SHORT_RUN = 200_000, 64
 #: An id pair as one number: A's id times this, plus B's. A document and an end in it likewise.
 ID_SPAN, END_SPAN = 1 << 24, 1 << 36
 
@@ -57,11 +60,22 @@ class Tokens:
         self.b_bytes = pa.array([bytes([int(t[3:5], 16)]) if self.b.is_byte(i) else t.replace("▁", " ").encode() for i, t in enumerate(piece)], pa.large_binary())
         self.names = pa.array([str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))], pa.string())
 
-    def encode(self, runs: list[str]) -> tuple[pa.Array, pa.Array]:
-        """Token ids of each run by A and B. A run is a space and a text; B adds that space itself."""
-        a = [e.ids for e in self.a.encode_batch_fast(runs, add_special_tokens=False)]
-        b = self.b.encode([r[1:] for r in runs], num_threads=1)
-        return _lists(a), _lists(b)
+        self.known: dict[bytes, tuple[bytes, bytes]] = {}
+
+    def encode(self, runs: list[bytes]) -> tuple[pa.Array, pa.Array]:
+        """Token ids of each run by A and B. A run is a space and a text in UTF-8; B adds that space itself. Short runs are remembered."""
+        found = [self.known.get(r) for r in runs]
+        new = [i for i, ids in enumerate(found) if ids is None]
+        texts = [runs[i].decode() for i in new]
+        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        if len(self.known) > CACHE_RUNS:
+            self.known.clear()
+        for i, x, y in zip(new, a, b, strict=True):
+            found[i] = array("i", x).tobytes(), array("i", y).tobytes()
+            if len(runs[i]) <= SHORT_RUN:
+                self.known[runs[i]] = found[i]
+        return _lists([ids[0] for ids in found]), _lists([ids[1] for ids in found])
 
 
 def _byte_letters() -> dict[str, int]:
@@ -75,10 +89,9 @@ def _spelt(token: str, letter: dict[str, int]) -> bytes:
     return bytes(letter[c] for c in token) if all(c in letter for c in token) else token.encode()
 
 
-def _lists(ids: list[list[int]]) -> pa.Array:
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((i for own in ids for i in own), np.int32, int(sizes.sum()))
-    return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)])), pa.array(flat))
+def _lists(ids: list[bytes]) -> pa.Array:
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)])), pa.array(np.frombuffer(b"".join(ids), np.int32)))
 
 
 def cut_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -213,7 +226,7 @@ def _piece(tokens: Tokens, data: np.ndarray, offsets: np.ndarray, pairs: _Pairs)
     n = len(offsets) - 1
     out, begins, run_text = cut_runs(data, offsets)
     runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins) - 1, [None, pa.py_buffer(begins.astype(np.int64)), pa.py_buffer(out)]).dictionary_encode()
-    a, b = tokens.encode([r.decode() for r in runs.dictionary.to_pylist()])
+    a, b = tokens.encode(runs.dictionary.to_pylist())
     want_at = np.concatenate([[0], np.cumsum(np.diff(offsets) + (np.diff(offsets) > 0))])
     index = runs.indices
     a_ids, a_text, a_end, a_letters = _flat(a.take(index), tokens.a_bytes, run_text, n)

@@ -252,7 +252,7 @@ def test_cuts_are_sure():
     for _ in range(1500):
         text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 25)))
         out, begins, _ = alignment.cut_runs(*text_bytes(pa.array([text])))
-        runs = [out[i:j].tobytes().decode() for i, j in zip(begins[:-1], begins[1:], strict=True)]
-        assert "".join(runs) == " " + text
-        for apart, whole in zip(tokens.encode(runs), tokens.encode([" " + text]), strict=True):
+        runs = [out[i:j].tobytes() for i, j in zip(begins[:-1], begins[1:], strict=True)]
+        assert b"".join(runs).decode() == " " + text
+        for apart, whole in zip(tokens.encode(runs), tokens.encode([f" {text}".encode()]), strict=True):
             assert apart.flatten().to_pylist() == whole.flatten().to_pylist(), repr(text)
