@@ -75,8 +75,8 @@ def parsed(messages: DataFrame, schema: str, value: str = "value") -> DataFrame:
 def message_rows(messages: DataFrame, schema: str, value: str = "value", mode: str = "failfast", keep: Sequence[str] = ()) -> DataFrame:
     """Rows of messages. failfast: a null payload, bad JSON, a value that isn't an object or a field of another type ends the run; quarantine: they are left out (see `quarantined`)."""
     p = parsed(messages, schema, value)
-    if mode == "failfast":
-        p = p.withColumn("row", F.when(F.col("error").isNull(), F.col("row")).otherwise(F.raise_error(F.concat(F.lit("message can't be read: "), F.col("error")))))
+    if mode == "failfast":  # a filter, since a column that isn't asked for would be pruned with its check
+        p = p.filter(F.when(F.col("error").isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("message can't be read: "), F.col("error"))).cast("boolean")))
     else:
         p = p.filter("error is null")
     return p.select(*keep, "row.*")

@@ -24,6 +24,8 @@ TEXT = {
         SELECT 'events' AS topic, CAST(user_id % 4 AS INT) AS partition_id, row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS msg_offset,
                ts AS msg_ts, CAST(user_id AS VARCHAR(20)) AS msg_key, props AS msg_value, event_id, user_id, event_type, value
         FROM {events}""",
+    "gappy_messages": """
+        SELECT 'events' AS topic, CAST(user_id % 4 AS INT) AS partition_id, event_id AS msg_offset, user_id, event_type FROM {events}""",
     "bad_messages": """
         SELECT event_id, CASE WHEN event_id % 97 = 0 THEN '[1]' WHEN event_id % 89 = 0 THEN 'bad' WHEN event_id % 83 = 0 THEN NULL WHEN event_id % 79 = 0 THEN chr(123) || '"k": "text"' || chr(125) WHEN event_id % 73 = 0 THEN chr(123) || '"k": 1.5' || chr(125) ELSE props END AS msg_value
         FROM {events}""",

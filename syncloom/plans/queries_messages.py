@@ -42,6 +42,21 @@ def run_cap(spark: SparkSession, d: str) -> DataFrame:
     return topics.capped(fx(spark, d, "messages"), 1001).select("topic", "partition_id", "msg_offset")
 
 
+@registered("SELECT topic, partition_id, msg_offset FROM (SELECT *, row_number() OVER (PARTITION BY topic, partition_id ORDER BY msg_offset) AS n FROM {gappy_messages}) x ORDER BY n, topic, partition_id LIMIT 1501")
+def run_cap_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """The same over a topic whose offsets have gaps: exactly 1501 messages, none passed over."""
+    return topics.capped(fx(spark, d, "gappy_messages"), 1501).select("topic", "partition_id", "msg_offset")
+
+
+@registered("SELECT topic, partition_id, CAST(MIN(msg_offset) AS BIGINT) AS first_offset, CAST(MAX(msg_offset) + 1 AS BIGINT) AS end_offset, COUNT(*) AS messages FROM (SELECT *, row_number() OVER (PARTITION BY topic, partition_id ORDER BY msg_offset) AS n FROM {gappy_messages}) x WHERE n <= 700 GROUP BY topic, partition_id")
+def run_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """First and end offset for each partition of a run of 700 messages of each."""
+    found = topics.run_bounds(fx(spark, d, "gappy_messages"), each=700)
+    whole = spark.createDataFrame([(b.topic, b.partition_id, b.start, b.end, b.take) for b in found], "topic string, partition_id int, first_offset bigint, _end bigint, messages bigint")
+    last = topics.within(fx(spark, d, "gappy_messages"), found).groupBy("topic", "partition_id").agg((F.max("msg_offset") + 1).alias("end_offset"))
+    return whole.drop("_end").join(last, ["topic", "partition_id"])
+
+
 @registered("""
     SELECT m.partition_id, m.msg_offset, p.chunk_no FROM {messages} m
     JOIN (SELECT partition_id, CAST(row_number() OVER (ORDER BY partition_id) AS INT) AS chunk_no, GREATEST(committed_offset, 0) AS begin_at
@@ -188,6 +203,20 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     return streaming.read_table(spark, path, spec)
 
 
+@registered("SELECT user_id, MAX(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM {events} GROUP BY user_id")
+def stream_replay(spark: SparkSession, d: str) -> DataFrame:
+    """A topic whose messages come newest first (a replay), in runs that are capped in the middle of a file: the guard keeps the newest of each key, whatever the batches."""
+    files, path, commits = shared_folder(spark), shared_folder(spark), shared_folder(spark)
+    m = _event_messages(spark, d)
+    last = m.agg(F.max("msg_offset")).first()[0]
+    m.withColumn("msg_offset", F.lit(last) - F.col("msg_offset")).repartitionByRange(3, "msg_offset").write.parquet(files)
+    sinks.write_snapshot(fx(spark, d, "events").limit(0).select("event_id", "user_id", "event_type"), path)
+    spec = TopicSpec(["user_id"], _EVENT_ROW, guard="event_id", max_messages=m.count() // 2 + 1)
+    for _ in range(2):
+        streaming.stream_upsert(topics.from_files(spark, files, stream=True, max_files=2), path, commits, spec)
+    return streaming.read_table(spark, path, spec).select("user_id", "event_id", "event_type")
+
+
 @registered(f"SELECT user_id, event_id, msg_offset FROM {_LATEST}")
 def latest_message(spark: SparkSession, d: str) -> DataFrame:
     return topics.latest_message(fx(spark, d, "messages").select("user_id", "event_id", "msg_offset"), ["user_id"])

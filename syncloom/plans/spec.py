@@ -49,8 +49,8 @@ class SyncSpec:
 class TopicSpec:
     """A run over a topic's messages into a keyed table.
 
-    include and exclude: columns of a message's row, exclude first. guard: column that must not go down (a replayed older message is skipped).
-    max_messages: a streaming run stops after the batch in which it has read so many.
+    include and exclude: columns of a message's row, exclude first. guard: column that must not go down (a replayed older message is skipped); the table
+    needs it, so it is kept even if it is excluded or not included. max_messages: a run reads so many messages at most, the next goes on from there.
     """
 
     keys: Sequence[str]
@@ -62,7 +62,17 @@ class TopicSpec:
     max_per_trigger: int | None = None
     max_messages: int | None = None
 
+    @property
+    def excluded(self) -> list[str]:
+        return [c for c in self.exclude if c != self.guard]
+
+    @property
+    def included(self) -> list[str] | None:
+        return None if self.include is None else [*self.include, *([self.guard] if self.guard and self.guard not in self.include else [])]
+
     def __post_init__(self) -> None:
+        if self.max_messages is not None and self.max_messages < 1:
+            raise ValueError("max_messages must be positive")
         if self.mode not in ("failfast", "quarantine"):
             raise ValueError(f"unknown mode: {self.mode!r}")
         if not self.keys:

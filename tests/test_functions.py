@@ -166,3 +166,13 @@ def test_conditional_compaction(spark):
     parts = spark.createDataFrame([(1,)] * 3 + [(2,)], "partition_key int")
     got = versions.compacted_if_fragmented(df, F.col("p"), parts, 3)
     assert sorted(tuple(r) for r in got.collect()) == [(1, "a", 1), (2, "b", 1), (2, "b", 1)]
+
+
+def test_failfast_cant_be_pruned(spark):
+    """A bad message ends the run whichever columns are asked for."""
+    m = spark.createDataFrame([(1, '{"k": 1}'), (2, "junk")], "at int, value string")
+    rows = messages.message_rows(m, "k int", keep=["at"])
+    for ask in (lambda: rows.count(), lambda: rows.select("at").collect(), lambda: rows.limit(9).collect(), lambda: rows.agg({"at": "max"}).collect()):
+        with pytest.raises(Exception, match="bad json"):
+            ask()
+    assert messages.message_rows(m, "k int", mode="quarantine", keep=["at"]).count() == 1
