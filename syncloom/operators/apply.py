@@ -6,9 +6,9 @@ whole source is evaluated at once, so the outcome doesn't depend on batch order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..plans.spec import SyncSpec
@@ -60,9 +60,14 @@ def scope_bounds(source: DataFrame, column: str) -> DataFrame:
 
 def missing_in_source(target: DataFrame, source: DataFrame, keys: Sequence[str], scope: str) -> DataFrame:
     """Target rows within the bounds of the source's scope column whose key the source lacks; none for an empty source."""
-    inside = target.join(F.broadcast(scope_bounds(source, scope)), F.col(scope).between(F.col("low"), F.col("high"))).select(*target.columns)
-    present = key_set(source, keys)
-    return inside.join(present, same_keys(inside, present, keys), "left_anti")
+    bounds = scope_bounds(source, scope)
+    inside = target.join(F.broadcast(bounds), target[scope].between(bounds["low"], bounds["high"]), "left_semi")  # one row
+    present = key_set(source, keys).select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
+    condition = None
+    for i, k in enumerate(keys):
+        one = target[k].eqNullSafe(present[f"_{i}"])
+        condition = one if condition is None else condition & one
+    return inside.join(present, condition, "left_anti")
 
 
 def one_per_key(source: DataFrame, keys: Sequence[str], on_duplicate: str, order: Sequence[str] = ()) -> DataFrame:
@@ -78,8 +83,8 @@ def prepared(source: DataFrame, spec: SyncSpec) -> DataFrame:
     return one_per_key(source, spec.keys, spec.on_duplicate, spec.order)
 
 
-def sync_changes(source: DataFrame, target: DataFrame, spec: SyncSpec) -> DataFrame:
-    """Change set with the final actions of a run: ACTIONS.
+def sync_changes(source: DataFrame, target: DataFrame, spec: SyncSpec, bounds: DataFrame | None = None) -> DataFrame:
+    """Change set with the final actions of a run: ACTIONS. bounds: those of the scope, if the source is only a part.
 
     Rows only in the target are deleted within the bounds of the scope column, else outside. Target rows in conflict on a unique key count as
     conflict_delete; they are taken out before the join, so that the source row may come in their place.
@@ -93,8 +98,8 @@ def sync_changes(source: DataFrame, target: DataFrame, spec: SyncSpec) -> DataFr
     if spec.insert_only:
         changes = changes.withColumn("action", F.when(F.col("action") == "update", "unchanged").otherwise(F.col("action")))
     if spec.scope:
+        changes = changes.join(F.broadcast(scope_bounds(source, spec.scope) if bounds is None else bounds))  # one row
         inside = F.col(f"t.{spec.scope}").between(F.col("low"), F.col("high"))
-        changes = changes.join(F.broadcast(scope_bounds(source, spec.scope)))
         changes = changes.withColumn("action", F.when(F.col("action") != "target_only", F.col("action")).when(inside, "delete").otherwise("outside")).drop("low", "high")
     else:
         changes = changes.withColumn("action", F.when(F.col("action") == "target_only", "outside").otherwise(F.col("action")))
@@ -117,6 +122,14 @@ def summary(changes: DataFrame) -> DataFrame:
     return changes.agg(*[F.count(F.when(F.col("action") == a, 1)).alias(a) for a in ACTIONS])
 
 
+def written_sync(source: DataFrame, target: DataFrame, spec: SyncSpec, write: Callable[[DataFrame], None]) -> dict[str, int]:
+    """Write the new snapshot and count its rows by action in that same job, by an observation; nothing is read or joined a second time."""
+    seen = Observation()
+    changes = sync_changes(source, target, spec).observe(seen, *[F.count(F.when(F.col("action") == a, 1)).alias(a) for a in ACTIONS])
+    write(snapshot(changes))
+    return {a: seen.get[a] for a in ACTIONS}
+
+
 def full_sync(source: DataFrame, target: DataFrame, spec: SyncSpec) -> tuple[DataFrame, DataFrame]:
     """(new snapshot, summary) of an upsert with scoped deletion; both are lazy over one change set, which callers that use both may persist."""
     changes = sync_changes(source, target, spec)
@@ -176,4 +189,4 @@ def document_changes(source: DataFrame, target: DataFrame, key: str = "_id", on_
     return joined.withColumn("action", action)
 
 
-__all__ = ["row_hash", "insert_rows", "update_rows", "delete_rows", "insert_only", "missing_in_target", "missing_in_source", "sync_changes", "snapshot", "summary", "full_sync", "store_changes", "store_summary", "store_snapshots", "document_changes"]
+__all__ = ["row_hash", "insert_rows", "update_rows", "delete_rows", "insert_only", "missing_in_target", "missing_in_source", "sync_changes", "snapshot", "summary", "full_sync", "written_sync", "store_changes", "store_summary", "store_snapshots", "document_changes"]

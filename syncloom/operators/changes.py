@@ -31,11 +31,13 @@ def changed_columns(pairs: dict[str, tuple[Column, Column]]) -> Column:
 def change_set(source: DataFrame, target: DataFrame, keys: Sequence[str], compare: str | None = None, null_safe: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
     """One row for each source and target row: structs s and t, and action insert, update, unchanged or target_only.
 
-    compare: "sha256" or "md5" for row hashes, None for column-wise differences. The one shuffle is the full outer join on the keys.
+    compare: "sha256" or "md5" for row hashes, None for column-wise differences. The one shuffle is the full outer join on the keys;
+    a target that is bucketed by them isn't shuffled, if the comparison of keys isn't NULL-safe.
     """
-    s, t = source.select(F.struct(*source.columns).alias("s")), target.select(F.struct(*target.columns).alias("t"))
-    pairs = [F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) if null_safe else F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
-    joined = s.join(t, reduce(Column.__and__, pairs), "full_outer")
+    s = source.select(F.struct(*source.columns).alias("s"), *[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)])
+    t = target.select(F.struct(*target.columns).alias("t"), *[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)])
+    pairs = [F.col(f"_s{i}").eqNullSafe(F.col(f"_t{i}")) if null_safe else F.col(f"_s{i}") == F.col(f"_t{i}") for i in range(len(keys))]
+    joined = s.join(t, reduce(Column.__and__, pairs), "full_outer").select("s", "t")
     shared = [c for c in (columns or target.columns) if c in source.columns and c not in keys]
     own, other = [F.col(f"s.{c}") for c in shared], [F.col(f"t.{c}") for c in shared]
     changed = differs(list(zip(own, other, strict=True))) if compare is None else row_hash(own, compare) != row_hash(other, compare)

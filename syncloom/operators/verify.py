@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import lag
@@ -40,11 +41,27 @@ def min_rows_check(df: DataFrame, least: int) -> DataFrame:
 
 def run_metrics(df: DataFrame, batch_rows: int, expected: int | None = None, started: Column | None = None, ended: Column | None = None, failed: int = 0) -> DataFrame:
     """One run row: records, failed, batches, progress in percent of what was expected, seconds and records a second (NULL without a start or any time passed)."""
-    n = F.count(F.lit(1))
+    return _run_row(df.agg(F.count(F.lit(1)).alias("records")), batch_rows, expected, started, ended, failed)
+
+
+def observed_write(df: DataFrame, write: Callable[[DataFrame], None], **metrics: Column) -> dict[str, Any]:
+    """Write df and tell records and other aggregates of what was written, counted in that same job; nothing is read a second time."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("records"), *[c.alias(name) for name, c in metrics.items()]))
+    return dict(seen.get)
+
+
+def run_row(spark: SparkSession, records: int, batch_rows: int, expected: int | None = None, started: Column | None = None, ended: Column | None = None, failed: int = 0) -> DataFrame:
+    """The run row of `run_metrics` for a number of records that an observed write has told."""
+    return _run_row(spark.createDataFrame([(records,)], "records bigint"), batch_rows, expected, started, ended, failed)
+
+
+def _run_row(counted: DataFrame, batch_rows: int, expected: int | None, started: Column | None, ended: Column | None, failed: int) -> DataFrame:
+    n = F.col("records")
     ended = F.current_timestamp() if ended is None else ended
     seconds = F.lit(None).cast("double") if started is None else (ended.cast("timestamp").cast("double") - started.cast("timestamp").cast("double"))
     progress = F.lit(100.0) if expected is None else F.lit(0.0) if expected == 0 else F.round(n / F.lit(expected) * 100, 2)
-    done = df.agg(n.alias("records"), F.lit(failed).cast("bigint").alias("failed"), F.ceil(n / batch_rows).alias("batches"), progress.alias("progress_percent"))
+    done = counted.select("records", F.lit(failed).cast("bigint").alias("failed"), F.ceil(n / batch_rows).alias("batches"), progress.alias("progress_percent"))
     rate = F.when(F.col("duration_seconds") > 0, F.round(F.col("records") / F.col("duration_seconds"), 4))
     return done.withColumn("ended", ended).withColumn("duration_seconds", seconds).withColumn("records_per_second", rate)
 

@@ -187,9 +187,20 @@ def table_health(spark: SparkSession, d: str) -> DataFrame:
 # --- streaming
 
 
-def _target(spark: SparkSession, d: str, path: str) -> None:
+def _target(spark: SparkSession, d: str, path: str, bucket_by: tuple[list[str], int] | None = None) -> None:
     old = fx(spark, d, "events").groupBy("user_id").agg(F.min("event_id").alias("event_id")).filter("user_id % 3 = 0")
-    sinks.write_snapshot(old.select("event_id", "user_id", F.lit("old").alias("event_type")), path)
+    sinks.write_snapshot(old.select("event_id", "user_id", F.lit("old").alias("event_type")), path, bucket_by=bucket_by)
+
+
+@registered(f"SELECT event_id, user_id, event_type FROM {_LATEST}")
+def stream_upsert_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """The same where the table's base is bucketed by the key, so that neither a merge nor a read shuffles it."""
+    files, path, commits = shared_folder(spark), shared_folder(spark), shared_folder(spark)
+    _event_messages(spark, d).repartitionByRange(4, "msg_offset").write.parquet(files)
+    _target(spark, d, path, (["user_id"], 8))
+    spec = TopicSpec(["user_id"], _EVENT_ROW, guard="event_id", buckets=8)
+    streaming.stream_upsert(topics.from_files(spark, files, stream=True, max_files=2), path, commits, spec)
+    return streaming.read_table(spark, path, spec)
 
 
 @registered(f"SELECT event_id, user_id, event_type FROM {_LATEST}")
@@ -252,9 +263,11 @@ def min_rows_check(spark: SparkSession, d: str) -> DataFrame:
     SELECT COUNT(*) AS records, CAST(3 AS BIGINT) AS failed, CAST(CEIL(COUNT(*) / 10000.0) AS BIGINT) AS batches, ROUND(COUNT(*) / 20000.0 * 100, 2) AS progress_percent,
            CAST(150 AS DOUBLE) AS duration_seconds, ROUND(COUNT(*) / 150.0, 4) AS records_per_second FROM {src_orders}""")
 def sync_run_row(spark: SparkSession, d: str) -> DataFrame:
-    """A run whose start and end are given, so that its row is always the same."""
+    """A run whose records are counted by the job that writes them; start and end are given, so that its row is always the same."""
     at = lambda text: F.to_timestamp(F.lit(text))
-    return verify.run_metrics(fx(spark, d, "src_orders"), 10_000, 20_000, at("2024-01-15 10:00:00"), at("2024-01-15 10:02:30"), failed=3).drop("ended")
+    path = shared_folder(spark)
+    told = verify.observed_write(fx(spark, d, "src_orders"), lambda df: df.write.parquet(path))
+    return verify.run_row(spark, told["records"], 10_000, 20_000, at("2024-01-15 10:00:00"), at("2024-01-15 10:02:30"), failed=3).drop("ended")
 
 
 @registered("""

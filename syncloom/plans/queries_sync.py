@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar, documents
-from ..operators import apply, changes, chunks, keys
-from ..sources import tables
+from ..operators import apply, changes, chunks, digests, keys, snapshots
+from ..sources import sinks, tables
+from ..sources.scratch import shared_folder
 from .fixtures import fixture as fx
 from .registry import registered
 from .spec import SyncSpec
@@ -255,6 +256,40 @@ def full_sync_summary(spark: SparkSession, d: str) -> DataFrame:
     return apply.full_sync(fx(spark, d, "src_orders"), fx(spark, d, "tgt_orders"), ORDERS)[1]
 
 
+@registered("SELECT " + ", ".join(f"COUNT(CASE WHEN action = '{a}' THEN 1 END) AS \"{a}\"" for a in apply.ACTIONS) + f" FROM ({_SYNCED}) x")
+def observed_sync(spark: SparkSession, d: str) -> DataFrame:
+    """The same counts, taken by the job that writes the new snapshot."""
+    path = shared_folder(spark)
+    told = apply.written_sync(fx(spark, d, "src_orders"), fx(spark, d, "tgt_orders"), ORDERS, lambda df: sinks.write_snapshot(df, path))
+    return spark.createDataFrame([tuple(told.values())], ", ".join(f"`{a}` bigint" for a in told))
+
+
+@registered("SELECT " + ", ".join(f"COUNT(CASE WHEN action = '{a}' THEN 1 END) AS \"{a}\"" for a in apply.ACTIONS) + f" FROM ({_SYNCED}) x")
+def digest_changes(spark: SparkSession, d: str) -> DataFrame:
+    """The same counts, where only buckets of keys whose digests differ are joined row by row."""
+    return digests.digest_changes(fx(spark, d, "src_orders"), fx(spark, d, "tgt_orders"), ORDERS, 512)[1]
+
+
+@registered("""
+    SELECT * FROM {src_orders} UNION ALL
+    SELECT t.* FROM {tgt_orders} t WHERE NOT EXISTS (SELECT 1 FROM {src_orders} s WHERE s.o_orderkey = t.o_orderkey)
+        AND NOT (t.o_orderkey BETWEEN (SELECT MIN(o_orderkey) FROM {src_orders}) AND (SELECT MAX(o_orderkey) FROM {src_orders}))""")
+def digest_sync(spark: SparkSession, d: str) -> DataFrame:
+    """A table with stored digests after a sync that has read and written its unlike buckets only."""
+    path = shared_folder(spark)
+    sinks.write_digested(fx(spark, d, "tgt_orders"), path, KEY, 32)
+    snapshots.sync_digested(fx(spark, d, "src_orders"), path, ORDERS, 32)
+    return sinks.read_digested(spark, path)
+
+
+@registered("SELECT * FROM {src_orders} UNION ALL SELECT * FROM {tgt_orders} t WHERE NOT EXISTS (SELECT 1 FROM {src_orders} s WHERE s.o_orderkey = t.o_orderkey)")
+def upsert_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """An upsert into a snapshot that is bucketed by its key: the table isn't shuffled."""
+    path = shared_folder(spark)
+    sinks.write_snapshot(fx(spark, d, "tgt_orders"), path, bucket_by=(KEY, 8))
+    return apply.full_sync(fx(spark, d, "src_orders"), sinks.read_snapshot(spark, path), SyncSpec(KEY, null_safe=False))[0]
+
+
 @registered("""
     WITH x AS (SELECT COALESCE(s.store, t.store) AS store, s.o_orderkey AS sk, t.o_orderkey AS tk, b.low, b.high,
                       s.store_name IS DISTINCT FROM t.store_name OR s.o_orderstatus IS DISTINCT FROM t.o_orderstatus OR s.o_totalprice IS DISTINCT FROM t.o_totalprice AS changed
@@ -273,9 +308,6 @@ def store_fanout_summary(spark: SparkSession, d: str) -> DataFrame:
     WHERE NOT EXISTS (SELECT 1 FROM {src_stores} s WHERE s.store = t.store AND s.o_orderkey = t.o_orderkey) AND NOT t.o_orderkey BETWEEN b.low AND b.high""")
 def store_fanout(spark: SparkSession, d: str) -> DataFrame:
     """All stores' tables after a fan-out, written with a slice for each store and read again."""
-    from ..sources import sinks
-    from ..sources.scratch import shared_folder
-
     path = shared_folder(spark)
     done = apply.store_snapshots(fx(spark, d, "src_stores"), fx(spark, d, "tgt_stores"), SyncSpec(["store", "o_orderkey"], scope="o_orderkey"))
     sinks.write_snapshot(done, path, ("store",))

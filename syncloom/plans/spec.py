@@ -51,6 +51,7 @@ class TopicSpec:
 
     include and exclude: columns of a message's row, exclude first. guard: column that must not go down (a replayed older message is skipped); the table
     needs it, so it is kept even if it is excluded or not included. max_messages: a run reads so many messages at most, the next goes on from there.
+    buckets: the table's base is dealt into so many buckets by its keys, which then may not be NULL, so that a merge doesn't shuffle it.
     """
 
     keys: Sequence[str]
@@ -60,6 +61,7 @@ class TopicSpec:
     mode: str = "failfast"
     guard: str | None = None
     max_per_trigger: int | None = None
+    buckets: int | None = None
     max_messages: int | None = None
 
     @property

@@ -47,7 +47,7 @@ def batch_rows(messages: DataFrame, spec: TopicSpec) -> DataFrame:
 
 def merged(target: DataFrame, rows: DataFrame, spec: TopicSpec) -> DataFrame:
     """Target after an upsert of rows; with a guard, a row whose guard is below the target's is skipped."""
-    changes = change_set(rows, target, spec.keys)
+    changes = change_set(rows, target, spec.keys, null_safe=not spec.buckets)
     if spec.guard:
         if spec.guard not in target.columns:
             raise ValueError(f"the table lacks the guard column {spec.guard!r}")
@@ -75,7 +75,7 @@ def compact(spark: SparkSession, path: str, spec: TopicSpec) -> int:
     """Merge the batches into a new base and remove them; how many there were. A failure between leaves both, and the same table."""
     names = _batches(spark, path)
     if names:
-        write_snapshot(read_table(spark, path, spec), path)
+        write_snapshot(read_table(spark, path, spec), path, bucket_by=(spec.keys, spec.buckets) if spec.buckets else None)
         for n in names:
             drop_folder(spark, f"{path}/{BATCHES}/{n}")
     return len(names)
