@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.scratch import checkpoint
 
@@ -26,14 +27,19 @@ def _ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return checkpoint(df.repartitionByRange(parts, *order)).withColumn("_part", F.spark_partition_id())
 
 
-def _with_offsets(df: DataFrame, size: Column) -> DataFrame:
-    """df with `_before`, the sum of sizes in all partitions before; a row for each partition is on the driver."""
+def _with_offsets(df: DataFrame, size: Column) -> tuple[DataFrame, int]:
+    """(df with `_before`, the sum of sizes in all partitions before; the sum of all); a row for each partition is on the driver."""
     sizes = {r["_part"]: r["size"] for r in df.groupBy("_part").agg(F.sum(size).alias("size")).collect()}
     before, at = [], 0
     for part in sorted(sizes):
         before.append((part, at))
         at += sizes[part]
-    return df.join(F.broadcast(df.sparkSession.createDataFrame(before, "_part int, _before bigint")), "_part")
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(before, "_part int, _before bigint")), "_part"), at
+
+
+def _hashable(name: str, kind: T.DataType) -> Column:
+    """A column, or its JSON text if a map in it can't be hashed."""
+    return F.to_json(F.struct(F.col(f"`{name}`"))) if "map<" in kind.simpleString() else F.col(f"`{name}`")
 
 
 def tile_of(rank: Column, rows: int, tiles: int) -> Column:
@@ -49,53 +55,70 @@ def tile_count(rows: int, chunk_rows: int) -> int:
 
 
 def chunk_assign(df: DataFrame, key: str, tiles: int, ties: tuple[str, ...] = ()) -> DataFrame:
-    """df with chunk_no: ntile(tiles) over (order by key, ties), NULL keys first. Every row is in just one chunk; rows equal in all of these, in any."""
-    n = df.count()
-    if not n:
-        return df.withColumn("chunk_no", F.lit(None).cast("int"))
-    order = [F.col(key).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in ties], F.col("_spread").asc()]
-    spread = df.withColumn("_spread", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    ranged = _ranged(spread, order).sortWithinPartitions(*order)
-    numbered = ranged.withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-    ranked = _with_offsets(numbered, F.lit(1)).withColumn("_rank", F.col("_row") + F.col("_before"))
-    return ranked.select(*df.columns, tile_of(F.col("_rank"), n, tiles).alias("chunk_no"))
+    """df with chunk_no: ntile(tiles) over (order by key, ties), NULL keys first. Every row is in just one chunk; rows equal in all of these, in any.
+
+    A column chunk_no of df's own is replaced. Columns of any type and name may stand beside the key; the row itself travels in a struct.
+    """
+    held = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.xxhash64(*[_hashable(f.name, f.dataType) for f in df.schema.fields]).alias("_spread"))
+    order = [F.col("_row")[key].asc_nulls_first(), *[F.col("_row")[c].asc_nulls_first() for c in ties], F.col("_spread").asc()]
+    ranged = _ranged(held, order).sortWithinPartitions(*order)
+    numbered = ranged.withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+    ranked, n = _with_offsets(numbered, F.lit(1))
+    tile = tile_of(F.col("_at") + F.col("_before"), n, tiles) if n else F.lit(None).cast("int")
+    return ranked.select(*[F.col("_row")[c].alias(c) for c in df.columns if c != "chunk_no"], tile.alias("chunk_no"))
+
 
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """_key, _rows: the rows of every key."""
+    return df.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
 
-def _first_ranks(df: DataFrame, key: str) -> DataFrame:
-    """key, _rows and _first (the rank of its first row) for every key."""
-    keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    order = Window.partitionBy("_part").orderBy(F.col(key).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    inside = _with_offsets(_ranged(keys, [F.col(key).asc_nulls_first()]), F.col("_rows"))
-    return inside.withColumn("_first", F.col("_before") + F.coalesce(F.sum("_rows").over(order), F.lit(0))).select(key, "_rows", "_first")
+
+def _first_ranks(counted: DataFrame) -> tuple[DataFrame, int]:
+    """(_key, _rows and _first, the rank of its first row, for every key of `key_counts`; rows in all)."""
+    counted = checkpoint(counted)
+    order = Window.partitionBy("_part").orderBy(F.col("_key").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    inside, n = _with_offsets(_ranged(counted, [F.col("_key").asc_nulls_first()]), F.col("_rows"))
+    return inside.withColumn("_first", F.col("_before") + F.coalesce(F.sum("_rows").over(order), F.lit(0))).select("_key", "_rows", "_first"), n
+
+
+def _no_chunks(counted: DataFrame) -> DataFrame:
+    return counted.select(F.lit(None).cast("int").alias("chunk_no"), F.col("_key").alias("min_key"), F.col("_key").alias("max_key"), F.lit(0).cast("bigint").alias("row_count")).limit(0)
 
 
 def chunk_plan(df: DataFrame, key: str, tiles: int) -> DataFrame:
     """chunk_no, min_key, max_key, row_count. An empty table has no chunks. A key whose rows span several chunks is counted into each by arithmetic."""
-    n = df.count()
+    counted = key_counts(df, key)
+    ranks, n = _first_ranks(counted)
     if not n:
-        return df.select(F.lit(None).cast("int").alias("chunk_no"), F.col(key).alias("min_key"), F.col(key).alias("max_key"), F.lit(0).cast("bigint").alias("row_count")).limit(0)
+        return _no_chunks(counted)
     last = F.col("_first") + F.col("_rows") - 1
-    spread = _first_ranks(df.select(key), key).withColumn("chunk_no", F.explode(F.sequence(tile_of(F.col("_first"), n, tiles), tile_of(last, n, tiles))))
+    spread = ranks.withColumn("chunk_no", F.explode(F.sequence(tile_of(F.col("_first"), n, tiles), tile_of(last, n, tiles))))
     q, r = divmod(n, tiles)
     begin = F.least(F.col("chunk_no") - 1, F.lit(r)) + (F.col("chunk_no") - 1) * F.lit(q)
     end = F.least(F.col("chunk_no"), F.lit(r)) + F.col("chunk_no") * F.lit(q)
     held = F.least(end, last + 1) - F.greatest(begin, F.col("_first"))
-    return spread.groupBy("chunk_no").agg(F.min(key).alias("min_key"), F.max(key).alias("max_key"), F.sum(held).alias("row_count"))
+    return spread.groupBy("chunk_no").agg(F.min("_key").alias("min_key"), F.max("_key").alias("max_key"), F.sum(held).alias("row_count"))
 
 
 def bucket_plan(df: DataFrame, key: str, tiles: int) -> DataFrame:
     """Like chunk_plan, but rows with equal keys stay together: a key goes where its first row would."""
-    n = df.count()
+    return counted_bucket_plan(key_counts(df, key), tiles)
+
+
+def counted_bucket_plan(counted: DataFrame, tiles: int) -> DataFrame:
+    """bucket_plan of keys that have been counted already, such as by the store that holds the rows: _key, _rows."""
+    ranks, n = _first_ranks(counted)
     if not n:
-        return chunk_plan(df, key, tiles)
-    tiled = _first_ranks(df.select(key), key).withColumn("_tile", tile_of(F.col("_first"), n, tiles))
-    plan = tiled.groupBy("_tile").agg(F.min(key).alias("min_key"), F.max(key).alias("max_key"), F.sum("_rows").alias("row_count"))
+        return _no_chunks(counted)
+    tiled = ranks.withColumn("_tile", tile_of(F.col("_first"), n, tiles))
+    plan = tiled.groupBy("_tile").agg(F.min("_key").alias("min_key"), F.max("_key").alias("max_key"), F.sum("_rows").alias("row_count"))
     return plan.withColumn("chunk_no", F.row_number().over(Window.orderBy("_tile"))).select("chunk_no", "min_key", "max_key", "row_count")  # a row a tile
 
 
 def chunk_scope_bounds(df: DataFrame, key: str, scope: str, tiles: int) -> DataFrame:
     """Bounds of a second column for every chunk, in one pass."""
-    return chunk_assign(df.select(key, scope), key, tiles).groupBy("chunk_no").agg(F.min(scope).alias("min_scope"), F.max(scope).alias("max_scope"))
+    rows = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{scope}`").alias("_scope"))
+    return chunk_assign(rows, "_key", tiles).groupBy("chunk_no").agg(F.min("_scope").alias("min_scope"), F.max("_scope").alias("max_scope"))
 
 
 def chunk_filter(df: DataFrame, key: str, low, high) -> DataFrame:

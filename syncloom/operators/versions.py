@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.calendar import version_id
 from .keys import broadcast_checked, latest_per_key
@@ -70,10 +71,41 @@ def file_stats(df: DataFrame) -> DataFrame:
 
 
 def file_parts(df: DataFrame) -> DataFrame:
-    """A row for each file: part_name, part_bytes, modified, part_rows, and raw_bytes (of the rows' values as text)."""
-    fields = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c, kind in df.dtypes if not kind.startswith(("map", "variant", "binary"))]
-    m = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time", sum(fields, F.lit(0)).cast("bigint").alias("raw"))
-    return m.groupBy(F.col("file_path").alias("part_name"), F.col("file_size").alias("part_bytes"), F.col("file_modification_time").alias("modified")).agg(F.count(F.lit(1)).alias("part_rows"), F.sum("raw").alias("raw_bytes"))
+    """A row for each Parquet file: part_name, part_bytes, modified, part_rows, and the bytes of its row groups, raw_bytes and packed_bytes.
+
+    The list of files comes from the scan's own metadata, no column is read; then tasks read one footer a file. raw_bytes and packed_bytes are NULL in a
+    store that the footer reader can't open.
+    """
+    m = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    files = m.groupBy(F.col("file_path").alias("part_name"), F.col("file_size").alias("part_bytes"), F.col("file_modification_time").alias("modified")).agg(F.count(F.lit(1)).alias("part_rows"))
+    return with_footers(files)
+
+
+def with_footers(files: DataFrame, name: str = "part_name") -> DataFrame:
+    """files with raw_bytes and packed_bytes: sums over the row groups in each file's footer."""
+    schema = T.StructType([*files.schema.fields, T.StructField("raw_bytes", T.LongType()), T.StructField("packed_bytes", T.LongType())])
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            raw, stored = [], []
+            for path in batch.column(batch.schema.get_field_index(name)).to_pylist():
+                try:
+                    store, at = fs.FileSystem.from_uri(path)
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                    raw.append(None)
+                    stored.append(None)
+                    continue
+                footer = pq.read_metadata(at, filesystem=store)
+                groups = [footer.row_group(i) for i in range(footer.num_row_groups)]
+                raw.append(sum(g.total_byte_size for g in groups))
+                stored.append(sum(g.column(c).total_compressed_size for g in groups for c in range(g.num_columns)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.int64()), pa.array(stored, pa.int64())], names=schema.names)
+
+    return files.mapInArrow(read, schema)
 
 
 def compaction_decision(parts: DataFrame, threshold: int = 100, by: Sequence[str] = ()) -> DataFrame:
@@ -100,3 +132,19 @@ def table_health(parts: DataFrame, unmerged: Column | None = None) -> DataFrame:
     t = parts.groupBy("table_name").agg(F.sum("part_rows").alias("total_rows"), F.sum("part_bytes").alias("total_bytes"), F.count(F.lit(1)).alias("parts"), F.count(F.when(fresh, 1)).alias("unmerged_parts"))
     issues = (F.col("parts") > MOST_PARTS).cast("int") + (F.col("unmerged_parts") > MOST_UNMERGED).cast("int")
     return t.withColumn("issues", issues).withColumn("health", F.when(F.col("issues") == 0, "healthy").when(F.col("issues") == 1, "warning").otherwise("critical"))
+
+
+def logged_health(parts: DataFrame, taken: Column, unmerged: Column | None = None) -> DataFrame:
+    """Rows of `table_health` with `taken`, the number of the look: to be appended to a log."""
+    return table_health(parts, unmerged).withColumn("taken", taken)
+
+
+def health_changes(log: DataFrame) -> DataFrame:
+    """Of every look at a table but its first: what it was before and is after. A table's looks are few (one a run), so one window a table.
+
+    table_name, taken, parts_before, parts_after, parts_reduced (negative if there are more), bytes_before, bytes_after, health_before, health_after.
+    """
+    order = Window.partitionBy("table_name").orderBy("taken")
+    before = [F.lag(c).over(order).alias(f"{c}_before") for c in ("parts", "total_bytes", "health")]
+    both = log.select("table_name", "taken", "parts", "total_bytes", "health", *before).filter("parts_before is not null")
+    return both.select("table_name", "taken", "parts_before", F.col("parts").alias("parts_after"), (F.col("parts_before") - F.col("parts")).alias("parts_reduced"), F.col("total_bytes_before").alias("bytes_before"), F.col("total_bytes").alias("bytes_after"), "health_before", F.col("health").alias("health_after"))

@@ -26,6 +26,13 @@ TEXT = {
         FROM {events}""",
     "gappy_messages": """
         SELECT 'events' AS topic, CAST(user_id % 4 AS INT) AS partition_id, event_id AS msg_offset, user_id, event_type FROM {events}""",
+    "ragged": """
+        SELECT event_id, event_type, CASE event_type WHEN 'error' THEN chr(123) || '"k": "' || user_id || '", "why": ' || chr(123) || '"code": ' || user_id || ', "tags": ["a", "b"]' || chr(125) || chr(125)
+               WHEN 'click' THEN chr(123) || '"k": ' || user_id || '.5, "at": null' || chr(125) WHEN 'view' THEN chr(123) || '"k": true' || chr(125) WHEN 'purchase' THEN chr(123) || '"other": 1' ELSE props END AS doc
+        FROM {events}""",
+    "parts_log": """
+        SELECT 1 AS taken, table_name, partition_key, part_rows, part_bytes, part_level FROM {parts} UNION ALL
+        SELECT 2 AS taken, table_name, partition_key, CAST(SUM(part_rows) AS BIGINT) AS part_rows, CAST(SUM(part_bytes) AS BIGINT) AS part_bytes, 1 AS part_level FROM {parts} GROUP BY table_name, partition_key, substring(part_name, 1, 7)""",
     "bad_messages": """
         SELECT event_id, CASE WHEN event_id % 97 = 0 THEN '[1]' WHEN event_id % 89 = 0 THEN 'bad' WHEN event_id % 83 = 0 THEN NULL WHEN event_id % 79 = 0 THEN chr(123) || '"k": "text"' || chr(125) WHEN event_id % 73 = 0 THEN chr(123) || '"k": 1.5' || chr(125) ELSE props END AS msg_value
         FROM {events}""",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import messages
-from ..operators import keys, verify, versions
+from ..operators import keys, snapshots, verify, versions
 from ..sources import sinks, topics
 from ..sources.scratch import shared_folder
 from ..streaming import topics as streaming
@@ -159,6 +159,41 @@ def conditional_compaction(spark: SparkSession, d: str) -> DataFrame:
     return versions.compacted_if_fragmented(fx(spark, d, "twice"), F.year("l_shipdate"), fx(spark, d, "parts"), 360)
 
 
+@registered("SELECT * FROM {twice} WHERE l_returnflag <> 'R' UNION ALL SELECT DISTINCT * FROM {twice} WHERE l_returnflag = 'R'")
+def compact_table_files(spark: SparkSession, d: str) -> DataFrame:
+    """A table on files after the compaction of the partitions that have many parts: that of R, which has eight."""
+    path = _fragmented(spark, d)
+    snapshots.compact_due(spark, path, "l_returnflag", 5)
+    return sinks.read_snapshot(spark, path)
+
+
+@registered("""
+    SELECT 'l_returnflag=' || l_returnflag AS partition_key, CASE l_returnflag WHEN 'R' THEN 'compact' ELSE 'skip' END AS decision, CASE l_returnflag WHEN 'R' THEN 8 ELSE 1 END AS parts_before, 1 AS parts_after,
+           COUNT(*) AS rows_before, CASE l_returnflag WHEN 'R' THEN (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM {twice} WHERE l_returnflag = 'R') x) ELSE COUNT(*) END AS rows_after FROM {twice} GROUP BY l_returnflag""")
+def compaction_report(spark: SparkSession, d: str) -> DataFrame:
+    """What that compaction tells: parts and rows before and after."""
+    return snapshots.compact_due(spark, _fragmented(spark, d), "l_returnflag", 5)
+
+
+def _fragmented(spark: SparkSession, d: str) -> str:
+    """A table of lineitem rows on files: eight parts for the flag R, one for each of the others."""
+    path, rows = shared_folder(spark), fx(spark, d, "twice")
+    sinks.replace_folders(rows.filter("l_returnflag = 'R'").repartition(8), path, "l_returnflag")
+    sinks.replace_folders(rows.filter("l_returnflag <> 'R'").repartition("l_returnflag"), path, "l_returnflag", [])
+    return path
+
+
+@registered("""
+    WITH t AS (SELECT taken, table_name, CAST(SUM(part_bytes) AS BIGINT) AS total_bytes, COUNT(*) AS parts, COUNT(CASE WHEN part_level = 0 THEN 1 END) AS fresh FROM {parts_log} GROUP BY taken, table_name),
+         h AS (SELECT *, CASE CAST(parts > 300 AS INT) + CAST(fresh > 50 AS INT) WHEN 0 THEN 'healthy' WHEN 1 THEN 'warning' ELSE 'critical' END AS health FROM t)
+    SELECT b.table_name, b.taken, a.parts AS parts_before, b.parts AS parts_after, a.parts - b.parts AS parts_reduced, a.total_bytes AS bytes_before, b.total_bytes AS bytes_after, a.health AS health_before, b.health AS health_after
+    FROM h a JOIN h b ON a.table_name = b.table_name AND b.taken = a.taken + 1""")
+def table_health_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Health before and after, from a log with one look at the parts before a compaction and one after."""
+    looks = [versions.logged_health(fx(spark, d, "parts_log").filter(F.col("taken") == n), F.lit(n)) for n in (1, 2)]
+    return versions.health_changes(looks[0].unionByName(looks[1]))
+
+
 @registered("""
     SELECT table_name, CAST(SUM(part_rows) AS BIGINT) AS total_rows, CAST(SUM(part_bytes) AS BIGINT) AS stored_bytes, CAST(SUM(raw_bytes) AS BIGINT) AS raw_bytes, COUNT(*) AS parts,
            MIN(modified) AS oldest, MAX(modified) AS newest, ROUND(SUM(raw_bytes) / SUM(part_bytes), 2) AS compression_ratio FROM {parts} GROUP BY table_name""")

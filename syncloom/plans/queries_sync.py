@@ -57,6 +57,26 @@ def collection_aggregate(spark: SparkSession, d: str) -> DataFrame:
     return tables.aggregate(fx(spark, d, "events"), F.col("event_type") != "error", stages)
 
 
+@registered("""
+    SELECT event_id, CASE WHEN json_valid(doc) THEN TRY_CAST(json_extract_string(doc, '$.k') AS DOUBLE) END AS k, CASE WHEN json_valid(doc) THEN TRY_CAST(json_extract_string(doc, '$.why.code') AS BIGINT) END AS code,
+           CASE WHEN json_valid(doc) THEN json_extract_string(doc, '$.why.tags[1]') END AS tag FROM {ragged} WHERE event_type <> 'view'""")
+def ragged_find(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of several shapes in one column: fields by path, whatever their types; a broken document has none."""
+    docs = documents.ragged(fx(spark, d, "ragged"), "doc")
+    picked = [documents.at_path("document", p, t).alias(n) for n, p, t in (("k", "$.k", "double"), ("code", "$.why.code", "bigint"), ("tag", "$.why.tags[1]", "string"))]
+    return tables.find(docs, F.col("event_type") != "view").select("event_id", *picked)
+
+
+@registered("""
+    SELECT event_type, CASE WHEN NOT json_valid(doc) THEN 'broken' WHEN json_type(doc, '$.k') = 'VARCHAR' THEN 'STRING' WHEN json_type(doc, '$.k') = 'DOUBLE' THEN 'DECIMAL' WHEN json_type(doc, '$.k') IN ('UBIGINT', 'BIGINT') THEN 'BIGINT' ELSE json_type(doc, '$.k') END AS kind,
+           COUNT(*) AS "rows" FROM {ragged} GROUP BY 1, 2""")
+def ragged_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Which types a field has, by kind of document."""
+    docs = documents.ragged(fx(spark, d, "ragged"), "doc")
+    kind = F.when(F.col("document").isNull(), "broken").otherwise(F.regexp_extract(documents.kind_at("document", "$.k"), r"^\w+", 0))
+    return tables.aggregate(docs, None, lambda df: df.groupBy("event_type", kind.alias("kind")).agg(F.count(F.lit(1)).alias("rows")))
+
+
 @registered("SELECT COUNT(*) AS \"rows\" FROM {lineitem} WHERE l_quantity > 25")
 def source_count(spark: SparkSession, d: str) -> DataFrame:
     return tables.count(tables.scan(fx(spark, d, "lineitem"), where=F.col("l_quantity") > 25))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
 import re
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
@@ -9,7 +11,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.chunks import counted_bucket_plan
 from ..operators.keys import bad_names
+from .scratch import checkpoint
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,3 +109,42 @@ def jdbc(spark: SparkSession, url: str, table: str | None = None, sql: str | Non
     if partition_column and bounds:
         reader = reader.option("partitionColumn", partition_column).option("lowerBound", bounds[0]).option("upperBound", bounds[1]).option("numPartitions", partitions)
     return reader.load()
+
+
+def sql_literal(value: Any) -> str:
+    """A value of a key as plain SQL: numbers, text, dates, timestamps, truth values."""
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, int | float | decimal.Decimal):
+        return str(value)
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, datetime.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    raise ValueError(f"no SQL literal for {type(value).__name__}")
+
+
+def plan_predicates(plan: DataFrame, key: str, nulls: bool = True) -> list[str]:
+    """A condition for each chunk of a `bucket_plan` over keys without NULL, and one for NULL keys. They exclude each other and miss no row. A row a chunk is on the driver."""
+    if bad := bad_names([key]):
+        raise ValueError(f"not identifiers: {bad}")
+    rows = plan.orderBy("chunk_no").collect()
+    found = [f"{key} >= {sql_literal(r['min_key'])} AND {key} <= {sql_literal(r['max_key'])}" for r in rows]
+    return [*found, *([f"{key} IS NULL"] if nulls else [])]
+
+
+def jdbc_by_plan(spark: SparkSession, url: str, table: str, key: str, chunks: int = 8, fetch_rows: int = 10_000, **options: str) -> DataFrame:
+    """A JDBC table read in chunks of about equal row counts, whatever the keys' distribution: one task a chunk, and one for NULL keys if there are any.
+
+    The store counts its keys (GROUP BY); the plan comes from the counts. Ranges of equal width, as `jdbc` has them, would give a hot range to one task. A
+    key isn't split, so one that holds more rows than a chunk is a chunk of its own.
+    """
+    if bad := bad_names([key, table]):
+        raise ValueError(f"not identifiers: {bad}")
+    counted = jdbc(spark, url, sql=f"SELECT {key} AS K, COUNT(*) AS N FROM {table} GROUP BY {key}", fetch_rows=fetch_rows, **options).toDF("_key", "_rows")
+    counted = checkpoint(counted.select("_key", F.col("_rows").cast("bigint").alias("_rows")))
+    nulls = not counted.filter("_key is null").isEmpty()
+    predicates = plan_predicates(counted_bucket_plan(counted.filter("_key is not null"), chunks), key, nulls) or ["1 = 0"]
+    return spark.read.jdbc(url, table, predicates=predicates, properties={"fetchsize": str(fetch_rows), **options})

@@ -130,3 +130,12 @@ def test_store_fanout_honours_the_spec(spark):
     assert rows(snap) == sorted([(1, 1, "a", "n"), (1, 2, "b", "n"), (2, 1, "a", "n"), (2, 9, "b", "x"), (3, 1, "z", "x")], key=str)
     kept = apply.store_snapshots(s, t, SyncSpec(["store", "k"], insert_only=True))
     assert (1, 1, "a", "old") in rows(kept) and len(rows(kept)) == 6
+
+
+def test_columns_named_like_the_bounds(spark):
+    """A target with columns low, high and _0, and the scope itself named low."""
+    t = spark.createDataFrame([(1, 5, 7, "a"), (2, 6, 8, "b"), (9, 90, 9, "c"), (None, 5, 1, "d")], "k int, low int, high int, _0 string")
+    s = spark.createDataFrame([(1, 5, 7, "a"), (3, 9, 1, "z")], "k int, low int, high int, _0 string")
+    assert rows(apply.missing_in_source(t, s, ["k"], "low")) == sorted([(2, 6, 8, "b"), (None, 5, 1, "d")], key=str)
+    assert apply.full_sync(s, t, SyncSpec(["k"], scope="low"))[1].first().asDict()["delete"] == 2
+    assert apply.missing_in_source(t, s.limit(0), ["k"], "low").count() == 0

@@ -52,3 +52,15 @@ def test_equal_keys_stay_together(spark):
     assert sum(r.row_count for r in plan) == 100
     assert len(plan) == 3
     assert chunks.tile_count(0, 10) == 1 and chunks.tile_count(11, 10) == 2
+
+
+def test_any_column_names_and_maps(spark):
+    """Columns of the operators' own names, of maps, or a key named like them."""
+    df = spark.range(60).select(F.col("id").alias("_rows"), (F.col("id") % 7).alias("_part"), F.lit("x").alias("chunk_no"), F.lit(1).alias("_key"), F.create_map(F.lit("a"), "id").alias("m"), F.lit(2).alias("_spread"))
+    assert [r.row_count for r in chunks.chunk_plan(df, "_rows", 4).orderBy("chunk_no").collect()] == [15] * 4
+    assert sum(r.row_count for r in chunks.bucket_plan(df, "_part", 3).collect()) == 60
+    got = chunks.chunk_assign(df, "_rows", 4, ("_part",))
+    assert sorted(got.columns) == sorted(df.columns) and sorted(r["count"] for r in got.groupBy("chunk_no").count().collect()) == [15] * 4
+    assert got.filter("chunk_no = 1").agg(F.max("_rows")).first()[0] == 14 and got.filter("m['a'] = _rows").count() == 60
+    assert chunks.chunk_scope_bounds(df, "_rows", "_part", 4).count() == 4
+    assert chunks.chunk_assign(df.limit(0), "_rows", 4).count() == 0

@@ -176,3 +176,73 @@ def test_failfast_cant_be_pruned(spark):
         with pytest.raises(Exception, match="bad json"):
             ask()
     assert messages.message_rows(m, "k int", mode="quarantine", keep=["at"]).count() == 1
+
+
+def test_footers_equal_another_reader(spark, sf, tmp_path):
+    """Rows and bytes of each file as DuckDB's parquet_metadata has them; no data column is read."""
+    import duckdb
+
+    path = str(tmp_path / "a b")
+    tables.table(spark, sf, "lineitem").repartition(3).write.parquet(path)
+    df = spark.read.parquet(path)
+    found = versions.file_parts(df)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    want = duckdb.sql(f"""SELECT file_name, SUM(total_uncompressed_size), SUM(total_compressed_size), (SELECT SUM(n) FROM (SELECT DISTINCT row_group_id, row_group_num_rows AS n FROM parquet_metadata('{path}/*.parquet') b WHERE b.file_name = a.file_name))
+                          FROM parquet_metadata('{path}/*.parquet') a GROUP BY file_name""").fetchall()
+    got = {r.part_name.rsplit("/", 1)[1]: (r.raw_bytes, r.packed_bytes, r.part_rows) for r in found.collect()}
+    assert got == {name.rsplit("/", 1)[1]: (int(raw), int(stored), int(n)) for name, raw, stored, n in want} and len(got) == 3
+    stats = versions.file_stats(df).first()
+    assert stats.total_rows == df.count() and stats.parts == 3 and stats.raw_bytes == sum(v[0] for v in got.values())
+    away = spark.createDataFrame([("nowhere://x/y.parquet", 1)], "part_name string, part_bytes long")
+    assert versions.with_footers(away).first().raw_bytes is None
+
+
+def test_health_changes_by_look(spark):
+    part = lambda taken, table, n: [(taken, table, i, 10, 5, 0 if n > 60 else 1) for i in range(n)]
+    rows = part(1, "a", 400) + part(2, "a", 20) + part(3, "a", 25) + part(1, "b", 3)
+    df = spark.createDataFrame(rows, "taken int, table_name string, part int, part_rows long, part_bytes long, part_level int")
+    log = None
+    for n in (1, 2, 3):
+        look = versions.logged_health(df.filter(F.col("taken") == n), F.lit(n))
+        log = look if log is None else log.unionByName(look)
+    got = [(r.table_name, r.taken, r.parts_before, r.parts_after, r.parts_reduced, r.health_before, r.health_after) for r in versions.health_changes(log).orderBy("table_name", "taken").collect()]
+    assert got == [("a", 2, 400, 20, 380, "critical", "healthy"), ("a", 3, 20, 25, -5, "healthy", "healthy")]
+
+
+def test_jdbc_in_chunks_of_equal_rows(spark, tmp_path):
+    """Nine tenths of the rows lie in a hundredth of the key range, some keys are NULL: tasks differ by less than two times, and no row is lost."""
+    from syncloom.sources import sinks
+
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    key = F.when(F.col("id") < 900, F.col("id") % 300).when(F.col("id") < 990, F.col("id") * 40).cast("int")
+    rows = spark.range(1000).select(key.alias("K"), F.col("id").cast("int").alias("N"), F.concat(F.lit("o'"), F.col("id").cast("string")).alias("V"))
+    sinks.write_jdbc(rows, url, "T", "overwrite", driver=driver, createTableColumnTypes="V VARCHAR(20)")
+    back = tables.jdbc_by_plan(spark, url, "T", "K", 5, driver=driver)
+    sizes = sorted(r["count"] for r in back.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert back.rdd.getNumPartitions() == 6 and sizes[0] == 10 and max(sizes[1:]) < 2 * min(sizes[1:])
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+    text = tables.jdbc_by_plan(spark, url, "T", "V", 3, driver=driver)
+    assert text.rdd.getNumPartitions() == 3 and text.count() == 1000
+    sinks.write_jdbc(rows.limit(0), url, "E", "overwrite", driver=driver)
+    assert tables.jdbc_by_plan(spark, url, "E", "K", 5, driver=driver).count() == 0
+    with pytest.raises(ValueError):
+        tables.jdbc_by_plan(spark, url, "T", "K; --", 5, driver=driver)
+
+
+def test_literals():
+    values = [1, -2.5, decimal.Decimal("3.10"), "it's", datetime.date(2024, 1, 2), datetime.datetime(2024, 1, 2, 3, 4, 5), True]
+    assert [tables.sql_literal(v) for v in values] == ["1", "-2.5", "3.10", "'it''s'", "DATE '2024-01-02'", "TIMESTAMP '2024-01-02 03:04:05'", "TRUE"]
+    with pytest.raises(ValueError):
+        tables.sql_literal(b"x")
+
+
+def test_ragged_documents(spark):
+    texts = ['{"k": 1, "a": {"b": [1, 2]}}', '{"k": "7", "new": null}', '{"k": 2.5}', '{"k": {"deep": true}}', "broken", None, "[1]"]
+    docs = documents.ragged(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "text")
+    got = docs.orderBy("id").select(documents.at_path("document", "$.k", "double").alias("k"), documents.at_path("document", "$.a.b[1]", "int").alias("b"), documents.kind_at("document", "$.k").alias("kind")).collect()
+    assert [r.k for r in got] == [1.0, 7.0, 2.5, None, None, None, None] and [r.b for r in got] == [2] + [None] * 6
+    assert [r.kind for r in got] == ["BIGINT", "STRING", "DECIMAL(2,1)", "OBJECT<deep: BOOLEAN>", None, None, None]
+    assert documents.merged_schema(docs.filter("id < 3")).first().schema == "OBJECT<a: OBJECT<b: ARRAY<BIGINT>>, k: VARIANT, new: VOID>"
+    names = documents.fields(docs.filter("id < 4"), "document", ["id"])
+    assert sorted((r.id, r.key) for r in names.collect()) == [(0, "a"), (0, "k"), (1, "k"), (1, "new"), (2, "k"), (3, "k")]
