@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Fixed pattern: a name or schema.name of word characters, or the same in brackets with white space.
-IDENTIFIER = r"^\w+(\.\w+)?$|^\[[\w\s]+\](\.\[[\w\s]+\])?$"
+#: Fixed value: the pattern of a name or schema.name of word characters, or the same in brackets with white space.
+IDENTIFIER = r"^[\w]+(?:\.[\w]+)?$|^\[[\w\s]+\](?:\.\[[\w\s]+\])?$"
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = True) -> Column:

@@ -118,7 +118,7 @@ def store_slice(spark: SparkSession, d: str) -> DataFrame:
 
 @registered("SELECT * FROM {orders} ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
 def first_page(spark: SparkSession, d: str) -> DataFrame:
-    return fx(spark, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100)
+    return tables.first_page(fx(spark, d, "orders"), [F.desc("o_totalprice"), F.col("o_orderkey")], 100)
 
 
 # --- joins
@@ -131,9 +131,9 @@ def nullsafe_join(spark: SparkSession, d: str) -> DataFrame:
     """Names of both sides, one of them without a name, matched NULL-safely; each side is counted by name first, so that no pairs of a group are made."""
     n = F.count(F.lit(1))
     s = fx(spark, d, "src_cust").groupBy("c_name").agg(n.alias("s_rows"))
-    s = s.unionByName(spark.range(1).select(F.lit(None).cast("string").alias("c_name"), F.lit(1).cast("bigint").alias("s_rows"))).select(F.col("c_name").alias("s_name"), "s_rows")
+    s = s.unionByName(spark.range(1).select(F.lit(None).cast("string").alias("c_name"), F.lit(1).cast("bigint").alias("s_rows")))
     t = fx(spark, d, "tgt_cust").groupBy("c_name").agg(n.alias("t_rows"))
-    return s.join(t, F.col("s_name").eqNullSafe(F.col("c_name"))).select("c_name", "s_rows", "t_rows", (F.col("s_rows") * F.col("t_rows")).alias("pairs"))
+    return s.join(t, keys.same_keys(s, t, ["c_name"])).select(t["c_name"], "s_rows", "t_rows", (F.col("s_rows") * F.col("t_rows")).alias("pairs"))
 
 
 @registered("SELECT s.* FROM {src_orders} s WHERE NOT EXISTS (SELECT 1 FROM {tgt_orders} t WHERE t.o_orderkey = s.o_orderkey)")

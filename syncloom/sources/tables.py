@@ -96,7 +96,7 @@ def lookup(df: DataFrame, where: Column, order: Sequence[str]) -> DataFrame:
     return df.filter(where).orderBy(*order).limit(1)
 
 
-def first_page(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
+def first_page(df: DataFrame, order: Sequence[str | Column], rows: int) -> DataFrame:
     return df.orderBy(*order).limit(rows)
 
 
