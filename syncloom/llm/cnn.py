@@ -1,11 +1,13 @@
 """Toxicity: a convolutional text classifier over hashed word embeddings, trained in numpy, with thresholds calibrated by language.
 
-Words (letters and digits, lower case) are hashed; every hash that at least two fitted texts hold has an embedding, the others share one. Filters of
+Words (letters and digits, lower case) are hashed, and so are their stems, the first STEM letters; every hash that at least LEAST_TEXTS fitted texts hold has an
+embedding, the others share one. A word's embedding is the sum of its own and its stem's, so that endings that were never seen don't hide a known stem. Filters of
 several widths slide over the embeddings, each takes its maximum over the whole text, and a logistic layer weighs the maxima. Overfitting to rare words
 is met by leaving pooled features out at random and by averaging the logits of ROUNDS x FOLDS networks, each fitted without another fold of the
 sample, which is dealt into folds ROUNDS times. A fold's rows choose the epoch of the network that hasn't seen them, and the means of their logits
 by such networks set the thresholds: for each language the least sum of missed and false shares, drawn towards that of all rows, and that towards even odds. The language
-is guessed from the text's own function words, never from a column. Scores are moved so that 0.5 is the language's threshold.
+is guessed from the text's own function words, never from a column; texts in a language without such a list here, or without any of the words, have the
+threshold of all rows. Scores are moved so that 0.5 is the language's threshold.
 
 Scale: fitting sees a bounded sample (at most TRAIN_ROWS different labelled texts of at most TRAIN_CHARS characters); its networks are trained in
 Spark tasks, one each, from fixed seeds, so a lost one is trained again alike. Scoring is one pass without a shuffle: a filter's response is a
@@ -27,13 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import balanced_threshold, bounded_sample, checkpoint, map_arrow, text_chunks, with_fields
-from .textops import words
+from .textops import Words, lower_latin, mix64, segment_hashes, words
 
 BITS = 18
+#: Letters of a stem, and what tells stems' hashes from words'.
+STEM, STEM_SALT = 5, np.uint64(0x5354454D)
 DIM, FILTERS, WIDTHS = 12, 6, (1, 2, 3)
 #: Bounds of the fitting sample, and in how many of its texts a word must be to get an embedding of its own.
 TRAIN_ROWS, TRAIN_CHARS = 6_000, 20_000
-LEAST_TEXTS = 2
+LEAST_TEXTS = 4
 #: How often the sample is dealt into folds, and into how many; there is a network for each fold of each round.
 ROUNDS, FOLDS = 2, 3
 #: Most epochs, and after how many without a better one fitting ends; both last longer on few rows: STEPS steps, and STEPS / 4 without a better epoch.
@@ -59,6 +63,17 @@ def buckets(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITS)).astype(np.int32)
 
 
+def units(data: np.ndarray, offsets: np.ndarray, stem: int = STEM) -> tuple[Words, np.ndarray]:
+    """(words, buckets): a row for each word, its own bucket and that of its first `stem` letters."""
+    w = words(data, offsets, "alnum")
+    starts = np.flatnonzero((data & 0xC0) != 0x80)  # of code points
+    first = np.searchsorted(starts, w.start)
+    after = np.append(starts, len(data))[np.minimum(first + stem, len(starts))]
+    length = np.minimum(after - w.start, w.length)
+    begin = segment_hashes(lower_latin(data), w.start, length)
+    return w, np.stack([buckets(w.hash), buckets(mix64(begin ^ STEM_SALT))], axis=1)
+
+
 def _hash_of(word: str) -> int:
     data = np.frombuffer(word.encode(), np.uint8)
     return int(words(data, np.array([0, len(data)]), "alnum").hash[0])
@@ -98,9 +113,10 @@ def pooled(tables: list[list[np.ndarray]], bias: np.ndarray, ids: np.ndarray, te
         inside = np.flatnonzero(text[:whole] == text[w - 1 :]) if whole > 0 else np.zeros(0, np.int64)
         if not len(inside):
             continue
-        response = offsets[0][ids[inside]]
-        for k in range(1, w):
-            response += offsets[k][ids[inside + k]]
+        response = np.zeros((len(inside), size), np.float32)
+        for k in range(w):
+            for each in ids.T:
+                response += offsets[k][each[inside + k]]
         first = np.flatnonzero(np.diff(text[inside], prepend=-1))
         own = text[inside[first]]
         top = np.maximum.reduceat(response, first)
@@ -117,7 +133,7 @@ def pooled(tables: list[list[np.ndarray]], bias: np.ndarray, ids: np.ndarray, te
 
 def _joined(ids: list[np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of several texts in a row, and the number of the text of each."""
-    return np.concatenate([*(ids[r] for r in rows), np.zeros(0, np.int32)]), np.repeat(np.arange(len(rows)), [len(ids[r]) for r in rows])
+    return np.concatenate([*(ids[r] for r in rows), np.zeros((0, 2), np.int32)]), np.repeat(np.arange(len(rows)), [len(ids[r]) for r in rows])
 
 
 def _adam(params: list[np.ndarray], grads: list[np.ndarray], state: list, step: int) -> None:
@@ -129,6 +145,31 @@ def _adam(params: list[np.ndarray], grads: list[np.ndarray], state: list, step:
         p -= RATE * (m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8) + DECAY * p)
 
 
+def gradients(net: Net, flat: np.ndarray, text: np.ndarray, y: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of the mean logistic loss over some texts: (ids of the words in them, gradient of those embeddings, gradients of all other parameters). kept: factors of the pooled features."""
+    used, place = np.unique(flat, return_inverse=True)
+    flat = place.reshape(flat.shape)
+    embedding = net.embedding[used]
+    best, where = pooled(net.tables(used), net.bias, flat, text, len(y), places=True)
+    best = best * kept
+    p = 1 / (1 + np.exp(-(best @ net.weights + net.constant[0])))
+    d = ((p - y) / len(y)).astype(embedding.dtype)
+    grads = [np.zeros_like(x) for x in net.parts()[1:]]
+    grads[-1][0] = d.sum()
+    grads[-2][:] = best.T @ d
+    back = np.where(where >= 0, d[:, None] * net.weights * kept, 0).astype(embedding.dtype)
+    grads[-3][:] = back.sum(0)
+    grad = np.zeros_like(embedding)
+    for g, w in enumerate(WIDTHS):
+        part, place = back[:, g * FILTERS : (g + 1) * FILTERS], where[:, g * FILTERS : (g + 1) * FILTERS]
+        t, f = np.nonzero(place >= 0)
+        for k in range(w):
+            for word in flat[place[t, f] + k].T:
+                np.add.at(grads[g][k].T, f, part[t, f][:, None] * embedding[word])
+                np.add.at(grad, word, part[t, f][:, None] * net.filters[g][k].T[f])
+    return used, grad, grads
+
+
 def train(ids: list[np.ndarray], y: np.ndarray, kept_out: np.ndarray, size: int, seed: int) -> tuple[Net, np.ndarray]:
     """A network fitted on the texts that aren't `kept_out` (on all if that leaves none), and its logits of those that are."""
     rng = np.random.default_rng(seed)
@@ -147,26 +188,8 @@ def train(ids: list[np.ndarray], y: np.ndarray, kept_out: np.ndarray, size: int,
         for at in range(0, len(rows), BATCH):
             own = rows[at : at + BATCH]
             flat, text = _joined(ids, own)
-            used, flat = np.unique(flat, return_inverse=True)
-            embedding = net.embedding[used]
-            best, where = pooled(net.tables(used), net.bias, flat, text, len(own), places=True)
-            kept = (rng.random(best.shape) >= DROP).astype(np.float32) / (1 - DROP)
-            best = best * kept
-            p = 1 / (1 + np.exp(-(best @ net.weights + net.constant[0])))
-            d = ((p - y[own]) / len(own)).astype(np.float32)
-            grads = [np.zeros_like(x) for x in dense]
-            grads[-1][0] = d.sum()
-            grads[-2][:] = best.T @ d
-            back = np.where(where >= 0, d[:, None] * net.weights * kept, 0).astype(np.float32)
-            grads[-3][:] = back.sum(0)
-            grad = np.zeros_like(embedding)
-            for g, w in enumerate(WIDTHS):
-                part, place = back[:, g * FILTERS : (g + 1) * FILTERS], where[:, g * FILTERS : (g + 1) * FILTERS]
-                t, f = np.nonzero(place >= 0)
-                for k in range(w):
-                    word = flat[place[t, f] + k]
-                    np.add.at(grads[g][k].T, f, part[t, f][:, None] * embedding[word])
-                    np.add.at(grad, word, part[t, f][:, None] * net.filters[g][k].T[f])
+            kept = (rng.random((len(own), len(WIDTHS) * FILTERS)) >= DROP).astype(np.float32) / (1 - DROP)
+            used, grad, grads = gradients(net, flat, text, y[own], kept)
             step += 1
             _adam(dense, grads, state, step)
             moved = np.flatnonzero(np.abs(grad).sum(1))
@@ -199,20 +222,21 @@ class Cnn:
 
     def ids(self, bucket: np.ndarray) -> np.ndarray:
         if not len(self.known):
-            return np.zeros(len(bucket), np.int32)
+            return np.zeros(bucket.shape, np.int32)
         at = np.minimum(np.searchsorted(self.known, bucket), len(self.known) - 1)
         return np.where(self.known[at] == bucket, at, len(self.known)).astype(np.int32)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "stacked"}  # made anew in each worker
 
-    def logits(self, hashes: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    def logits(self, found: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+        """Of n texts whose words have these buckets (a row each)."""
         if "stacked" not in self.__dict__:
             tables = [[np.concatenate([net.embedding.astype(np.float32) @ net.filters[g][k] for net in self.nets], axis=1) for k in range(w)] for g, w in enumerate(WIDTHS)]
             by_width = lambda part: np.concatenate([p for g in range(len(WIDTHS)) for p in (part(net)[g * FILTERS : (g + 1) * FILTERS] for net in self.nets)])
             self.stacked = tables, by_width(lambda net: net.bias), by_width(lambda net: net.weights) / len(self.nets), np.mean([net.constant[0] for net in self.nets])
         tables, bias, weights, constant = self.stacked
-        return pooled(tables, bias, self.ids(buckets(hashes)), text, n)[0] @ weights + constant
+        return pooled(tables, bias, self.ids(found), text, n)[0] @ weights + constant
 
     def languages(self, hashes: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
         """Number of the language with most function words; -1 without any."""
@@ -224,9 +248,9 @@ class Cnn:
         return np.where(counts.sum(1) > 0, counts.argmax(1), -1)
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        w, n = words(data, offsets, "alnum"), len(offsets) - 1
+        (w, found), n = units(data, offsets), len(offsets) - 1
         shift = np.array([*[self.shift.get(k, 0.0) for k in range(len(FUNCTION_WORDS))], self.shift.get(-1, 0.0)])
-        z = self.logits(w.hash, w.text, n) - shift[self.languages(w.hash, w.text, n)]
+        z = self.logits(found, w.text, n) - shift[self.languages(w.hash, w.text, n)]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def calibrate(self, z: np.ndarray, y: np.ndarray, kinds: np.ndarray) -> None:
@@ -252,8 +276,8 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", r
     model, held, kinds = Cnn(np.zeros(0, np.int32), []), [], []
     for batch in sample.to_batches():
         for i, j, data, offsets in text_chunks(batch, "text"):
-            w = words(data, offsets, "alnum")
-            held += np.split(buckets(w.hash), np.searchsorted(w.text, np.arange(1, j - i)))
+            w, own = units(data, offsets)
+            held += np.split(own, np.searchsorted(w.text, np.arange(1, j - i)))
             kinds.append(model.languages(w.hash, w.text, j - i))
     del sample
     found, texts = np.unique(np.concatenate([*(np.unique(b) for b in held), np.zeros(0, np.int32)]), return_counts=True)

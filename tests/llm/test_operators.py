@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -133,12 +134,12 @@ def test_classifiers_on_odd_input(spark, odd):
 def test_cnn_tables_equal_convolution():
     rng = np.random.default_rng(2)
     nets = [cnn.Net(20, seed) for seed in (1, 2)]
-    ids, text = rng.integers(0, 21, 30), np.sort(rng.integers(0, 4, 30))
+    ids, text = rng.integers(0, 21, (30, 2)), np.sort(rng.integers(0, 4, 30))
     for m in nets:
         m.bias[:] = rng.normal(0, 0.1, len(m.bias))
         best, where = cnn.pooled(m.tables(), m.bias, ids, text, 4, places=True)
         for t in range(4):
-            own, begin = m.embedding[ids[text == t]], int(np.argmax(text == t))
+            own, begin = m.embedding[ids[text == t]].sum(1), int(np.argmax(text == t))
             for g, w in enumerate(cnn.WIDTHS):
                 for f in range(cnn.FILTERS):
                     at = g * cnn.FILTERS + f
@@ -146,9 +147,54 @@ def test_cnn_tables_equal_convolution():
                     assert abs(best[t, at] - max([0, *values])) < 1e-4
                     if best[t, at] > 1e-4:
                         assert abs(values[where[t, at] - begin] - best[t, at]) < 1e-4
-    hashes = rng.integers(0, 1 << 63, 30).astype(np.uint64)
-    model = cnn.Cnn(np.unique(cnn.buckets(hashes[:20])), nets)
-    assert model.logits(hashes, text, 4) == pytest.approx(np.mean([m.logits(model.ids(cnn.buckets(hashes)), text, 4) for m in nets], axis=0), abs=1e-4)
+    found = cnn.buckets(rng.integers(0, 1 << 63, (30, 2)).astype(np.uint64))
+    model = cnn.Cnn(np.unique(found[:10]), nets)
+    assert model.logits(found, text, 4) == pytest.approx(np.mean([m.logits(model.ids(found), text, 4) for m in nets], axis=0), abs=1e-4)
+
+
+def test_cnn_gradients_equal_differences():
+    """Every parameter's gradient against the loss at two close points, in double precision."""
+    rng = np.random.default_rng(8)
+    net = cnn.Net(15, 3)
+    net.embedding, net.filters = net.embedding.astype(float), [f.astype(float) for f in net.filters]
+    net.bias, net.weights, net.constant = rng.normal(0, 0.3, len(net.bias)), net.weights.astype(float), np.array([0.2])
+    ids, text, y = rng.integers(0, 16, (40, 2)), np.sort(rng.integers(0, 6, 40)), np.array([0.0, 1, 1, 0, 1, 0])
+    kept = (rng.random((6, len(net.bias))) > 0.3) / 0.7
+
+    def loss():
+        z = (plain_pooled(net, ids, text, 6) * kept) @ net.weights + net.constant[0]
+        return np.logaddexp(0, z * (1 - 2 * y)).mean()
+
+    def plain_pooled(m, ids, text, n):
+        out = np.zeros((n, len(m.bias)))
+        for t in range(n):
+            own = m.embedding[ids[text == t]].sum(1)
+            for g, w in enumerate(cnn.WIDTHS):
+                for i in range(len(own) - w + 1):
+                    response = sum(own[i + k] @ m.filters[g][k] for k in range(w)) + m.bias[g * cnn.FILTERS : (g + 1) * cnn.FILTERS]
+                    out[t, g * cnn.FILTERS : (g + 1) * cnn.FILTERS] = np.maximum(out[t, g * cnn.FILTERS : (g + 1) * cnn.FILTERS], response)
+        return out
+
+    used, words, dense = cnn.gradients(net, ids, text, y, kept)
+    whole = np.zeros_like(net.embedding)
+    whole[used] = words
+    for p, g in zip(net.parts(), [whole, *dense], strict=True):
+        for at in rng.choice(p.size, min(p.size, 25), replace=False):
+            flat, before = p.reshape(-1), p.reshape(-1)[at]
+            flat[at] = before + 1e-5
+            up = loss()
+            flat[at] = before - 1e-5
+            down = loss()
+            flat[at] = before
+            assert abs((up - down) / 2e-5 - g.reshape(-1)[at]) < 2e-4
+
+
+def test_stems_are_the_first_letters():
+    texts = ["Trash réeuxê it, trashes", "", "日本語テキスト x", "réeuxment"]
+    data, offsets = common.text_bytes(pa.array(texts))
+    w, found = cnn.units(data, offsets)
+    assert len(found) == len(w.hash) == 7
+    assert found[0, 1] == found[3, 1] and found[1, 1] == found[6, 1] and found[0, 0] != found[3, 0] and len(set(found[:, 1])) == 5
 
 
 def test_threshold_balances_shares(monkeypatch):
