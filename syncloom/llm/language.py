@@ -18,6 +18,7 @@ columns begin with lid_ (such columns of the input are replaced).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -174,12 +175,64 @@ def identify_documents(docs: DataFrame) -> DataFrame:
     return identified(docs, model, F.col("text"), F.col("lang"), F.col("source"))
 
 
+_BLOCK = re.compile(r"<(script|style|nav)\b|<!--", re.IGNORECASE | re.ASCII)
+_CLOSERS = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE | re.ASCII) for name in ("script", "style", "nav")} | {"": re.compile("-->")}
+_HTML = re.compile("<html", re.IGNORECASE | re.ASCII)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.IGNORECASE | re.ASCII)
+
+
+def without_markup(html: str) -> str:
+    """The text of a page: script, style and nav elements, comments and tags are a space each. What is never closed is text.
+
+    One forward scan: an opener's end is looked up among the closers, which are found once, and the first kind that has no closer left isn't looked for again.
+    """
+    ends = {name: [m.span() for m in closer.finditer(html)] for name, closer in _CLOSERS.items()}
+    at, out = dict.fromkeys(ends, 0), []
+    begin = 0
+    for m in _BLOCK.finditer(html):
+        if m.start() < begin:
+            continue
+        name = (m.group(1) or "").lower()
+        own, k = ends[name], at[name]
+        while k < len(own) and own[k][0] < m.end():
+            k += 1
+        at[name] = k
+        if k < len(own):
+            out += [html[begin : m.start()], " "]
+            begin = own[k][1]
+    whole = "".join([*out, html[begin:]])
+    parts, begin = [], 0
+    while (low := whole.find("<", begin)) >= 0 and (high := whole.find(">", low)) >= 0:
+        parts += [whole[begin:low], " "]
+        begin = high + 1
+    return "".join([*parts, whole[begin:]])
+
+
+def declared_language(html: str) -> str | None:
+    """The two or three letters of the lang attribute of an html tag, lower case; the first that has one. Each tag is read once, to its end."""
+    at = 0
+    while m := _HTML.search(html, at):
+        end = html.find(">", m.end())
+        end = len(html) if end < 0 else end
+        if found := _LANG.search(html, m.end(), end):
+            return found.group(1).lower()
+        at = end
+    return None
+
+
 def identify_pages(pages: DataFrame, labelled: DataFrame) -> DataFrame:
     """Pages with the lid_ columns: text without markup, the html element's lang, the host and its last label."""
     from .reputation import url_host
 
-    bare = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style|nav)\b.*?</\1\s*>|<!--.*?-->", " "), r"(?s)<[^>]*>", " ")
-    declared = F.nullif(F.lower(F.regexp_extract("html", r"(?i)<html[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", 1)), F.lit(""))
+    kept = pages.columns
     host = F.nullif(url_host(F.col("url")), F.lit(""))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            html = batch.column(batch.schema.get_field_index("html")).to_pylist()
+            bare, declared = [None if h is None else without_markup(h) for h in html], [None if h is None else declared_language(h) for h in html]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bare, pa.string()), pa.array(declared, pa.string())], names=[*kept, "_lid_bare", "_lid_markup"])
+
     model = fit_text_model(labelled, "text", "lang")
-    return identified(pages, model, bare, declared, host, F.substring_index(host, ".", -1))
+    given = map_arrow(pages, read, with_fields(pages.schema, _lid_bare="string", _lid_markup="string"))
+    return identified(given, model, F.col("_lid_bare"), F.col("_lid_markup"), host, F.substring_index(host, ".", -1)).drop("_lid_bare", "_lid_markup")

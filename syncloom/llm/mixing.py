@@ -64,7 +64,8 @@ def _permuted(x: Column, n: Column, *key: Column) -> Column:
 def packed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """Sizes with s_id, source_size, target and start: the words of the source before the document, in the order of packing."""
     rows = join_checked(sizes.withColumnRenamed("source", "own"), sources, F.col("own").eqNullSafe(F.col("source")), "inner").drop("own")
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("docs") / BUCKET_ROWS)))
+    spread = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("size")))  # rows without an id go by their size
+    rows = rows.withColumn("bucket", F.pmod(spread, F.ceil(F.col("docs") / BUCKET_ROWS)))
     base = rows.groupBy("s_id", "bucket").agg(F.sum("size").alias("words"))
     base = base.select("s_id", "bucket", F.coalesce(F.sum("words").over(Window.partitionBy("s_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     inside = Window.partitionBy("s_id", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)

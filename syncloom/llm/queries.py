@@ -20,7 +20,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = tokens.counted(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > tokens.LIMIT).alias("over_limit"))
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > tokens.LIMIT).alias("over_limit"), "truncate_chars")
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 from pathlib import Path
 
 import numpy as np
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import PreTokenizedString, Tokenizer
+from tokenizers import Tokenizer
 
 from .common import map_arrow, text_bytes, text_chunks, with_fields
 from .textops import words
@@ -62,11 +64,15 @@ class PrefixCounter:
         self.open = {t: i for t, i in vocabulary.items() if t not in closed}
         self.closed = {t[: -len(self.suffix)]: i for t, i in closed.items()} if self.suffix else self.open
         self.longest_open, self.longest_closed = max(map(len, self.open)), max(map(len, self.closed))
+        self.longest = max(self.longest_open, self.longest_closed)
+        self.reach_open, self.reach_closed = _reach(self.open), _reach(self.closed)
         self.special = [t["content"] for t in spec["added_tokens"]]
         #: What the vocabulary's own pattern comes to on ASCII without white space, where the normaliser only lowers case.
         self.plain = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+") if Path(path).name == VOCABULARY else None
         self.fits: dict[int, bool] = {}
         self.sizes: dict[str, int] = {}
+        self.normals: dict[str, str] = {}
+        self.spelt: dict[str, tuple[str, str]] = {}
         self._piece, self._last, self._count = "", [-1], [0]
 
     def fit(self, a: int, b: int) -> bool:
@@ -146,6 +152,15 @@ class PrefixCounter:
             text = self.library.normalizer.normalize_str(text)
         return [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
+    def letters_of(self, c: str) -> tuple[str, str]:
+        """(kind of a normalised character: L letter, N digit, O other, or a space; its letters in the vocabulary)."""
+        found = self.spelt.get(c)
+        if found is None:
+            letters = "".join(p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(c))
+            kind = unicodedata.category(c)[0]
+            found = self.spelt[c] = (" " if not letters else kind if kind in "LN" else "O", letters)
+        return found
+
     def run_count(self, run: str) -> int:
         """Tokens of a run without white space; special strings in it are one token each."""
         total, at = 0, 0
@@ -157,38 +172,39 @@ class PrefixCounter:
                 return total
             total, at = total + 1, end - size
 
-    def _spans(self, text: str) -> list[tuple[int, int]]:
-        """Begin and end of the pieces in the text as it is given, before the normaliser."""
-        if self.plain is not None and text.isascii() and text.isprintable():
-            return [m.span() for m in self.plain.finditer(text.lower())]
-        split = PreTokenizedString(text)
-        if self.library.normalizer is not None:
-            split.normalize(self.library.normalizer.normalize)
-        self.library.pre_tokenizer.pre_tokenize(split)
-        spans: list[tuple[int, int]] = []
-        for _, (begin, end), _ in split.get_splits("original", "char"):
-            if spans and begin < spans[-1][1]:  # one code point came to several pieces
-                begin, end = spans[-1][0], max(end, spans.pop()[1])
-            spans.append((begin, end))
-        return spans
-
     def _plain_counts(self, text: str) -> list[int]:
-        """Tokens of every non-empty prefix of a text without white space and special strings, in which a prefix's pieces are those of the text and a cut one."""
-        out: list[int] = []
-        for begin, end in self._spans(text):
-            part, before = text[begin:end], out[-1] if out else 0
-            out += [before] * (begin - len(out))  # what the normaliser removes
-            pieces = self.pieces(part)
-            alone = part[0] != "'" and len(pieces) == 1 and len(pieces[0]) == len(part) and all(self._normal(c) == n for c, n in zip(part, pieces[0], strict=True))
-            own = self.piece_counts(pieces[0]) if alone else [sum(map(self.piece_count, self.pieces(part[:j]))) for j in range(1, len(part) + 1)]
-            out += [before + n for n in own]
-        return out + [out[-1] if out else 0] * (len(text) - len(out))
-
-    def _normal(self, char: str) -> str:
-        return self.library.normalizer.normalize_str(char) if self.library.normalizer is not None else char
+        """Tokens of every non-empty prefix of a text without ASCII white space and special strings."""
+        if self.plain is None:
+            return self._recounted(text)
+        out, stream = [], _Stream(self)
+        for begin, end in clusters(text):
+            for at in range(begin + 1, end):  # a prefix that ends inside what the normaliser composes
+                out.append(stream.glimpse(self._normal(text[begin:at])))
+            stream.feed(self._normal(text[begin:end]))
+            out.append(stream.tokens())
+        return out
+
+    def _recounted(self, text: str) -> list[int]:
+        """The same by counting each prefix anew: exact for any vocabulary, but quadratic."""
+        return [sum(map(self.piece_count, self.pieces(text[:j]))) for j in range(1, len(text) + 1)]
+
+    def _normal(self, part: str) -> str:
+        """What the normaliser makes of a cluster; single characters are remembered."""
+        if len(part) > 1:
+            return self.library.normalizer.normalize_str(part)
+        found = self.normals.get(part)
+        if found is None:
+            found = self.normals[part] = self.library.normalizer.normalize_str(part)
+        return found
 
     def run_counts(self, run: str) -> list[int]:
-        """Tokens of every non-empty prefix of a run without white space; its last entry is run_count."""
+        """Tokens of every non-empty prefix of a run without white space; its last entry is run_count (checked: else each prefix is counted anew)."""
+        out = self._run_counts(run)
+        if out[-1] != self.run_count(run):  # other tables of characters than the library's
+            out = [self.run_count(run[:j]) for j in range(1, len(run) + 1)]
+        return out
+
+    def _run_counts(self, run: str) -> list[int]:
         out: list[int] = []
         at = 0
         while True:
@@ -203,6 +219,115 @@ class PrefixCounter:
             at = end - size
 
 
+#: Fixed by the vocabulary's pattern: apostrophe endings that are pieces of their own.
+ENDINGS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
+#: Letters that may join a letter before them though their combining class is 0: Hangul vowels and finals; others are found by `_joining`.
+_HANGUL = (range(0x1161, 0x1176), range(0x11A8, 0x11C3))
+
+
+@cache
+def _joining() -> frozenset[str]:
+    """Characters of combining class 0 that a canonical composition takes as its second part."""
+    found = {chr(c) for r in _HANGUL for c in r}
+    for c in range(0x110000):
+        parts = unicodedata.decomposition(chr(c)).split()
+        if len(parts) == 2 and parts[0][0] != "<" and unicodedata.combining(second := chr(int(parts[1], 16))) == 0:
+            found.add(second)
+    return frozenset(found)
+
+
+def clusters(text: str) -> list[tuple[int, int]]:
+    """Begin and end of stretches that are composed apart: a character and what may join it."""
+    begins = [i for i, c in enumerate(text) if i == 0 or c < "\u0300" or not (unicodedata.combining(c) or c in _joining())]
+    return list(zip(begins, [*begins[1:], len(text)], strict=False))  # none of an empty text
+
+
+def _reach(tokens: dict[str, int]) -> dict[str, int]:
+    """The longest token for each two letters at its end."""
+    out: dict[str, int] = {}
+    for t in tokens:
+        out[t[-2:]] = max(len(t), out.get(t[-2:], 0))
+    return out
+
+
+class _Stream:
+    """Pieces and their tokens as characters come one by one: letters together, each digit alone, other marks together, endings such as 's alone.
+
+    Holds the dynamic programme's states of the piece under way. What was fed can be taken back as long as no other character has been kept.
+    """
+
+    def __init__(self, counter: PrefixCounter):
+        self.counter = counter
+        self.total, self.kind, self.quoted = 0, "", None  # tokens of closed pieces; kind of the open one; tokens before an apostrophe that may begin an ending
+        self.text, self.last, self.count = "", [-1], [0]  # the open piece's last letters and states
+        self.size = 0
+
+    def tokens(self) -> int:
+        return self.total + self._closed()
+
+    def feed(self, characters: str) -> None:
+        for c in characters:
+            self._add(c)
+
+    def glimpse(self, characters: str) -> int:
+        """Tokens with these characters, which aren't kept."""
+        kept = self.__dict__.copy()
+        self.feed(characters)
+        found = self.tokens()
+        self.__dict__.update(kept)
+        del self.last[self.size + 1 :], self.count[self.size + 1 :]
+        return found
+
+    def _open(self) -> None:
+        self.total += self._closed()
+        self.text, self.last, self.count, self.size = "", [-1], [0], 0
+
+    def _add(self, c: str) -> None:
+        kind, letters = self.counter.letters_of(c)
+        if self.quoted is not None:
+            before, said = self.quoted
+            said += c
+            self.quoted = (before, said) if any(e.startswith(said) and e != said for e in ENDINGS) else None
+            if said in ENDINGS:
+                self.total, self.kind = before + self.counter.piece_count(said), "ending"
+                self.text, self.last, self.count, self.size, self.quoted = "", [-1], [0], 0, None
+                return
+        if kind == " ":
+            self._open()
+            self.kind = ""
+            return
+        if kind != self.kind or kind == "N":
+            self._open()
+            self.kind = kind
+            if c == "'":
+                self.quoted = (self.total, c)
+        for letter in letters:
+            self._extend(letter)
+
+    def _extend(self, letter: str) -> None:
+        n, k = self.counter, self.size + 1
+        self.text = (self.text + letter)[-n.longest :]
+        token, total = self._fitting(n.open, n.reach_open, k)
+        self.last.append(token)
+        self.count.append(total)
+        self.size = k
+
+    def _closed(self) -> int:
+        if not self.size:
+            return 0
+        n = self.counter
+        return self._fitting(n.closed, n.reach_closed, self.size)[1] if n.suffix else self.count[-1]
+
+    def _fitting(self, tokens: dict[str, int], reach: dict[str, int], end: int) -> tuple[int, int]:
+        """The one token that may end the open piece's first `end` letters (they are the last that came), and the count with it."""
+        text = self.text
+        for k in range(1, min(len(text), reach.get(text[-2:], 1)) + 1):
+            token = tokens.get(text[-k:])
+            if token is not None and (k == end or self.counter.fit(self.last[end - k], token)):
+                return token, self.count[end - k] + 1
+        raise ValueError(f"no token ends {text!r}")
+
+
 class _Runs:
     """Counts of runs by their 64-bit hash, in a worker, and the counter that finds new ones."""
 
@@ -234,9 +359,12 @@ class _Runs:
 _WORKER: dict[str, _Runs] = {}
 
 
-def counted(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """docs with n_bytes and n_tokens; columns of these names are replaced."""
-    docs = docs.drop("n_bytes", "n_tokens")
+def counted(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, budget: int = LIMIT) -> DataFrame:
+    """docs with n_bytes, n_tokens and truncate_chars, the code points of the longest prefix of at most `budget` tokens; columns of these names are replaced.
+
+    Sums over runs tell in which run a text passes the budget; the stored counts of that run's prefixes tell where. (A later run's prefixes have more tokens than it.)
+    """
+    docs = docs.drop("n_bytes", "n_tokens", "truncate_chars")
     kept = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,9 +377,19 @@ def counted(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULAR
                 w = words(data, offsets, fold=False)
                 each = runs.of(w.hash, w.start, w.length, data.tobytes()) if len(w.hash) else np.zeros(0, np.int64)
                 total = np.bincount(w.text, weights=each, minlength=j - i).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, pa.array(np.diff(offsets).astype(np.int64)), pa.array(total)], names=[*kept, "n_bytes", "n_tokens"])
-
-    return map_arrow(docs, run, with_fields(docs.schema, n_bytes="long", n_tokens="long"))
+                chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+                fits = chars[offsets[1:]] - chars[offsets[:-1]]
+                sums = np.cumsum(each)
+                for k in np.flatnonzero(total > budget):
+                    first = int(np.searchsorted(w.text, k))
+                    before = int(sums[first] - each[first])
+                    at = int(np.searchsorted(sums, before + budget, side="right"))  # the run in which the text passes the budget
+                    own = runs.counter.run_counts(data[w.start[at] : w.start[at] + w.length[at]].tobytes().decode())
+                    left = budget - (int(sums[at] - each[at]) - before)
+                    fits[k] = chars[w.start[at]] - chars[offsets[k]] + max((m + 1 for m, n in enumerate(own) if n <= left), default=0)
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, pa.array(np.diff(offsets).astype(np.int64)), pa.array(total), pa.array(fits.astype(np.int64))], names=[*kept, "n_bytes", "n_tokens", "truncate_chars"])
+
+    return map_arrow(docs, run, with_fields(docs.schema, n_bytes="long", n_tokens="long", truncate_chars="long"))
 
 
 def prefix_table(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, out: str = "prefix_tokens") -> DataFrame:

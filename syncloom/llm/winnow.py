@@ -4,7 +4,8 @@ Every k successive code points are hashed; of every w successive hashes the smal
 share a run of k + w - 1 code points or more thus share a selected hash: ten, half of a text of twenty. Positions are kept beside the hashes, so a match can be found in both texts.
 A text with fewer than k code points is one hash; one with fewer than w hashes has their smallest.
 
-A fingerprint as a string is base64 of its (position gap, hash) pairs, 32 bits each, in order of position. Likeness is the share of distinct hashes
+A fingerprint as a string is base64 of its (hash, position gap) pairs in order of position, 32 bits a pair: gaps are at most w, so they take the last few bits and
+the hash the others. Likeness is the share of distinct hashes
 that two fingerprints have in common (Jaccard); that of two empty ones is 1.
 
 Scale: no row meets another, except for the successor of each document. For that, documents are dealt into ranges of (doc_id, beginning of the
@@ -14,7 +15,7 @@ streamed: one shuffle of the texts, no global window. Documents that share one i
 
 Defined results: null text is empty, with an empty fingerprint; the document after the last is the first; documents with the same id
 follow by text, those without an id come first; rows that are equal in id and text are in one range; a single document is its own
-successor; an empty table gives no rows; extra columns are ignored.
+successor; an empty table gives no rows; extra columns are ignored; ids must be integers, since documents follow each other by them (others are a TypeError).
 """
 
 from __future__ import annotations
@@ -28,12 +29,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import map_arrow, with_fields
 from .textops import mix64
 
-#: Code points of a hash and hashes of a window. About one hash in three is kept, so the two fingerprints are some seven times as long as the text.
+#: Code points of a hash and hashes of a window. About one hash in three is kept, so a fingerprint has some 1.7 characters for each of the text.
 K, W = 6, 5
+#: Bits of a position gap, which is W at most; the other bits of 32 are the hash's.
+GAP_BITS = 3
 #: Ranges for each shuffle partition, so that hashing them deals alike; least rows of a range; characters of a text that ranges go by; sampled rows a range.
 RANGES, RANGE_ROWS, PREFIX, SAMPLE = 8, 500, 32, 4
 #: Characters of fingerprints that a worker gives out together, beyond those of one row.
@@ -42,7 +46,9 @@ _FACTORS = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) ** 3 % (1 << 64) | 1 for i
 
 
 def fingerprint(points: np.ndarray, k: int = K, w: int = W) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and 32-bit hashes selected from an array of code points."""
+    """Positions and hashes (32 - GAP_BITS bits) selected from an array of code points."""
+    if w >= 1 << GAP_BITS:
+        raise ValueError(f"windows of {w} hashes need more than {GAP_BITS} bits a gap")
     n = len(points)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.uint32)
@@ -51,7 +57,7 @@ def fingerprint(points: np.ndarray, k: int = K, w: int = W) -> tuple[np.ndarray,
     total = np.full(n - k + 1, k, np.uint64)
     for j in range(k):
         total += wide[j : n - k + 1 + j] * _FACTORS[j]
-    hashes = (mix64(total) >> np.uint64(32)).astype(np.uint64)
+    hashes = (mix64(total) >> np.uint64(32 + GAP_BITS)).astype(np.uint64)
     w = min(w, len(hashes))
     # smallest hash, then rightmost position: one key that can be compared
     key = (hashes << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - np.arange(len(hashes), dtype=np.uint64))
@@ -65,14 +71,13 @@ def fingerprint(points: np.ndarray, k: int = K, w: int = W) -> tuple[np.ndarray,
 
 
 def encoded(positions: np.ndarray, hashes: np.ndarray) -> str:
-    pairs = np.empty((len(hashes), 2), np.dtype("<u4"))
-    pairs[:, 0], pairs[:, 1] = np.diff(positions, prepend=0), hashes
-    return base64.b64encode(pairs.tobytes()).decode()
+    pairs = (hashes.astype("<u4") << GAP_BITS) | np.diff(positions, prepend=0).astype("<u4")
+    return base64.b64encode(pairs.astype("<u4").tobytes()).decode()
 
 
 def decoded(text: str) -> tuple[np.ndarray, np.ndarray]:
-    pairs = np.frombuffer(base64.b64decode(text), np.dtype("<u4")).reshape(-1, 2)
-    return np.cumsum(pairs[:, 0].astype(np.int64)), pairs[:, 1]
+    pairs = np.frombuffer(base64.b64decode(text), np.dtype("<u4"))
+    return np.cumsum((pairs & ((1 << GAP_BITS) - 1)).astype(np.int64)), pairs >> GAP_BITS
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -177,6 +182,8 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     The edited text is the text with its last half (floor) replaced by as many code points from the beginning of its successor.
     """
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"documents follow each other by integer ids; {id_col} is {docs.schema[id_col].dataType.simpleString()}")
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
     def row(doc, points, own, next_points, next_own):

@@ -750,7 +750,7 @@ def brute_fingerprint(text, k=winnow.K, w=winnow.W):
     hashes = []
     for i in range(len(p) - k + 1):
         total = sum(p[i + j] * int(winnow._FACTORS[j]) for j in range(k)) + k
-        hashes.append(int(winnow.mix64(np.array([total % 2**64], np.uint64))[0]) >> 32)
+        hashes.append(int(winnow.mix64(np.array([total % 2**64], np.uint64))[0]) >> 32 + winnow.GAP_BITS)
     w, out = min(w, len(hashes)), []
     for i in range(len(hashes) - w + 1):
         low = min(hashes[i : i + w])
@@ -831,3 +831,104 @@ def test_winnowing_on_odd_input(spark, odd):
 def test_registered_queries_keep_their_columns(spark, sf):
     for name, f in q.QUERIES.items():
         assert f(spark, sf).columns[0] in ("doc_id", "conv_id", "page_id"), name
+
+
+def test_fingerprints_are_short_and_ids_are_integers(spark):
+    text = " ".join(random.Random(9).choices(WORDS, k=3_000))
+    found = winnow.encoded(*winnow.fingerprint(winnow._points(text)))
+    assert len(found) < 2 * len(text)
+    with pytest.raises(TypeError):
+        winnow.compared(docs_of(spark, ["a"]).withColumn("doc_id", F.lit("x")))
+    with pytest.raises(ValueError):
+        winnow.fingerprint(winnow._points(text), w=1 << winnow.GAP_BITS)
+
+
+# --- 2: stored prefix counts
+
+
+MARKED = ["a", "e", "E", "s", "t", "r", "v", "l", "'", "'re", "\u2019", "\u0301", "\u0308", "\u0323", "\u0327", "\u00e9", "\u0130", "\u00df", "\u03a3", "1", "\u00b2", "!", "-", "\U0001f642", "\u200d", "\u65e5", "\u304b", "\u3099", "\u1100", "\u1161", "\u11a8", "\u00a0", "\u3000", "<", "|", "<|endoftext|>", "<|start", "\u09c7", "\u09be", "\u0344", "\x1f", "\x85", "the", "tion"]
+
+
+def test_prefix_counts_of_marked_letters_are_the_librarys():
+    path = public_tokenizers.path(tokens.VOCABULARY)
+    library, counter, rng = Tokenizer.from_file(path), tokens.PrefixCounter(path), random.Random(21)
+    runs = ["e\u0301" * 3, "x\u0302' re'", *["".join(rng.choice(MARKED) for _ in range(rng.randrange(1, 14))) for _ in range(3_000)]]
+    for run in runs:
+        want = [len(library.encode(run[:j], add_special_tokens=False).ids) for j in range(1, len(run) + 1)]
+        assert counter._run_counts(run) == want, repr(run)
+        assert counter.run_counts(run)[-1] == counter.run_count(run)
+
+
+def test_prefix_counts_take_one_pass():
+    """Ten times the letters with marks take about ten times the time, not a hundred times."""
+    import time
+
+    counter = tokens.PrefixCounter(public_tokenizers.path(tokens.VOCABULARY))
+    counter.run_counts("e\u0301x\u0302" * 100)
+    took = []
+    for n in (2_000, 20_000):
+        began = time.process_time()
+        assert len(counter.run_counts("e\u0301x\u0302" * n)) == 4 * n
+        took.append(time.process_time() - began)
+    assert took[1] < 30 * took[0] + 0.5
+
+
+def test_truncation_in_the_counting_pass(spark):
+    """truncate_chars is what the stored table of every prefix says, on texts with and without white space."""
+    rng = random.Random(5)
+    texts = [None, "", "  lead", "".join(rng.choices(["e\u0301", "\u65e5", "ing", "'re"], k=60)), *[" ".join("".join(rng.choices(MARKED, k=rng.randrange(1, 9))) for _ in range(rng.randrange(1, 12))) + " \n" * (i % 3) for i in range(60)]]
+    docs = docs_of(spark, texts, truncate_chars="clash")
+    for budget in (0, 1, 7, 30):
+        found = tokens.counted(docs, budget=budget).select("doc_id", "truncate_chars", "text", "n_tokens")
+        table = tokens.prefix_table(found).select("doc_id", "truncate_chars", tokens.longest_within(F.col("prefix_tokens"), F.lit(budget)).alias("want"), F.size("prefix_tokens").alias("chars"), "n_tokens")
+        for r in table.collect():
+            assert r.truncate_chars == (r.chars if r.n_tokens <= budget else r.want), r
+
+
+# --- 9: pages
+
+
+def old_markup(html):
+    bare = re.sub(r"(?is)<(script|style|nav)\b.*?</\1\s*>|<!--.*?-->", " ", html, flags=re.ASCII)
+    m = re.search(r"(?i)<html[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", html, flags=re.ASCII)
+    return re.sub(r"(?s)<[^>]*>", " ", bare), m.group(1).lower() if m else None
+
+
+def test_markup_is_read_as_by_patterns():
+    rng = random.Random(6)
+    parts = ["<script>", "</script>", "<SCRIPT src=x>", "</script >", "<style>", "</style>", "<nav>", "</nav>", "<navy>", "<!--", "-->", "<!-->", "<p>", "</p>", "<", ">", "text ", "<html", ' lang="de"', " lang = FR", " xml:lang='es-MX'", "lang=e", "slang=it", "\n", "é"]
+    for _ in range(4_000):
+        html = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        assert (language.without_markup(html), language.declared_language(html)) == old_markup(html), repr(html)
+
+
+def test_unclosed_tags_take_one_scan():
+    import time
+
+    for unit in ("<script>", "<!--", "<", "<html ", "<html lang ", "<style><nav>"):
+        html, began = unit * (1_000_000 // len(unit)), time.process_time()
+        language.without_markup(html)
+        language.declared_language(html)
+        assert time.process_time() - began < 2, unit
+
+
+def test_pages_name_their_language(spark, sf):
+    """Evidence of pages, with nulls and a page of unclosed tags."""
+    labelled = spark.read.parquet(sf + "/documents.parquet")
+    text = {r.lang: r.text for r in labelled.filter("length(text) > 800").collect()}
+    rows = [(i, f"https://x.{k}/a", f"<html lang='{k}'><script>var the = of;</script><body>{t}") for i, (k, t) in enumerate(sorted(text.items()))]
+    pages = spark.createDataFrame([*rows, (90, None, None), (91, "", "<script>" * 50_000), (92, "https://x.de", "")], "page_id int, url string, html string").withColumn("lid_lang", F.lit("clash"))
+    got = {r.page_id: r for r in language.identify_pages(pages, labelled).collect()}
+    assert [got[i].lid_lang for i in range(len(rows))] == sorted(text) and len(got) == len(rows) + 3
+    assert not (got[90].lid_keep or got[92].lid_keep)
+
+
+# --- 3: rows without ids
+
+
+def test_rows_without_ids_are_spread(spark):
+    docs = spark.createDataFrame([(None, " ".join(["w"] * (i % 400 + 1)), "en", "s", 1) for i in range(9_000)], DOCS)
+    sizes = mixing.word_sizes(docs)
+    rows = mixing.packed(sizes, mixing.source_targets(sizes))
+    assert rows.count() == 9_000 and rows.agg(F.max(F.col("start") + F.col("size"))).first()[0] == sum(i % 400 + 1 for i in range(9_000))
+    assert rows.groupBy("start").count().filter("count > 1").count() == 0
