@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder; Spark removes it when nothing refers to it any more."""
+    """Cut the lineage with a reliable checkpoint in the shared folder. With spark.cleaner.referenceTracking.cleanCheckpoints, Spark removes it when nothing refers to it any more; else it stays."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -44,7 +44,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df written as a Parquet table in the shared folder and read again."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    back.written_at = path
+    return back
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the table behind a DataFrame of `written`, when nothing that is still to run reads it."""
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def _width(c: Column, kind: T.DataType) -> Column:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, ASCII_UPPER, join_checked, map_arrow, send_package, with_fields, written
+from .common import ASCII_LOWER, ASCII_UPPER, forget, join_checked, map_arrow, send_package, with_fields, written
 
 #: Fixed by the contract: the runs, the share of occurrences that lose a letter, the fewest letters and occurrences of a word, how much more frequent a form is.
 RUN, SLIP, LETTERS, OCCURRENCES, RATIO = r"[A-Za-zÀ-ÿ]+", 97, 5, 3, 2
@@ -158,9 +158,10 @@ def roots(forms: DataFrame) -> DataFrame:
     while True:
         on = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
         step = written(now.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling_roots")
+        forget(now)
         if step.filter("moved").isEmpty():
             return step.select("word", "root")
-        now = step.select("word", "root")
+        now = step
 
 
 def variants(words: DataFrame) -> DataFrame:
