@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from syncloom.llm import cnn, decontam, jaccard, language, mixing
-from syncloom.llm.common import checkpoint, join_checked, read, written
+from syncloom.llm.common import checkpoint, forget, join_checked, read, written
 
 #: Near duplicates: words of a shingle and least similarity in percent.
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -102,7 +102,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            forget(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
