@@ -43,8 +43,10 @@ from .textops import mix64, shingles, words
 HEAVY, HEAVY_LIST = 6, 1_000_000
 #: All shingles are counted of points with this share of heavy ones in their prefix.
 MANY = 1 / 2
-#: Points of a region (a bucket or a cell) that are compared in one task; pivots that cut a larger one into cells; how often cells are cut.
-LEAF, PIVOTS, DEPTH = 4_096, 8, 2
+#: Points of a region (a bucket or a cell) that aren't cut further; pivots that cut a larger one into cells; how often cells are cut.
+LEAF, PIVOTS, DEPTH = 64, 8, 2
+#: Points of a block; what cuts have left of a region is compared in pairs of blocks.
+BLOCK = 4_096
 #: Parts of a group of equal sets when its documents look up what stands for them.
 SALT = 16
 #: Rows up to which a list of ids, or of regions, is broadcast; a longer one is joined by a shuffle.
@@ -272,8 +274,8 @@ def _closed(members: DataFrame, known: DataFrame, classes: DataFrame, measured:
         rest = checkpoint(own.join(regions, "region"))
         large = rest.filter(F.col("size") > LEAF) if depth < DEPTH else rest.limit(0)
         here = rest.filter(F.col("size") <= LEAF) if depth < DEPTH else rest
-        # joined now: in blocks of about LEAF points, a point of block k takes part in every pair of blocks with k in it
-        blocks = F.ceil(F.col("size") / LEAF).cast("int")
+        # joined now: in blocks of about BLOCK points, a point of block k takes part in every pair of blocks with k in it
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
         cut = here.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         cut = cut.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
         window = F.coalesce(F.abs(F.col("da") - F.col("db")) <= radius + slack, F.lit(True))

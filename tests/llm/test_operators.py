@@ -381,6 +381,7 @@ def test_jaccard_join(spark, near_texts, k, percent):
 @pytest.mark.parametrize("leaf,pivots,depth", [(6, 3, 2), (9, 4, 0)])
 def test_jaccard_large_regions_are_cut_into_cells(spark, near_texts, monkeypatch, leaf, pivots, depth):
     monkeypatch.setattr(jaccard, "LEAF", leaf)
+    monkeypatch.setattr(jaccard, "BLOCK", leaf)
     monkeypatch.setattr(jaccard, "PIVOTS", pivots)
     monkeypatch.setattr(jaccard, "DEPTH", depth)
     monkeypatch.setattr(jaccard, "HEAVY", 1000)  # no order by count: passages make regions
