@@ -30,7 +30,7 @@ from .common import ASCII_LOWER, ASCII_UPPER, forget, join_checked, map_arrow, s
 #: Fixed by the contract: the runs, the share of occurrences that lose a letter, the fewest letters and occurrences of a word, how much more frequent a form is.
 RUN, SLIP, LETTERS, OCCURRENCES, RATIO = r"[A-Za-zÀ-ÿ]+", 97, 5, 3, 2
 #: Parts of the alphabet (more than the two counts that an edit changes), words of a block on average, words of a tile, code points of a tile.
-PARTS, BLOCK, TILE, TILE_LETTERS = 3, 512, 1_024, 1 << 20
+PARTS, BLOCK, TILE, TILE_LETTERS = 3, 256, 2_048, 1 << 20
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", letters: int = LETTERS, occurrences: int = OCCURRENCES) -> DataFrame:

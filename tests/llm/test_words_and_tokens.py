@@ -256,3 +256,14 @@ def test_cuts_are_sure():
         assert b"".join(runs).decode() == " " + text
         for apart, whole in zip(tokens.encode(runs), tokens.encode([f" {text}".encode()]), strict=True):
             assert apart.flatten().to_pylist() == whole.flatten().to_pylist(), repr(text)
+
+
+def test_very_long_texts(spark):
+    """A million characters without a space, and a million spaces, in all three operators."""
+    texts = ["ab" * 500_000, " " * 1_000_000, "\n" * 300_000, ("mot " * 4 + "mots ") * 60_000]
+    docs = rows_of(spark, texts)
+    got = {r.doc_id: r for r in alignment.aligned(docs).collect()}
+    assert got[0].n_a == got[0].n_b == got[0].n_groups == 500_000 and got[1].n_links == 1_000_001 and got[3].n_links == got[3].n_a + got[3].n_b - got[3].n_groups
+    stats = {r.doc_id: r for r in rules.statistics(docs).collect()}
+    assert (stats[0].n_words, stats[0].word_chars, stats[1].n_words, stats[3].n_repeat_words) == (1, 1_000_000, 0, 300_000)
+    assert spelling.word_counts(docs).count() == 0 and {r.word for r in spelling.word_counts(docs, letters=4).collect()} == {"mots"}
