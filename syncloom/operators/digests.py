@@ -22,7 +22,13 @@ _LOW = (1 << 31) - 1
 def _hashed(df: DataFrame, columns: Sequence[str]) -> Column:
     """64-bit hash of columns, NULLs and their places included."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    plain = [F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.col(f"`{c}`"))))) if isinstance(kinds[c], T.MapType) else F.col(f"`{c}`") for c in columns]
+
+    def plain_one(c: str) -> Column:
+        if isinstance(kinds[c], T.MapType):
+            return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.col(f"`{c}`")))))
+        return F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in kinds[c].simpleString() else F.col(f"`{c}`")  # a map deeper down can't be hashed as it is
+
+    plain = [plain_one(c) for c in columns]
     return F.xxhash64(*[x for c in plain for x in (c, c.isNull())]) if plain else F.lit(0).cast("bigint")
 
 

@@ -85,6 +85,8 @@ def test_digests_see_moved_nulls_and_maps(spark):
     assert digests.unlike_buckets(digest(base), digest([(1, None, "x", {"q": 2, "p": 1}), base[1]])).count() == 0
     for other in ([(1, "x", None, {"p": 1, "q": 2}), base[1]], [base[0]], [*base, base[1]], [(1, None, "x", {"p": 1}), base[1]]):
         assert digests.unlike_buckets(digest(base), digest(other)).count() == 1
+    deep = lambda x: digests.bucket_digests(spark.createDataFrame([(1, ({"p": x},))], "k int, s struct<m:map<string,int>>"), ["k"], ["s"], 4)
+    assert digests.unlike_buckets(deep(1), deep(1)).count() == 0 and digests.unlike_buckets(deep(1), deep(2)).count() == 1
     with pytest.raises(ValueError):
         digests.digest_changes(table(spark, 1), table(spark, 1), SyncSpec(["k"], unique_keys=[["v"]]), 4)
 
