@@ -224,6 +224,7 @@ def identify_pages(pages: DataFrame, labelled: DataFrame) -> DataFrame:
     """Pages with the lid_ columns: text without markup, the html element's lang, the host and its last label."""
     from .reputation import url_host
 
+    pages = pages.drop("_lid_bare", "_lid_markup")
     kept = pages.columns
     host = F.nullif(url_host(F.col("url")), F.lit(""))
 
