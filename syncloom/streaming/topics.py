@@ -87,7 +87,7 @@ def merge_into(path: str, spec: TopicSpec, quarantine: str | None = None) -> Cal
     def apply(batch: DataFrame, batch_id: int, part: int = 0) -> None:
         spark = batch.sparkSession
         if spec.mode == "quarantine" and quarantine:
-            quarantined(batch, spec.schema, "msg_value").write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}" + f"/part={part}" * bool(part))
+            quarantined(batch, spec.schema, "msg_value").write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}" + f"-{part}" * bool(part))
         rows = batch_rows(batch, spec).withColumn("_batch", F.lit(batch_id * MOST_PARTS + part).cast("bigint"))
         rows.write.mode("overwrite").parquet(f"{path}/{BATCHES}/{batch_id:012d}-{part:07d}")
         if len(_batches(spark, path)) >= COMPACT_BATCHES:

@@ -62,6 +62,18 @@ def test_run_stops_at_its_cap(spark, tmp_path):
     assert run(rest) == 0
 
 
+def test_capped_runs_quarantine_each_message_once(spark, tmp_path):
+    files, target, commits, bad = (str(tmp_path / x) for x in ("m", "t", "c", "q"))
+    sinks.write_snapshot(spark.createDataFrame([], "k int, v string, n int"), target)
+    data = [("t", 0, i, None, None, f'{{"k": {i}, "v": "a", "n": 1}}' if i % 3 else "junk") for i in range(10)]
+    spark.createDataFrame(data, topics.MESSAGE_SCHEMA).coalesce(1).write.parquet(files)
+    spec = TopicSpec(["k"], "k int, v string, n int", mode="quarantine", max_messages=4)
+    while streaming.stream_upsert(topics.from_files(spark, files, stream=True), target, commits, spec, bad):
+        pass
+    assert sorted(r.msg_offset for r in spark.read.parquet(bad).collect()) == [0, 3, 6, 9]
+    assert sorted(r.k for r in sinks.read_snapshot(spark, target).collect()) == [1, 2, 4, 5, 7, 8]
+
+
 def test_capped_partitions_are_read_once_each(spark, tmp_path):
     """Partitions that end earlier stay read while the others go on."""
     files, target, commits = (str(tmp_path / x) for x in ("m", "t", "c"))
