@@ -44,7 +44,7 @@ ROUNDS, FOLDS = 2, 3
 EPOCHS, PATIENCE, STEPS = 12, 3, 300
 #: Rows of a step; rates of the embeddings and of all else; decay of the latter.
 BATCH, WORD_RATE, RATE, DECAY, SEED = 64, 0.05, 0.01, 0.1, 7
-#: Bytes of text that are scored together, and kept-out texts; both bound a worker's memory.
+#: Bytes of text that are scored together (or read together for the fit), and kept-out texts; both bound a worker's memory, the first the driver's, too.
 PIECE_BYTES, PIECE_TEXTS = 1 << 18, 128
 #: Share of the pooled features that a fitting step leaves out.
 DROP = 0.4
@@ -275,7 +275,7 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", r
     y = np.array(sample.column("label").to_pylist(), np.float32)
     model, held, kinds = Cnn(np.zeros(0, np.int32), []), [], []
     for batch in sample.to_batches():
-        for i, j, data, offsets in text_chunks(batch, "text"):
+        for i, j, data, offsets in text_chunks(batch, "text", PIECE_BYTES):
             w, own = units(data, offsets)
             held += np.split(own, np.searchsorted(w.text, np.arange(1, j - i)))
             kinds.append(model.languages(w.hash, w.text, j - i))

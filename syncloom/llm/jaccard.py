@@ -241,7 +241,9 @@ def _joined_classes(edges: DataFrame, classes: DataFrame) -> DataFrame:
     """Classes after more links: only the classes themselves are joined, whatever their size."""
     name = lambda end: F.coalesce(f"c_{end}", end)
     of = lambda end: classes.select(F.col("id").alias(end), F.col("component").alias(f"c_{end}"))
-    between = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select(name("a").alias("a"), name("b").alias("b")).filter("a <> b")
+    between = checkpoint(edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select(name("a").alias("a"), name("b").alias("b")).filter("a <> b"))
+    if between.isEmpty():
+        return classes
     joined = checkpoint(components(between).select(F.col("id").alias("was"), F.col("component").alias("now")))
     moved = classes.join(joined, F.col("component") == F.col("was"), "left").select("id", F.coalesce("now", "component").alias("component"))
     alone = joined.join(classes.select(F.col("id").alias("was")), "was", "left_anti").select(F.col("was").alias("id"), F.col("now").alias("component"))
@@ -289,9 +291,11 @@ def _closed(members: DataFrame, known: DataFrame, classes: DataFrame, measured:
             chosen = chosen.select("region", F.explode(F.when(F.size("some") > 0, F.col("some")).otherwise(F.array("one"))).alias("p"))
             chosen = checkpoint(chosen.select("region", "p.*").withColumn("d", F.lit(0.0)))
             pairs = pairs.unionByName(_pairs(side(large.drop("size"), "a"), side(chosen, "b"), ["region"], F.lit(True), percent)).distinct()
-        found = measured.overlaps(checkpoint(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")))
-        known = known.unionByName(found)
-        classes = _joined_classes(linked(found).select("a", "b"), classes)
+        new = checkpoint(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"))
+        if not new.isEmpty():
+            found = measured.overlaps(new)
+            known = known.unionByName(found)
+            classes = _joined_classes(linked(found).select("a", "b"), classes)
         if not cells:
             return classes
         # a pair that sizes rule out is unlinked at any distance; for its cell the distance is bounded by what the sizes allow

@@ -32,6 +32,8 @@ from .textops import byte_ngrams, lower_latin
 BITS = 14
 UND = "und"
 SAMPLE_ROWS, SAMPLE_CHARS, MOST_LANGUAGES, SEED = 4_000, 20_000, 256, 5
+#: Bytes of the sample that the driver looks at together.
+FIT_BYTES = 1 << 18
 #: `documents` are fitted on without those whose crc32 of the id, mod FOLDS, is HELD_OUT.
 FOLDS, HELD_OUT = 4, 2
 #: Trigrams of a text that count in full; the log likelihood of a longer one is scaled down to so many.
@@ -78,7 +80,7 @@ def fit_text_model(labelled: DataFrame, text_col: str, label_col: str, rows: int
     code = np.searchsorted(languages, np.array(sample.column("label").to_pylist(), dtype=object)) if sample.num_rows else np.zeros(0, int)
     at = 0
     for batch in sample.to_batches():
-        for i, j, data, offsets in text_chunks(batch, "text"):
+        for i, j, data, offsets in text_chunks(batch, "text", FIT_BYTES):
             grams, text = byte_ngrams(lower_latin(data), offsets, 3, BITS)
             np.add.at(counts, (code[at + i : at + j][text], grams), 1)
         at += batch.num_rows

@@ -109,7 +109,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budget: float = 1
     """doc_id, source, size, source_size, target, taken for every document; taken counts repeats."""
     sizes = checkpoint(word_sizes(docs))
     sources = checkpoint(source_targets(sizes, weights, budget, cap))
-    rows = packed(sizes, sources)
+    rows = checkpoint(packed(sizes, sources))  # read three times below
     pieces = mixed_pieces(rows, slots(sources, block_words, shard_slots, seed), block_words)
     took = pieces.groupBy("s_id", "start").agg(F.sum(F.col("to") - F.col("from")).alias("taken"))
     with_words = rows.filter("size > 0").join(took, ["s_id", "start"], "left")

@@ -316,6 +316,11 @@ def test_shards_are_draws(spark):
     assert 0.5 < np.std(z) < 1.5
 
 
+def test_mix_packs_its_rows_once(spark):
+    df = docs_of(spark, ["a b c", "d", None, "e f"])
+    assert mixing.mix(df)._jdf.queryExecution().executedPlan().toString().count("Window [") == 1  # of the slots; the packing's stands behind a checkpoint
+
+
 def test_mix_on_odd_input(spark, odd):
     assert mixing.mix(odd).count() == odd.count()
 
@@ -423,6 +428,23 @@ def test_components(spark):
     assert got == {x: root(x) for x in parent if any(x in e and e[0] != e[1] for e in edges)}
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(components, "checkpoint", lambda df: made.append(df) or common.checkpoint(df))
+    stars = spark.createDataFrame([(0, 5), (7, 0), (9, 3), (3, 4), (3, 4), (6, 6)], "a long, b long")
+    assert {r.id: r.component for r in components.components(stars).collect()} == {0: 0, 5: 0, 7: 0, 3: 3, 4: 3, 9: 3}
+    assert components.components(stars.limit(0)).count() == 0
+    assert len(made) == 2
+
+
+def test_regions_without_links_join_no_classes(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(jaccard, "components", lambda edges: calls.append(1) or components.components(edges))
+    texts = ["alpha beta gamma " + " ".join(f"w{i}x{j}" for j in range(9)) for i in range(4)]
+    got = {r.id: r.component for r in jaccard.link_classes(docs_of(spark, texts), 3, 10).collect()}
+    assert got == {i: i for i in got} and len(got) == 4 and len(calls) == 1
+
+
 # --- 5: decontamination
 
 
