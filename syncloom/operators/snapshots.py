@@ -41,17 +41,19 @@ def sync_digested(source: DataFrame, path: str, spec: SyncSpec, buckets: int) ->
     return {a: seen.get[a] for a in apply.ACTIONS} | {"unchanged": seen.get["unchanged"] + like}
 
 
-def packed(parts: DataFrame, target_bytes: int) -> DataFrame:
+def packed(parts: DataFrame, target_bytes: int | None) -> DataFrame:
     """parts (partition_key, part_name, part_bytes) with bin: which file of the compacted partition a part's rows go to.
 
     Parts are laid end to end, largest first, and cut every target_bytes, so that a partition of B bytes gets ceil(B / target_bytes) bins; a part belongs to the bin in which it begins.
-    One window a partition, over a row for each file.
+    One window a partition, over a row for each file. None: nothing is cut, so that a partition is one bin.
     """
+    if target_bytes is None:
+        return parts.withColumn("bin", F.lit(0))
     before = Window.partitionBy("partition_key").orderBy(F.desc("part_bytes"), "part_name").rowsBetween(Window.unboundedPreceding, -1)
     return parts.withColumn("bin", F.floor(F.coalesce(F.sum("part_bytes").over(before), F.lit(0)) / target_bytes).cast("int"))
 
 
-def compaction_plan(parts: DataFrame, threshold: int, target_bytes: int) -> DataFrame:
+def compaction_plan(parts: DataFrame, threshold: int, target_bytes: int | None) -> DataFrame:
     """For each partition: partition_key, parts, stored_bytes, decision, and files, what a compaction would leave."""
     bins = packed(parts, target_bytes).groupBy("partition_key").agg(F.count(F.lit(1)).alias("parts"), F.sum("part_bytes").alias("stored_bytes"), (F.max("bin") + 1).alias("files"))
     due = (F.col("parts") >= threshold) & (F.col("files") < F.col("parts"))
@@ -70,9 +72,12 @@ def folder_parts(spark: SparkSession, path: str, column: str) -> DataFrame:
     return each.withColumn("partition_key", _folder(F.col("part_name"), column))
 
 
-def compact_due(spark: SparkSession, path: str, column: str, threshold: int = 100, target_bytes: int = 128 << 20, keys: Sequence[str] | None = None, version: Sequence[str] = ("version_id",)) -> DataFrame:
+def compact_due(spark: SparkSession, path: str, column: str, threshold: int = 100, target_bytes: int | None = 128 << 20, keys: Sequence[str] | None = None, version: Sequence[str] = ("version_id",)) -> DataFrame:
     """Compact the partitions of a table on files that have `threshold` parts and more: partition_key, decision, parts_before, parts_after, rows_before, rows_after.
 
+    target_bytes: the size of file aimed at. None: one file a partition, whatever its size, as a final merge leaves it; a file is written by one task, so that task then sorts and
+    writes the whole partition.
+
     The due partitions are read together, rid of repeated rows (or of old versions by keys), dealt into the planned number of files each, and written beside the table. Before
     the pointer moves, the rows written are counted against those that the job has sent, and no partition may have more rows than before; otherwise nothing has
     happened. Partitions that aren't due keep their files. A plan row for each partition is on the driver.
@@ -93,7 +98,7 @@ def compact_due(spark: SparkSession, path: str, column: str, threshold: int = 10
         numbered = done.join(broadcast_checked(files), "_folder").withColumn("_file", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.col("_files")))
         seen = Observation()
         tasks = 2 * sum(plan[k]["files"] for k in due)  # a number of its own, so that small ones aren't put together; few files share a task, and then are one
-        spread = numbered.repartition(tasks, "_folder", "_file").sortWithinPartitions("_folder", "_file").select(*columns)
+        spread = numbered.repartition(tasks, "_folder", "_file").select(*columns)  # the writer itself sorts a task's rows by the partition column
         sinks.replace_folders(spread.observe(seen, F.count(F.lit(1)).alias("rows")), path, column, due, before_pointer=lambda v, f: _all_there(spark, path, column, v, seen, rows))
     after = folder_parts(spark, path, column).groupBy("partition_key").agg(F.count(F.lit(1)).alias("parts_after"), F.sum("part_rows").alias("rows_after"))
     told = spark.createDataFrame([(k, r["decision"], r["parts"], rows[k]) for k, r in plan.items()], "partition_key string, decision string, parts_before bigint, rows_before bigint")

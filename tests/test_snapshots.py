@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from syncloom.operators import apply, digests, snapshots, verify
+from syncloom.plans.registry import queries
 from syncloom.plans.spec import SyncSpec, TopicSpec
 from syncloom.sources import sinks, topics
 from syncloom.streaming import topics as streaming
@@ -163,6 +164,23 @@ def test_compaction_keeps_the_latest_by_key_and_the_planned_files(spark, tmp_pat
     assert sinks.read_snapshot(spark, path).agg(F.min("version_id")).first()[0] == 3000
 
 
+def test_without_a_target_a_due_partition_is_one_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    pieces(spark, path, {"a": 60, "b": 60, "c": 1})
+    told = {r.partition_key: tuple(r)[1:] for r in snapshots.compact_due(spark, path, "p", 2, target_bytes=None).collect()}
+    assert {k: (r[0], *r[2:]) for k, r in told.items()} == {"p=a": ("compact", 1, 61, 60), "p=b": ("compact", 1, 61, 60), "p=c": ("skip", 1, 2, 2)}
+    assert sorted(r.i for r in sinks.read_snapshot(spark, path).filter("p = 'a'").collect()) == list(range(60))
+
+
+@pytest.mark.parametrize("megabytes", [29, 200])
+def test_the_report_tells_one_part_whatever_the_size(spark, sf, monkeypatch, megabytes):
+    """Files that are said to be as large as those of 60 times sf0.1, and so large that each passes the usual target alone."""
+    small = snapshots.folder_parts
+    monkeypatch.setattr(snapshots, "folder_parts", lambda *a: small(*a).withColumn("part_bytes", F.lit(megabytes << 20).cast("bigint")))
+    told = {r.partition_key: (r.decision, r.parts_before, r.parts_after) for r in queries()["compaction_report"](spark, sf).collect()}
+    assert told == {"l_returnflag=R": ("compact", 8, 1), "l_returnflag=A": ("skip", 1, 1), "l_returnflag=N": ("skip", 1, 1)}
+
+
 def test_a_compaction_that_loses_rows_changes_nothing(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     pieces(spark, path, {"a": 60})
